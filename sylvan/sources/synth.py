@@ -1,0 +1,54 @@
+"""Labelled synthetic rows, drawn on executors from keyed hash uniforms.
+
+One synthetic row per row of a base table (keyed by its row id), so the work
+scales with the table and nothing is built on the driver.  Fields: two ints in
+[0, 1000), two standard normals (Box-Muller, rounded to 6 places), one of 100
+fixed strings, and a fair boolean label.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import string
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sylvan.functions.hashing import uniform
+
+N_CATEGORIES = 100
+CATEGORY_LENGTH = 10
+# Added inside the logarithm so that a uniform of exactly 0 stays finite.
+LOG_EPSILON = 2.0 ** -33
+
+
+def category_strings(seed: str = "42") -> list[str]:
+    """The 100 category strings, generated by a rule (md5 bytes mapped to ASCII letters)."""
+    letters = string.ascii_letters
+    out = []
+    for i in range(N_CATEGORIES):
+        digest = hashlib.md5(f"category|{seed}|{i}".encode()).digest()
+        out.append("".join(letters[b % len(letters)] for b in digest[:CATEGORY_LENGTH]))
+    return out
+
+
+def _normal(seed: str, key: Column, which: str) -> Column:
+    u1 = uniform("normal", seed, which, "r", key)
+    u2 = uniform("normal", seed, which, "t", key)
+    z = F.sqrt(F.lit(-2.0) * F.log(u1 + F.lit(LOG_EPSILON))) * F.cos(F.lit(2.0 * 3.141592653589793) * u2)
+    return F.round(z, 6)
+
+
+def synth_rows(base: DataFrame, key_col: str, seed: str = "42") -> DataFrame:
+    key = F.col(key_col)
+    cats = F.array(*[F.lit(s) for s in category_strings(seed)])
+    pick = (F.floor(uniform("cat", seed, key) * N_CATEGORIES) + 1).cast("int")
+    return base.select(
+        key.alias("rid"),
+        F.floor(uniform("int", seed, "1", key) * 1000).cast("int").alias("field_1"),
+        F.floor(uniform("int", seed, "2", key) * 1000).cast("int").alias("field_2"),
+        _normal(seed, key, "3").alias("field_3"),
+        _normal(seed, key, "4").alias("field_4"),
+        F.element_at(cats, pick).alias("field_5"),
+        (uniform("label", seed, key) < F.lit(0.5)).alias("label"),
+    )
