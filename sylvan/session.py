@@ -54,3 +54,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory for tables we write and read back."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint directory and read it back.
+
+    Used to cut lineage in iterative plans (one job, survives executor loss,
+    unlike a local checkpoint).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
