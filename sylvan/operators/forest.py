@@ -65,17 +65,13 @@ def histogram(state: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
 
 
-def node_totals(hist: DataFrame) -> DataFrame:
-    """Rows and label sum per node (the same for every feature, so take any)."""
-    per_f = hist.groupBy("k", "tree", "node", "f").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    return per_f.groupBy("k", "tree", "node").agg(F.max("n").alias("n"), F.max("s").alias("s"))
-
-
 def best_splits(hist: DataFrame, depth: int, task: str) -> DataFrame:
-    """Best valid split of every open node at ``depth``.
+    """One row per node of the histogram: its totals and, if it has one, its best valid split.
 
-    Output ``(k, tree, node, min_leaf, max_depth, f, thr, nl, sl, nr, sr,
-    open_left, open_right)``; nodes without a valid split are absent.
+    Output ``(k, tree, node, nt, st, f, thr, nl, sl, nr, sr, open_left,
+    open_right)``; the split columns are null when the node is closed or no
+    split leaves ``min_samples_leaf`` rows on both sides.  Totals and the
+    best split come out of the same window pass.
     """
     w_f = Window.partitionBy("k", "tree", "node", "f")
     w_run = w_f.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -95,17 +91,27 @@ def best_splits(hist: DataFrame, depth: int, task: str) -> DataFrame:
         & is_open(task, depth, F.col("nt"), F.col("st"))
     )
     sl, sr = F.col("sl").cast("double"), F.col("sr").cast("double")
-    cand = c.filter(valid).select(
-        "k", "tree", "node", "min_leaf", "max_depth", "f", "nl", "sl", "nr", "sr",
+    cand = c.select(
+        "k", "tree", "node", "min_leaf", "max_depth", "nt", "st", "f", "nl", "sl", "nr", "sr",
+        valid.alias("valid"),
         ((F.col("v") + F.col("v_next")) / F.lit(2.0)).alias("thr"),
-        (sl * sl / F.col("nl") + sr * sr / F.col("nr")).alias("score"),
+        F.when(valid, sl * sl / F.col("nl") + sr * sr / F.col("nr")).alias("score"),
     )
-    w_node = Window.partitionBy("k", "tree", "node").orderBy(F.col("score").desc(), "f", "thr")
+    w_node = Window.partitionBy("k", "tree", "node").orderBy(
+        F.col("valid").desc(), F.col("score").desc(), "f", "thr")
     best = cand.withColumn("rk", F.row_number().over(w_node)).filter(F.col("rk") == 1)
+    split = F.col("valid")
+
+    def when_split(col: Column) -> Column:
+        return F.when(split, col)
+
     return best.select(
-        "k", "tree", "node", "min_leaf", "max_depth", "f", "thr", "nl", "sl", "nr", "sr",
-        is_open(task, depth + 1, F.col("nl"), F.col("sl")).alias("open_left"),
-        is_open(task, depth + 1, F.col("nr"), F.col("sr")).alias("open_right"),
+        "k", "tree", "node", "nt", "st",
+        when_split(F.col("f")).alias("f"), when_split(F.col("thr")).alias("thr"),
+        when_split(F.col("nl")).alias("nl"), when_split(F.col("sl")).alias("sl"),
+        when_split(F.col("nr")).alias("nr"), when_split(F.col("sr")).alias("sr"),
+        when_split(is_open(task, depth + 1, F.col("nl"), F.col("sl"))).alias("open_left"),
+        when_split(is_open(task, depth + 1, F.col("nr"), F.col("sr"))).alias("open_right"),
     )
 
 
@@ -143,10 +149,11 @@ def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
     held = [state]
     births, splits = [], []
     for depth in range(max_depth):
-        hist = keep(histogram(state), f"hist-{depth}")
+        level = keep(best_splits(histogram(state), depth, task), f"split-{depth}")
         if depth == 0:
-            births.append(node_totals(hist).withColumn("depth", F.lit(0)))
-        sp = keep(best_splits(hist, depth, task), f"split-{depth}")
+            births.append(level.select(*KEYS, F.col("nt").alias("n"), F.col("st").alias("s"))
+                          .withColumn("depth", F.lit(0)))
+        sp = level.filter(F.col("f").isNotNull())
         splits.append(sp.select(*KEYS, "f", "thr"))
         child = F.lit(2) * F.col("node")
         births.append(sp.select("k", "tree", child.alias("node"), F.col("nl").alias("n"), F.col("sl").alias("s"))

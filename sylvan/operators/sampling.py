@@ -8,12 +8,16 @@ its keyed hash uniform falls below p.  The broadcast table has
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from sylvan.functions import params as P
-from sylvan.functions.hashing import uniform
+from sylvan.functions.hashing import hash_key, uniform
+from sylvan.sources.tables import local_rows
 
 # Upper bound on (grid key, tree) pairs held in one broadcast table.
 MAX_BROADCAST_TREES = 200_000
@@ -25,7 +29,8 @@ def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
     names = list(grid)
     out = None
     for n in names:
-        values = spark.createDataFrame([(P.ALLOWED_PARAMS[n](v),) for v in grid[n]], f"{n} int")
+        schema = T.StructType([T.StructField(n, T.IntegerType())])
+        values = local_rows(spark, [(P.ALLOWED_PARAMS[n](v),) for v in grid[n]], schema)
         out = values if out is None else out.crossJoin(values)
     key = F.concat_ws(",", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in names])
     return out.select(key.alias("k"), *names)
@@ -60,9 +65,47 @@ def column_mask(trees: DataFrame, n_features: int, col_p: float, min_cols: int,
     return trees.join(masks, ["k", "tree"], "inner")
 
 
+# One md5 gives four 32-bit uniforms; trees are hashed in blocks of four.
+SLICES_PER_HASH = 4
+
+
+def below_threshold_hex(p: float) -> str | None:
+    """8-digit lowercase hex t such that ``int(h, 16) / 2**32 < p`` iff ``h < t``.
+
+    ``None`` when every value passes.  Comparing hex text skips the base
+    conversion and the division per (row, tree).
+    """
+    c = math.ceil(p * 4294967296.0)  # exact: scaling by a power of two
+    if c >= 2 ** 32:
+        return None
+    return format(max(c, 0), "08x")
+
+
+def tree_blocks(trees: DataFrame) -> DataFrame:
+    """``(k, block, members)``: trees of a key grouped four to a hash, with their slice number."""
+    t0 = F.col("tree") - F.lit(1)
+    blocks = trees.withColumn("block", (t0 / F.lit(SLICES_PER_HASH)).cast("int")).withColumn(
+        "slice", (t0 % F.lit(SLICES_PER_HASH)).cast("int"))
+    member = F.struct(*[F.col(c) for c in trees.columns if c != "k"], F.col("slice"))
+    return blocks.groupBy("k", "block").agg(F.collect_list(member).alias("members"))
+
+
 def tree_sample(rows: DataFrame, trees: DataFrame, p: float, seed: str, n_pairs: int) -> DataFrame:
-    """Each row paired with every (k, tree) and kept with probability ``p`` (keyed by rid, k, tree)."""
+    """Each row paired with every (k, tree) and kept with probability ``p``.
+
+    The draw for (row, k, tree) is 32-bit slice ``(tree - 1) % 4`` of
+    ``md5('row|seed|rid|k|(tree - 1) div 4')``: a keyed hash uniform, so the
+    same rows are chosen on every run and in every engine.  The (k, block)
+    table is broadcast; its size is bounded by ``n_pairs``.
+    """
     if n_pairs > MAX_BROADCAST_TREES:
         raise ValueError(f"{n_pairs} (key, tree) pairs exceed the broadcast bound {MAX_BROADCAST_TREES}")
-    paired = rows.crossJoin(F.broadcast(trees))
-    return paired.filter(uniform("row", seed, F.col("rid"), F.col("k"), F.col("tree")) < F.lit(p))
+    th = below_threshold_hex(p)
+    paired = rows.crossJoin(F.broadcast(tree_blocks(trees)))
+    h = F.md5(hash_key("row", seed, F.col("rid"), F.col("k"), F.col("block")))
+    ex = paired.select(*rows.columns, "k", h.alias("_h"), F.explode("members").alias("_m"))
+    if th is not None:
+        start = F.col("_m.slice") * F.lit(8) + F.lit(1)
+        ex = ex.filter(F.col("_h").substr(start, F.lit(8)) < F.lit(th))
+    member_cols = [c for c in trees.columns if c != "k"]
+    return ex.select(*rows.columns, "k", *[F.col(f"_m.{c}").alias(c) for c in member_cols])

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sylvan.functions import text as tx
+from sylvan.sources.tables import local_rows
 
 # The stop-word table has this many rows at most; broadcasting it is safe.
 STOPWORD_TABLE_MAX_ROWS = 5000
@@ -20,7 +22,8 @@ def stopword_table(spark: SparkSession) -> DataFrame:
     pairs = tx.stopwords()
     if len(pairs) > STOPWORD_TABLE_MAX_ROWS:
         raise ValueError(f"stop-word table has {len(pairs)} rows, above the broadcast bound")
-    return spark.createDataFrame(list(pairs), "lang string, w string")
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("w", T.StringType())])
+    return local_rows(spark, pairs, schema)
 
 
 def split_words(lines: DataFrame) -> DataFrame:

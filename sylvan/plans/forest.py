@@ -19,6 +19,7 @@ from sylvan.operators import forest as fo
 from sylvan.operators import metrics as me
 from sylvan.operators import sampling as sa
 from sylvan.sources import read_table
+from sylvan.sources.tables import spread
 
 NUMERIC = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
 TO_INDEX = ["l_linestatus"]
@@ -55,9 +56,9 @@ class ForestConfig:
 
 def labelled_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFrame:
     """``rid, y, <raw features>, is_train`` from lineitem; rows with a null feature or label are dropped."""
-    li = read_table(spark, sf_dir, "lineitem")
     needed = NUMERIC + TO_INDEX + ["l_returnflag", "l_extendedprice"]
-    li = li.dropna(subset=needed)
+    keys = ["l_orderkey", "l_partkey", "l_suppkey"]
+    li = spread(read_table(spark, sf_dir, "lineitem").select(*keys, *needed)).dropna(subset=needed)
     rid = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     if cfg.task == "clf":
         y = (F.col("l_returnflag") == F.lit("R")).cast("long")

@@ -38,7 +38,10 @@ def base_ctes(cfg: ForestConfig) -> list[str]:
     u_split = sql_uniform("split", seed, "rid")
     u_col = sql_uniform("col", seed, "k", "tree", "f")
     u_pick = sql_uniform("pick", seed, "k", "tree", "f")
-    u_row = sql_uniform("row", seed, "t.rid", "g.k", "g.tree")
+    block_key = (f"concat_ws('|', 'row', '{seed}', CAST(t.rid AS VARCHAR), CAST(g.k AS VARCHAR), "
+                 f"CAST((g.tree - 1) // 4 AS VARCHAR))")
+    u_row = (f"(CAST(('0x' || substr(md5({block_key}), 8 * ((g.tree - 1) % 4) + 1, 8)) AS BIGINT) "
+             f"/ 4294967296.0::DOUBLE)")
     xs = ", ".join(f"t.{x}" for x in XS)
     min_cols = min(cfg.min_cols, N_FEATURES)
     return [

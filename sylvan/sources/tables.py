@@ -74,3 +74,21 @@ def range_like(df: DataFrame) -> DataFrame:
     """``spark.range(n)`` with n the row count of ``df``: an integer source sized by a table."""
     n = df.count()
     return df.sparkSession.range(0, n)
+
+
+def local_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small fixed table as a JVM-side local relation (``inline`` of literal structs).
+
+    Unlike ``createDataFrame(list)`` it needs no Python worker and the planner
+    knows its size, so joins against it broadcast without extra shuffles.
+    """
+    rows = list(rows)
+    fields = schema.fields
+    if not rows:
+        empty = F.array().cast(T.ArrayType(schema))
+        return spark.range(1).select(F.inline(empty))
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
