@@ -9,21 +9,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sylvan.functions import text as tx
-from sylvan.sources.tables import local_rows
 
 # The stop-word table has this many rows at most; broadcasting it is safe.
 STOPWORD_TABLE_MAX_ROWS = 5000
 
 
 def stopword_table(spark: SparkSession) -> DataFrame:
+    """``(lang, w)``: one newline-joined literal per language, exploded on the JVM side.
+
+    A few literals keep the plan small (an array of ~900 literal rows makes
+    analysis itself slow) and no Python worker is involved.
+    """
     pairs = tx.stopwords()
     if len(pairs) > STOPWORD_TABLE_MAX_ROWS:
         raise ValueError(f"stop-word table has {len(pairs)} rows, above the broadcast bound")
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("w", T.StringType())])
-    return local_rows(spark, pairs, schema)
+    by_lang: dict[str, list[str]] = {}
+    for lang, w in pairs:
+        by_lang.setdefault(lang, []).append(w)
+    per_lang = F.array(*[
+        F.struct(F.lit(lang).alias("lang"), F.split(F.lit("\n".join(words)), "\n").alias("ws"))
+        for lang, words in sorted(by_lang.items())
+    ])
+    return spark.range(1).select(F.inline(per_lang)).select("lang", F.explode("ws").alias("w"))
 
 
 def split_words(lines: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from sylvan.functions.hashing import sql_uniform, uniform
 from sylvan.operators import aggregate as ag
 from sylvan.session import scratch_path
 from sylvan.sources import csv_roundtrip, range_like, read_table, rows_from_collection, synth_rows
+from sylvan.sources.tables import spread
 
 SEED = "42"
 # A dimension table collected to the driver must stay below this many rows.
@@ -21,6 +22,15 @@ def lineitem_rid(df: DataFrame) -> DataFrame:
     return df.withColumn("rid", rid)
 
 
+LINEITEM_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+def lineitem_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rid`` of every lineitem row, spread over the cores before per-row hashing."""
+    li = spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_KEYS))
+    return lineitem_rid(li).select("rid")
+
+
 RID_SQL = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
 
 
@@ -43,8 +53,7 @@ def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = lineitem_rid(read_table(spark, sf_dir, "lineitem"))
-    return synth_rows(li, "rid", SEED)
+    return synth_rows(lineitem_keys(spark, sf_dir), "rid", SEED)
 
 
 def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,13 +79,13 @@ def _inside_unit_circle(rid) -> F.Column:
 
 def indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per lineitem row: is its hash point inside the unit circle (0/1)."""
-    li = lineitem_rid(read_table(spark, sf_dir, "lineitem"))
+    li = lineitem_keys(spark, sf_dir)
     return li.select("rid", ag.indicator(_inside_unit_circle(F.col("rid"))).alias("inside"))
 
 
 def indicator_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``4 * inside / n`` over lineitem rows: the pi estimate, one hash point per row."""
-    li = lineitem_rid(read_table(spark, sf_dir, "lineitem"))
+    li = lineitem_keys(spark, sf_dir)
     return ag.indicator_ratio(li, _inside_unit_circle(F.col("rid")), 4.0, "ratio")
 
 
