@@ -61,3 +61,38 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
     """Numeric columns to one ``array<double>`` column through ``VectorAssembler``."""
     assembled = VectorAssembler(inputCols=cols, outputCol="_vec").transform(df)
     return assembled.withColumn(out, vector_to_array(F.col("_vec"), "float64")).drop("_vec")
+
+
+# Largest number of distinct labels a string column may have to be indexed here
+# (the labels come to the driver, as with StringIndexer).
+MAX_LABELS = 100_000
+_SEP = "\u0001"
+
+
+def label_order(df: DataFrame, col: str) -> tuple[list[str], int]:
+    """Labels by frequency (desc) then value, and the number of rows counted: one aggregation job."""
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt")).limit(MAX_LABELS + 1).collect()
+    if len(counts) > MAX_LABELS:
+        raise ValueError(f"{col} has more than {MAX_LABELS} distinct labels")
+    if any(r[col] is None for r in counts):
+        raise ValueError(f"{col} has null labels")
+    ordered = sorted(counts, key=lambda r: (-r["cnt"], r[col]))
+    return [r[col] for r in ordered], sum(r["cnt"] for r in ordered)
+
+
+def index_table(spark, labels: list[str], col: str) -> DataFrame:
+    """``(col, <col>_idx)`` as a JVM-side table: one joined literal split back into rows."""
+    if any(_SEP in v for v in labels):
+        raise ValueError("label contains the reserved separator")
+    parts = F.split(F.lit(_SEP.join(labels)), _SEP)
+    return spark.range(1).select(F.posexplode(parts).alias("_i", col)).select(
+        col, F.col("_i").cast("double").alias(indexed_name(col)))
+
+
+def index_labels(df: DataFrame, labels: list[str], col: str) -> DataFrame:
+    """Replace a string column by its label index; an unseen label is an error (as StringIndexer)."""
+    table = index_table(df.sparkSession, labels, col)  # one row per label, bounded by MAX_LABELS
+    joined = df.join(F.broadcast(table), col, "left")
+    idx = F.col(indexed_name(col))
+    checked = F.when(idx.isNull(), F.raise_error(F.lit(f"unseen label in {col}"))).otherwise(idx)
+    return joined.withColumn(indexed_name(col), checked.cast("double")).drop(col)

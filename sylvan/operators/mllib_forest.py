@@ -24,9 +24,9 @@ from sylvan.functions import params as P
 MAX_BINS = 64
 
 
-def fit_and_predict(train: DataFrame, test: DataFrame, cfg) -> DataFrame:
+def fit_and_predict(train: DataFrame, test: DataFrame, n_train: int, cfg) -> DataFrame:
     """``(rid, k, prediction)`` on the test rows for every grid key."""
-    p = P.sampling_rate(train.count(), cfg.max_p, cfg.max_rows)
+    p = P.sampling_rate(n_train, cfg.max_p, cfg.max_rows)
     tr = train.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"))
     te = test.select("rid", array_to_vector("x").alias("features"))
     outs = []

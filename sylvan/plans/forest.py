@@ -1,8 +1,9 @@
 """Forest grid search on lineitem: features, sampling, growth, scoring and selection.
 
 Every stage is a DataFrame plan.  The only values that reach the driver are
-the training row count (to fix the sampling rate) and, inside MLlib, the
-label list of the string indexer.
+the per-label counts of the string feature (bounded by its cardinality and
+checked, as StringIndexer does), which give the label order and the training
+row count that fixes the sampling rate.
 """
 
 from __future__ import annotations
@@ -70,7 +71,28 @@ def labelled_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFr
 
 
 def feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
-    """``(train, test, model)``: ``rid, x array<double>, y`` after a pipeline fitted on train."""
+    """``(train, test, n_train)``: rows ``rid, x array<double>, y`` with the string feature indexed.
+
+    One aggregation over the training rows gives the label order (frequency,
+    then value, as StringIndexer) and the training row count; features are
+    then a plain ``array(...)`` expression, no UDF.
+    """
+    rows = labelled_rows(spark, sf_dir, cfg)
+    train_raw = rows.filter(F.col("is_train"))
+    test_raw = rows.filter(~F.col("is_train"))
+    (col,) = TO_INDEX
+    labels, n_train = feat.label_order(train_raw, col)
+
+    def prep(df: DataFrame) -> DataFrame:
+        indexed = feat.index_labels(df, labels, col)
+        x = F.array(*[F.col(c) for c in NUMERIC], F.col(feat.indexed_name(col)))
+        return indexed.select("rid", x.alias("x"), "y")
+
+    return prep(train_raw), prep(test_raw), n_train
+
+
+def mllib_feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
+    """Same rows through an MLlib ``Pipeline`` (StringIndexer + VectorAssembler) fitted on train."""
     rows = labelled_rows(spark, sf_dir, cfg)
     train_raw = rows.filter(F.col("is_train"))
     test_raw = rows.filter(~F.col("is_train"))
@@ -88,17 +110,13 @@ def grid_with_masks(spark: SparkSession, cfg: ForestConfig) -> DataFrame:
     return sa.column_mask(trees, N_FEATURES, cfg.col_p, cfg.min_cols, cfg.seed)
 
 
-def sampling_rate_of(train: DataFrame, cfg: ForestConfig) -> float:
-    return P.sampling_rate(train.count(), cfg.max_p, cfg.max_rows)
-
-
-def sample_for_trees(spark: SparkSession, train: DataFrame, cfg: ForestConfig) -> DataFrame:
-    p = sampling_rate_of(train, cfg)
+def sample_for_trees(spark: SparkSession, train: DataFrame, n_train: int, cfg: ForestConfig) -> DataFrame:
+    p = P.sampling_rate(n_train, cfg.max_p, cfg.max_rows)
     return sa.tree_sample(train, grid_with_masks(spark, cfg), p, cfg.seed, cfg.n_pairs)
 
 
-def fit_forest(spark: SparkSession, train: DataFrame, cfg: ForestConfig) -> DataFrame:
-    sampled = sample_for_trees(spark, train, cfg)
+def fit_forest(spark: SparkSession, train: DataFrame, n_train: int, cfg: ForestConfig) -> DataFrame:
+    sampled = sample_for_trees(spark, train, n_train, cfg)
     return fo.grow_forest(sampled, cfg.task, cfg.depth, cfg.n_pairs)
 
 
@@ -112,8 +130,8 @@ class GridResult:
 
 
 def run_grid(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> GridResult:
-    train, test, _ = feature_rows(spark, sf_dir, cfg)
-    nodes = fit_forest(spark, train, cfg)
+    train, test, n_train = feature_rows(spark, sf_dir, cfg)
+    nodes = fit_forest(spark, train, n_train, cfg)
     votes = fo.forest_votes(test, nodes, cfg.depth, cfg.n_pairs)
     if cfg.task == "clf":
         unit = F.col("score").cast("double") / (F.col("n_trees").cast("double") * F.lit(fo.VOTE_SCALE["clf"]))

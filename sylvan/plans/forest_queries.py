@@ -36,8 +36,8 @@ def _fit(spark: SparkSession, sf_dir: str, cfg: pf.ForestConfig) -> pf.GridResul
 
 
 def _train(spark, sf_dir, cfg=CLF):
-    train, _, _ = pf.feature_rows(spark, sf_dir, cfg)
-    return train
+    train, _, n_train = pf.feature_rows(spark, sf_dir, cfg)
+    return train, n_train
 
 
 def string_index(spark, sf_dir):
@@ -51,12 +51,12 @@ def assemble_features(spark, sf_dir):
 
 
 def feature_pipeline(spark, sf_dir):
-    _, test, _ = pf.feature_rows(spark, sf_dir, CLF)
+    _, test, _ = pf.mllib_feature_rows(spark, sf_dir, CLF)
     return test.select("rid", F.col("x").alias("features"), "y")
 
 
 def sampling_rate(spark, sf_dir):
-    train = _train(spark, sf_dir)
+    train = pf.labelled_rows(spark, sf_dir, CLF).filter("is_train")
     n = F.count(F.lit(1))
     return train.agg(n.alias("n_train"), P.sampling_rate_col(n, CLF.max_p, CLF.max_rows).alias("p"))
 
@@ -67,7 +67,8 @@ def param_grid(spark, sf_dir):
 
 
 def _sampled(spark, sf_dir):
-    return pf.sample_for_trees(spark, _train(spark, sf_dir), CLF)
+    train, n_train = _train(spark, sf_dir)
+    return pf.sample_for_trees(spark, train, n_train, CLF)
 
 
 def tree_sample(spark, sf_dir):
@@ -170,13 +171,13 @@ def model_roundtrip(spark, sf_dir):
 
 
 def forest_fit_clf(spark, sf_dir):
-    train, test, _ = pf.feature_rows(spark, sf_dir, CLF)
-    return mllib_forest.fit_and_predict(train, test, CLF)
+    train, test, n_train = pf.feature_rows(spark, sf_dir, CLF)
+    return mllib_forest.fit_and_predict(train, test, n_train, CLF)
 
 
 def forest_fit_reg(spark, sf_dir):
-    train, test, _ = pf.feature_rows(spark, sf_dir, REG)
-    return mllib_forest.fit_and_predict(train, test, REG)
+    train, test, n_train = pf.feature_rows(spark, sf_dir, REG)
+    return mllib_forest.fit_and_predict(train, test, n_train, REG)
 
 
 def forest_queries() -> dict:
