@@ -55,6 +55,11 @@ class ForestConfig:
         return max(int(d) for d in self.grid["max_depth"])
 
 
+def is_train_col(rid, cfg: ForestConfig):
+    """The train/test split: a keyed hash uniform of the row id below ``train_share``."""
+    return uniform("split", cfg.seed, rid) < F.lit(cfg.train_share)
+
+
 def labelled_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFrame:
     """``rid, y, <raw features>, is_train`` from lineitem; rows with a null feature or label are dropped."""
     needed = NUMERIC + TO_INDEX + ["l_returnflag", "l_extendedprice"]
@@ -67,7 +72,7 @@ def labelled_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFr
         y = F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("long")
     rows = li.select(rid.alias("rid"), y.alias("y"), *[F.col(c).cast("double").alias(c) for c in NUMERIC],
                      *TO_INDEX)
-    return rows.withColumn("is_train", uniform("split", cfg.seed, F.col("rid")) < F.lit(cfg.train_share))
+    return rows.withColumn("is_train", is_train_col(F.col("rid"), cfg))
 
 
 def feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):

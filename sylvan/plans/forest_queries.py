@@ -152,6 +152,8 @@ def append_prediction(spark, sf_dir):
     res = _fit(spark, sf_dir, CLF)
     preds = pf.best_predictions(res, "clf").select("rid", "prediction", "probability")
     li = lineitem_rid(read_table(spark, sf_dir, "lineitem"))
+    # Keep only test rows before the join, so the shuffle carries the test share, not the table.
+    li = li.filter(~pf.is_train_col(F.col("rid"), CLF))
     return li.join(preds, "rid", "inner")
 
 
@@ -210,7 +212,6 @@ def forest_queries() -> dict:
 
 
 def forest_oracles() -> dict:
-    total = "(CAST(n_trees AS DOUBLE) * 1000000000.0::DOUBLE)"
     stump = "SELECT k, tree, node, f, thr, n, s FROM nodes WHERE depth = 0 AND NOT is_leaf"
     prob_arr = "[1.0::DOUBLE - prob, prob] AS probability"
     return {
