@@ -65,13 +65,20 @@ def histogram(state: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
 
 
-def best_splits(hist: DataFrame, depth: int, task: str) -> DataFrame:
+def midpoint_threshold(f: Column, v: Column, v_next: Column) -> Column:
+    return (v + v_next) / F.lit(2.0)
+
+
+def best_splits(hist: DataFrame, depth: int, task: str, threshold=midpoint_threshold) -> DataFrame:
     """One row per node of the histogram: its totals and, if it has one, its best valid split.
 
-    Output ``(k, tree, node, nt, st, f, thr, nl, sl, nr, sr, open_left,
-    open_right)``; the split columns are null when the node is closed or no
-    split leaves ``min_samples_leaf`` rows on both sides.  Totals and the
-    best split come out of the same window pass.
+    Output ``(k, tree, node, nt, st, f, split_v, thr, nl, sl, nr, sr,
+    open_left, open_right)``; the split columns are null when the node is
+    closed or no split leaves ``min_samples_leaf`` rows on both sides.
+    ``split_v`` is the largest histogram value sent left (rows of the node go
+    right iff their histogram value is above it); ``thr`` is the threshold on
+    raw feature values, by default the midpoint to the next value.  Totals
+    and the best split come out of the same window pass.
     """
     w_f = Window.partitionBy("k", "tree", "node", "f")
     w_run = w_f.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -93,8 +100,8 @@ def best_splits(hist: DataFrame, depth: int, task: str) -> DataFrame:
     sl, sr = F.col("sl").cast("double"), F.col("sr").cast("double")
     cand = c.select(
         "k", "tree", "node", "min_leaf", "max_depth", "nt", "st", "f", "nl", "sl", "nr", "sr",
-        valid.alias("valid"),
-        ((F.col("v") + F.col("v_next")) / F.lit(2.0)).alias("thr"),
+        valid.alias("valid"), F.col("v").alias("split_v"),
+        threshold(F.col("f"), F.col("v"), F.col("v_next")).alias("thr"),
         F.when(valid, sl * sl / F.col("nl") + sr * sr / F.col("nr")).alias("score"),
     )
     w_node = Window.partitionBy("k", "tree", "node").orderBy(
@@ -107,7 +114,8 @@ def best_splits(hist: DataFrame, depth: int, task: str) -> DataFrame:
 
     return best.select(
         "k", "tree", "node", "nt", "st",
-        when_split(F.col("f")).alias("f"), when_split(F.col("thr")).alias("thr"),
+        when_split(F.col("f")).alias("f"), when_split(F.col("split_v")).alias("split_v"),
+        when_split(F.col("thr")).alias("thr"),
         when_split(F.col("nl")).alias("nl"), when_split(F.col("sl")).alias("sl"),
         when_split(F.col("nr")).alias("nr"), when_split(F.col("sr")).alias("sr"),
         when_split(is_open(task, depth + 1, F.col("nl"), F.col("sl"))).alias("open_left"),
@@ -120,8 +128,11 @@ def _feature(f: Column) -> Column:
 
 
 def route_one_level(state: DataFrame, splits: DataFrame, row_bound: int) -> DataFrame:
-    """Move rows of split nodes to their open child; rows reaching a closed child are dropped."""
-    s = splits.select("k", "tree", "node", F.col("f").alias("_f"), F.col("thr").alias("_thr"),
+    """Move rows of split nodes to their open child; rows reaching a closed child are dropped.
+
+    Training rows carry histogram values, so they compare with ``split_v``.
+    """
+    s = splits.select("k", "tree", "node", F.col("f").alias("_f"), F.col("split_v").alias("_thr"),
                       "open_left", "open_right")
     j = state.join(_maybe_broadcast(s, row_bound), KEYS, "inner")
     right = _feature(F.col("_f")) > F.col("_thr")
@@ -131,12 +142,13 @@ def route_one_level(state: DataFrame, splits: DataFrame, row_bound: int) -> Data
 
 
 def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
-                cut_lineage: bool = True) -> DataFrame:
+                cut_lineage: bool = True, threshold=midpoint_threshold) -> DataFrame:
     """Grow every (k, tree) of ``sampled`` to its own max_depth.
 
     ``sampled`` has ``k, tree, min_leaf, max_depth, mask, x, y``; ``max_depth``
     here is the largest depth in the grid and bounds the number of passes.
-    Returns the node table ``(k, tree, node, depth, n, s, f, thr, is_leaf, vote)``.
+    ``threshold`` maps a split in histogram units to a raw threshold (see
+    :mod:`sylvan.operators.binning` for binned features).  Returns the node table ``(k, tree, node, depth, n, s, f, thr, is_leaf, vote)``.
     """
     if task not in VOTE_SCALE:
         raise ValueError(f"task must be one of {sorted(VOTE_SCALE)}")
@@ -149,7 +161,7 @@ def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
     held = [state]
     births, splits = [], []
     for depth in range(max_depth):
-        level = keep(best_splits(histogram(state), depth, task), f"split-{depth}")
+        level = keep(best_splits(histogram(state), depth, task, threshold), f"split-{depth}")
         if depth == 0:
             births.append(level.select(*KEYS, F.col("nt").alias("n"), F.col("st").alias("s"))
                           .withColumn("depth", F.lit(0)))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sylvan.functions import params as P
 from sylvan.functions.hashing import uniform
+from sylvan.operators import binning
 from sylvan.operators import features as feat
 from sylvan.operators import forest as fo
 from sylvan.operators import metrics as me
@@ -38,6 +39,8 @@ class ForestConfig:
     seed: str = "42"
     task: str = "clf"
     train_share: float = 0.95
+    # None: exact histograms over distinct values; an int: quantile bins per feature.
+    max_bins: int | None = None
 
     @property
     def n_keys(self) -> int:
@@ -121,8 +124,13 @@ def sample_for_trees(spark: SparkSession, train: DataFrame, n_train: int, cfg: F
 
 
 def fit_forest(spark: SparkSession, train: DataFrame, n_train: int, cfg: ForestConfig) -> DataFrame:
+    threshold = fo.midpoint_threshold
+    if cfg.max_bins:
+        edges = binning.quantile_edges(train, N_FEATURES, cfg.max_bins)
+        train = binning.binned(train, edges)
+        threshold = binning.edge_threshold(edges)
     sampled = sample_for_trees(spark, train, n_train, cfg)
-    return fo.grow_forest(sampled, cfg.task, cfg.depth, cfg.n_pairs)
+    return fo.grow_forest(sampled, cfg.task, cfg.depth, cfg.n_pairs, threshold=threshold)
 
 
 @dataclass

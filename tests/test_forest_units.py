@@ -170,3 +170,32 @@ def test_uniform_is_in_unit_interval(spark):
     df = spark.range(1000).select(uniform("t", "1", F.col("id")).alias("u"))
     row = df.agg(F.min("u").alias("lo"), F.max("u").alias("hi"), F.avg("u").alias("m")).first()
     assert 0.0 <= row["lo"] and row["hi"] < 1.0 and abs(row["m"] - 0.5) < 0.05
+
+
+def test_binned_forest_matches_exact_when_bins_separate_all_values(spark):
+    from sylvan.operators import binning
+
+    rows = [([i % 10, (i * 7) % 13], int((i * 31) % 17 < 6 or i % 10 > 6)) for i in range(1300)]
+    state = _state(spark, rows, min_leaf=20, max_depth=3)
+    exact = {r["node"]: r for r in fo.grow_forest(state, "clf", 3, 1, cut_lineage=False).collect()}
+    edges = binning.quantile_edges(state, 2, 64)
+    assert edges == [[float(v) for v in range(10)], [float(v) for v in range(13)]]
+    binned_state = binning.binned(state, edges)
+    nodes = fo.grow_forest(binned_state, "clf", 3, 1, cut_lineage=False,
+                           threshold=binning.edge_threshold(edges)).collect()
+    binned = {r["node"]: r for r in nodes}
+    assert set(binned) == set(exact)
+    for node, r in exact.items():
+        b = binned[node]
+        assert (b["n"], b["s"], b["f"], b["is_leaf"], b["vote"]) == (r["n"], r["s"], r["f"], r["is_leaf"], r["vote"])
+        if not r["is_leaf"]:
+            assert b["thr"] == r["thr"] - 0.5  # edge value vs midpoint to the next integer
+
+
+def test_bin_index_is_count_of_edges_below(spark):
+    from sylvan.operators import binning
+
+    edges = [0.5, 1.5, 2.5, 10.0]
+    df = spark.createDataFrame([(v,) for v in [-1.0, 0.5, 0.6, 2.5, 3.0, 10.0, 11.0]], "v double")
+    got = [r["b"] for r in df.select(binning.bin_index(F.col("v"), edges).alias("b")).collect()]
+    assert got == [0, 0, 1, 2, 3, 3, 4]
