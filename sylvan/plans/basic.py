@@ -27,7 +27,7 @@ LINEITEM_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 def lineitem_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``rid`` of every lineitem row, spread over the cores before per-row hashing."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_KEYS))
+    li = spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_KEYS), keys=LINEITEM_KEYS)
     return lineitem_rid(li).select("rid")
 
 

@@ -21,7 +21,8 @@ from sylvan.operators import forest as fo
 from sylvan.operators import metrics as me
 from sylvan.operators import sampling as sa
 from sylvan.sources import read_table
-from sylvan.sources.tables import spread
+from sylvan.session import materialize
+from sylvan.sources.tables import needs_spread
 
 NUMERIC = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
 TO_INDEX = ["l_linestatus"]
@@ -64,10 +65,21 @@ def is_train_col(rid, cfg: ForestConfig):
 
 
 def labelled_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFrame:
-    """``rid, y, <raw features>, is_train`` from lineitem; rows with a null feature or label are dropped."""
+    """``rid, y, <raw features>, is_train`` from lineitem; rows with a null feature or label are dropped.
+
+    When the scan has fewer partitions than cores, the rows are spread and
+    written once (with ``rid`` and ``is_train`` computed), so the per-row
+    hashing runs in parallel and the later passes (label counts, sampling,
+    scoring) read that copy.  At scale the scan is already split and
+    nothing is copied.
+    """
     needed = NUMERIC + TO_INDEX + ["l_returnflag", "l_extendedprice"]
     keys = ["l_orderkey", "l_partkey", "l_suppkey"]
-    li = spread(read_table(spark, sf_dir, "lineitem").select(*keys, *needed)).dropna(subset=needed)
+    li = read_table(spark, sf_dir, "lineitem").select(*keys, *needed)
+    small = needs_spread(li)
+    if small:
+        li = li.repartition(spark.sparkContext.defaultParallelism, *keys, "l_linenumber")
+    li = li.dropna(subset=needed)
     rid = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     if cfg.task == "clf":
         y = (F.col("l_returnflag") == F.lit("R")).cast("long")
@@ -75,7 +87,8 @@ def labelled_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFr
         y = F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("long")
     rows = li.select(rid.alias("rid"), y.alias("y"), *[F.col(c).cast("double").alias(c) for c in NUMERIC],
                      *TO_INDEX)
-    return rows.withColumn("is_train", is_train_col(F.col("rid"), cfg))
+    rows = rows.withColumn("is_train", is_train_col(F.col("rid"), cfg))
+    return materialize(rows, "lineitem-rows") if small else rows
 
 
 def feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):

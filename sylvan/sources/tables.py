@@ -16,18 +16,30 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def needs_spread(df: DataFrame) -> bool:
+    """True when a scan has fewer partitions than the session has cores."""
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, keys=None, copy: bool = False) -> DataFrame:
     """Give a scan at least one partition per core before heavy per-row work.
 
-    Large inputs already arrive in many splits and are left alone (no shuffle);
-    a few big files (one row group each, as in the test data) are spread
-    round-robin so that tokenising does not run in a single task.
+    Large inputs already arrive in many splits and are returned unchanged (no
+    shuffle).  A scan with fewer partitions than cores (a few files of one
+    row group each, as in the test data) is hash-partitioned on ``keys``
+    (default: all columns; deterministic, so no pre-sort as round-robin
+    needs).  With ``copy`` the spread rows are also written once under the
+    checkpoint directory: filters are then evaluated in parallel instead of
+    being pushed into the single scan task, and later passes read the copy.
     """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    if not needs_spread(df):
+        return df
+    out = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *(keys or df.columns))
+    if copy:
+        from sylvan.session import materialize
+
+        out = materialize(out, "spread")
+    return out
 
 
 def lines_of(docs: DataFrame, text_col: str = "text", keep=("doc_id", "lang")) -> DataFrame:
@@ -41,7 +53,7 @@ def lines_of(docs: DataFrame, text_col: str = "text", keep=("doc_id", "lang")) -
 
 def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the ``documents`` table."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), keys=["doc_id"])
     return lines_of(docs)
 
 
