@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from sylvan.session import materialize
+from sylvan.session import drop_path, materialize, materialize_at
 
 # Leaf value scale: nano-probability for classification, milli-cents for regression.
 VOTE_SCALE = {"clf": 1_000_000_000.0, "reg": 1000.0}
@@ -154,7 +154,14 @@ def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
         raise ValueError(f"task must be one of {sorted(VOTE_SCALE)}")
     if max_depth < 1:
         raise ValueError("max_depth must be at least 1")
-    keep = (lambda df, name: materialize(df, name)) if cut_lineage else (lambda df, name: df)
+    written: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if not cut_lineage:
+            return df
+        out, path = materialize_at(df, name)
+        written.append(path)
+        return out
 
     state = sampled.select("k", "tree", "min_leaf", "max_depth", "mask", "x", "y",
                            F.lit(1).alias("node")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -187,9 +194,12 @@ def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
         F.col("f").isNull().alias("is_leaf"),
         F.floor(F.col("s").cast("double") * scale / F.col("n") + F.lit(0.5)).cast("long").alias("vote"),
     )
-    nodes = keep(nodes, "nodes")
+    if cut_lineage:
+        nodes = materialize(nodes, "nodes")
     for df in held:
         df.unpersist()
+    for path in written:  # per-level tables: nothing reads them once the node table is written
+        drop_path(sampled.sparkSession, path)
     return nodes
 
 

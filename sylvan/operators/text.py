@@ -35,30 +35,35 @@ def stopword_table(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(per_lang)).select("lang", F.explode("ws").alias("w"))
 
 
+def _ids(lines: DataFrame) -> list[str]:
+    """Line identity columns: everything but the text and its language."""
+    return [c for c in lines.columns if c not in ("line", "lang")]
+
+
 def split_words(lines: DataFrame) -> DataFrame:
-    """One row per space-separated word (empty words kept): ``(doc_id, line_no, pos, w)``."""
-    return lines.select("doc_id", "line_no", F.posexplode(tx.split_words(F.col("line"))).alias("pos", "w"))
+    """One row per space-separated word (empty words kept): ``(<line ids>, pos, w)``."""
+    return lines.select(*_ids(lines), F.posexplode(tx.split_words(F.col("line"))).alias("pos", "w"))
 
 
 def lower_lines(lines: DataFrame) -> DataFrame:
-    return lines.select("doc_id", "line_no", F.lower("line").alias("line"))
+    return lines.select(*_ids(lines), F.lower("line").alias("line"))
 
 
 def strip_dates(lines: DataFrame) -> DataFrame:
     """Dates removed from lowercased lines."""
-    return lines.select("doc_id", "line_no", tx.strip_dates(F.lower("line")).alias("line"))
+    return lines.select(*_ids(lines), tx.strip_dates(F.lower("line")).alias("line"))
 
 
 def tokenize(lines: DataFrame) -> DataFrame:
     """Tokens of lowercased, date-stripped lines (no entity removal, no stop words)."""
     cleaned = tx.strip_dates(F.lower("line"))
-    return lines.select("doc_id", "line_no", F.posexplode(tx.tokens(cleaned)).alias("pos", "token"))
+    return lines.select(*_ids(lines), F.posexplode(tx.tokens(cleaned)).alias("pos", "token"))
 
 
 def remove_entities(lines: DataFrame) -> DataFrame:
     """Entity strings replaced by a space, in lines longer than the gate length."""
     long_lines = lines.filter(F.length("line") > tx.ENTITY_MIN_LINE_LENGTH)
-    return long_lines.select("doc_id", "line_no", tx.remove_entities(F.col("line")).alias("line"))
+    return long_lines.select(*_ids(lines), tx.remove_entities(F.col("line")).alias("line"))
 
 
 def entity_set(lines: DataFrame) -> DataFrame:
@@ -76,26 +81,37 @@ def stopword_filter(tokens: DataFrame, spark: SparkSession | None = None,
     return tokens.join(F.broadcast(stop), [lang_col, word_col], "left_anti")
 
 
+# Language assumed for lines that carry none (plain text files).
+DEFAULT_LANG = "en"
+
+
+def _lang(lines: DataFrame):
+    return F.col("lang") if "lang" in lines.columns else F.lit(DEFAULT_LANG)
+
+
 def filtered_tokens(lines: DataFrame) -> DataFrame:
     """Tokens of lowercased, date-stripped lines without stop words (no entity removal)."""
+    ids = _ids(lines)
     toks = lines.select(
-        "doc_id", "lang", "line_no",
+        *ids, _lang(lines).alias("lang"),
         F.posexplode(tx.tokens(tx.strip_dates(F.lower("line")))).alias("pos", "token"),
     )
-    return stopword_filter(toks).select("doc_id", "line_no", "pos", "token")
+    return stopword_filter(toks).select(*ids, "pos", "token")
 
 
 def clean_tokens(lines: DataFrame) -> DataFrame:
     """Full cleaning: entities (long lines) -> lowercase -> dates -> tokens -> stop words.
 
-    Output ``(doc_id, line_no, pos, token)``; ``pos`` is the token's place
-    before stop words were removed.
+    Output ``(<line ids>, pos, token)``; ``pos`` is the token's place before
+    stop words were removed.  Lines without a ``lang`` column use English
+    stop words.
     """
+    ids = _ids(lines)
     toks = lines.select(
-        "doc_id", "lang", "line_no",
+        *ids, _lang(lines).alias("lang"),
         F.posexplode(tx.tokens(tx.clean_line(F.col("line")))).alias("pos", "token"),
     )
-    return stopword_filter(toks).select("doc_id", "line_no", "pos", "token")
+    return stopword_filter(toks).select(*ids, "pos", "token")
 
 
 def word_count(words: DataFrame, word_col: str = "w") -> DataFrame:

@@ -56,8 +56,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared checkpoint directory and read it back.
+def materialize_at(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint directory; return (re-read df, path).
 
     Used to cut lineage in iterative plans (one job, survives executor loss,
     unlike a local checkpoint).
@@ -65,4 +65,14 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def materialize(df, name: str):
+    return materialize_at(df, name)[0]
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table written by :func:`materialize_at` once nothing reads it."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -58,9 +58,13 @@ def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of plain text files, one row per line, with a stable line number per file."""
+    """Lines of plain text files: ``(file, line_id, line)``, newline removed.
+
+    ``line_id`` is unique and increases along each file, but is not a
+    consecutive line number: numbering lines would need one task per file.
+    """
     raw = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
-    return raw.withColumn("line_no", F.monotonically_increasing_id())
+    return raw.select("file", F.monotonically_increasing_id().alias("line_id"), "line")
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:

@@ -112,3 +112,20 @@ def test_topk_equals_rank_property(spark):
 def test_topk_values_keep_repeats(spark):
     pairs = [("a", 3), ("b", 3), ("c", 1)]
     assert [r["n"] for r in ag.topk_values(_counts(spark, pairs), 2).collect()] == [3, 3]
+
+
+def test_text_file_source_counts_equal_table_counts(spark):
+    import tempfile
+
+    from sylvan.plans.wordcount import plain_word_counts
+    from sylvan.sources import read_text_lines
+    from tests.conftest import SF_SMALL
+
+    out = tempfile.mkdtemp(prefix="sylvan-text-")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs.select("text").write.mode("overwrite").text(out)
+    lines = read_text_lines(spark, out)
+    got = {(r["w"], r["n"]) for r in tops.word_count(tops.split_words(lines)).collect()}
+    want = {(r["w"], r["n"]) for r in plain_word_counts(spark, SF_SMALL).collect()}
+    assert got == want
+    assert tops.clean_tokens(lines).count() > 0
