@@ -11,7 +11,7 @@ def q(s: str) -> str:
 
 
 LINES = """lines AS (
-  SELECT doc_id, lang, generate_subscripts(parts, 1) - 1 AS line_no, unnest(parts) AS line
+  SELECT doc_id, lang, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS line_no, unnest(parts) AS line
   FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)
 )"""
 
@@ -45,7 +45,7 @@ def tokens_sql(expr: str) -> str:
 
 
 def exploded(list_expr: str, pos: str, val: str, cols: str = "doc_id, line_no", src: str = "lines") -> str:
-    return (f"SELECT {cols}, generate_subscripts(arr, 1) - 1 AS {pos}, unnest(arr) AS {val} "
+    return (f"SELECT {cols}, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS {pos}, unnest(arr) AS {val} "
             f"FROM (SELECT {cols}, {list_expr} AS arr FROM {src})")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sylvan.operators import aggregate as ag
 from sylvan.operators import text as tops
 from sylvan.plans import basic, wordcount
+from sylvan.plans.forest_queries import forest_oracles, forest_queries
 from sylvan.plans.oracle_text import text_oracles
 from sylvan.sources import read_table, scan_lines
 
@@ -59,10 +60,6 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(text_queries())
     out.update(basic_queries())
-    try:
-        from sylvan.plans.forest_queries import forest_queries
-    except ImportError:
-        return out
     out.update(forest_queries())
     return out
 
@@ -71,9 +68,5 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(text_oracles())
     out.update(basic.basic_oracles())
-    try:
-        from sylvan.plans.forest_queries import forest_oracles
-    except ImportError:
-        return out
     out.update(forest_oracles())
     return out

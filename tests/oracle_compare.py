@@ -44,6 +44,20 @@ def _norm(v):
     return ("s", str(v))
 
 
+# Spark simple type name -> DuckDB type name of the same values.
+TYPE_NAMES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+              "boolean": "BOOLEAN", "array<double>": "DOUBLE[]", "timestamp": "TIMESTAMP",
+              "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+def type_mismatches(df, rel) -> dict:
+    spark_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (spark_types.get(c), duck_types.get(c))
+            for c in set(spark_types) | set(duck_types) if spark_types.get(c) != duck_types.get(c)}
+
+
 def normalise(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     cols = [columns[i] for i in order]
@@ -63,12 +77,15 @@ def compare(spark, name: str, query, sql: str | None, sf_dir: str) -> dict:
     con = duck(sf_dir)
     rel = con.sql(sql)
     d_cols = list(rel.columns)
+    bad_types = type_mismatches(df, rel)
     d_rows = rel.fetchall()
     s_cols, s_norm = normalise(df.columns, s_rows)
     d_cols2, d_norm = normalise(d_cols, d_rows)
     res["oracle_rows"] = len(d_rows)
     if s_cols != d_cols2:
         res["status"] = f"schema mismatch spark={s_cols} oracle={d_cols2}"
+    elif bad_types:
+        res["status"] = f"type mismatch {bad_types}"
     elif len(s_rows) != len(d_rows):
         res["status"] = "row count mismatch"
     elif s_norm != d_norm:
