@@ -38,13 +38,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, setting a local one only if none is configured."""
+    """Return the shared checkpoint directory, setting a local one only if none is configured.
+
+    A machine-local folder is only acceptable in local mode (tests); on a
+    cluster an unset ``spark.checkpoint.dir`` is an error, since executors
+    must all see the tables written there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set; point it at a folder shared by all executors")
     local = tempfile.mkdtemp(prefix="sylvan-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
