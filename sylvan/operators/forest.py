@@ -148,7 +148,8 @@ def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
     ``sampled`` has ``k, tree, min_leaf, max_depth, mask, x, y``; ``max_depth``
     here is the largest depth in the grid and bounds the number of passes.
     ``threshold`` maps a split in histogram units to a raw threshold (see
-    :mod:`sylvan.operators.binning` for binned features).  Returns the node table ``(k, tree, node, depth, n, s, f, thr, is_leaf, vote)``.
+    :mod:`sylvan.operators.binning` for binned features).  Returns the node
+    table ``(k, tree, node, depth, n, s, f, thr, is_leaf, vote)``.
     """
     if task not in VOTE_SCALE:
         raise ValueError(f"task must be one of {sorted(VOTE_SCALE)}")
@@ -222,7 +223,12 @@ def route_to_leaves(rows: DataFrame, nodes: DataFrame, max_depth: int, n_pairs:
 
 def forest_votes(rows: DataFrame, nodes: DataFrame, max_depth: int, n_pairs: int,
                  keep=("rid", "y")) -> DataFrame:
-    """``keep`` columns + ``k, score, n_trees``: sum of leaf votes per row and grid key."""
+    """``keep`` columns + ``k, score, n_trees``: sum of leaf votes per row and grid key.
+
+    All trees of a row are joined inside the row's own task, so the partial
+    aggregate leaves one row per (row, key); the shuffle is the size of the
+    output, not of rows times trees.
+    """
     leafs = route_to_leaves(rows, nodes, max_depth, n_pairs)
     return leafs.groupBy(*keep, "k").agg(F.sum("vote").alias("score"), F.count(F.lit(1)).alias("n_trees"))
 
