@@ -41,3 +41,30 @@ def test_word_count_has_partial_aggregation(spark):
 def test_stopword_filter_broadcasts(spark):
     plan = _plan(entry.queries()["clean_tokens"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def _single_partition_children(formatted: str) -> list[str]:
+    """For each ``Exchange SinglePartition``, the operator directly below it in the tree."""
+    lines = formatted.splitlines()
+    ids = set()
+    for i, line in enumerate(lines):
+        if line.startswith("Arguments: SinglePartition"):
+            j = i
+            while j > 0 and not lines[j].startswith("("):
+                j -= 1
+            ids.add(lines[j].split(")")[0] + ")")  # e.g. "(5)"
+    children = []
+    for i, line in enumerate(lines):
+        for node_id in ids:
+            if line.rstrip().endswith(f"Exchange {node_id}"):
+                children.append(lines[i + 1].strip(" :+-"))
+    return children
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+def test_single_partition_only_after_aggregation(spark, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    for child in _single_partition_children(formatted):
+        assert child.startswith(("HashAggregate", "ObjectHashAggregate", "TakeOrderedAndProject",
+                                 "GlobalLimit", "LocalLimit")), (name, child)
