@@ -2,29 +2,36 @@
 
 The AUC needs, for every score, the number of negatives with a smaller
 score.  Instead of one running sum per key over all distinct scores (a
-window that would put a whole key in one task), scores are cut into
-``n_buckets`` ranges: bucket totals get a running sum over a small table,
-and the running sum inside a bucket runs per (key, bucket) in parallel.
+window that would put a whole key in one task), the distinct (key, score)
+rows are cut into ``n_buckets`` buckets at approximate quantiles of the
+score, so buckets hold similar numbers of rows even when scores crowd into
+a narrow band.  Bucket totals get a running sum over a small table, and the
+running sum inside a bucket runs per (key, bucket) in parallel.  Bucketing
+only partitions the work; the result is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from sylvan.operators.binning import bin_index
+from sylvan.session import materialize
 
-def auc_by_key(df: DataFrame, key: str = "k", score: str = "score", label: str = "y",
-               unit: Column | None = None, n_buckets: int = 1024) -> DataFrame:
-    """``(key, auc)``: P(score_pos > score_neg) + P(tie) / 2 per key.
+DEFAULT_BUCKETS = 256
 
-    ``unit`` maps a row's score into [0, 1] for bucketing only (ordering
-    uses the score itself); by default the score is assumed to lie in [0, 1].
-    """
-    unit = F.col(score) if unit is None else unit
-    bucket = F.least(F.greatest(F.floor(unit * F.lit(n_buckets)), F.lit(0)), F.lit(n_buckets - 1)).cast("int")
-    g = df.withColumn("_b", bucket).groupBy(key, "_b", score).agg(
+
+def auc_by_key(df: DataFrame, key: str = "k", score: str = "score", label: str = "y",
+               n_buckets: int = DEFAULT_BUCKETS, accuracy: int = 10_000) -> DataFrame:
+    """``(key, auc)``: P(score_pos > score_neg) + P(tie) / 2 per key, ties exact."""
+    g = df.groupBy(key, score).agg(
         F.sum(F.col(label)).alias("pos"), F.sum(F.lit(1) - F.col(label)).alias("neg"))
+    # Written once: read by the quantile pass and by the running sums.
+    g = materialize(g, "auc-scores")
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    edges = g.agg(F.percentile_approx(F.col(score).cast("double"), qs, accuracy)).first()[0] or []
+    g = g.withColumn("_b", bin_index(F.col(score).cast("double"), sorted(set(edges))))
     tot = g.groupBy(key, "_b").agg(F.sum("neg").alias("b_neg"))
     w_b = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(key, "_b", F.coalesce(F.sum("b_neg").over(w_b), F.lit(0)).alias("offset"))

@@ -160,8 +160,7 @@ def run_grid(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> GridResult:
     nodes = fit_forest(spark, train, n_train, cfg)
     votes = fo.forest_votes(test, nodes, cfg.depth, cfg.n_pairs)
     if cfg.task == "clf":
-        unit = F.col("score").cast("double") / (F.col("n_trees").cast("double") * F.lit(fo.VOTE_SCALE["clf"]))
-        scores = me.auc_by_key(votes, unit=unit)
+        scores = me.auc_by_key(votes)
         best = me.select_best(scores, "auc", larger_is_better=True)
     else:
         scores = me.mse_by_key(votes, fo.VOTE_SCALE["reg"])
