@@ -3,7 +3,7 @@
 Top-k with ties never ranks the whole table in one partition: the k-th
 largest value comes from ``TakeOrderedAndProject`` (each task keeps k rows,
 the merge sees k per task), and the final filter compares every row with
-that single broadcast value.
+that single value, computed once as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -43,9 +43,10 @@ def kth_largest(counts: DataFrame, k: int = 10, value: str = "n", out: str = "t"
 def threshold_filter(df: DataFrame, threshold: DataFrame, value: str, t: str = "t") -> DataFrame:
     """Rows with ``value >= t`` where ``threshold`` is a one-row DataFrame holding ``t``.
 
-    The one-row side is broadcast (its size is one row by construction).
+    ``t`` is a scalar subquery: evaluated once and shipped to every task as
+    a value, with no join.  A null ``t`` (empty input) keeps no rows.
     """
-    return df.crossJoin(F.broadcast(threshold.select(t))).filter(F.col(value) >= F.col(t)).drop(t)
+    return df.filter(F.col(value) >= threshold.select(t).scalar())
 
 
 def topk_with_ties(counts: DataFrame, k: int = 10, value: str = "n") -> DataFrame:
