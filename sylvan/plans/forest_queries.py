@@ -63,7 +63,7 @@ def sampling_rate(spark, sf_dir):
 
 def param_grid(spark, sf_dir):
     grid = sa.param_grid(spark, CLF.grid)
-    return grid.crossJoin(sampling_rate(spark, sf_dir).select("p"))
+    return grid.withColumn("p", sampling_rate(spark, sf_dir).select("p").scalar())
 
 
 def _sampled(spark, sf_dir):
