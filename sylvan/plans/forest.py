@@ -158,7 +158,9 @@ class GridResult:
 def run_grid(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> GridResult:
     train, test, n_train = feature_rows(spark, sf_dir, cfg)
     nodes = fit_forest(spark, train, n_train, cfg)
-    votes = fo.forest_votes(test, nodes, cfg.depth, cfg.n_pairs)
+    # Written once (its size is the output's: test rows x keys): read by the
+    # metric, the best-key choice and the predictions.
+    votes = materialize(fo.forest_votes(test, nodes, cfg.depth, cfg.n_pairs), "votes")
     if cfg.task == "clf":
         scores = me.auc_by_key(votes)
         best = me.select_best(scores, "auc", larger_is_better=True)
