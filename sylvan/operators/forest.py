@@ -101,7 +101,7 @@ def best_splits(hist: DataFrame, depth: int, task: str, threshold=midpoint_thres
     cand = c.select(
         "k", "tree", "node", "min_leaf", "max_depth", "nt", "st", "f", "nl", "sl", "nr", "sr",
         valid.alias("valid"), F.col("v").alias("split_v"),
-        threshold(F.col("f"), F.col("v"), F.col("v_next")).alias("thr"),
+        F.when(valid, threshold(F.col("f"), F.col("v"), F.col("v_next"))).alias("thr"),
         F.when(valid, sl * sl / F.col("nl") + sr * sr / F.col("nr")).alias("score"),
     )
     w_node = Window.partitionBy("k", "tree", "node").orderBy(
