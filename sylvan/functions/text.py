@@ -9,9 +9,7 @@ written so that Java regex (Spark) and RE2 (DuckDB) read it the same way: no
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
+from importlib import resources
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,7 +73,7 @@ GAZETTEER = [
     ("Heathrow", "FAC"), ("Sagrada Familia", "FAC"),
 ]
 
-# Document language code -> stop-word list shipped with Spark MLlib.
+# Document language code -> stop-word list in sylvan/data/stopwords (the lists Spark MLlib publishes).
 STOPWORD_LANGUAGES = {"en": "english", "fr": "french", "de": "german", "es": "spanish"}
 
 
@@ -86,22 +84,16 @@ def gazetteer_in_order() -> list[tuple[str, str]]:
 
 @functools.lru_cache(maxsize=None)
 def stopwords() -> tuple[tuple[str, str], ...]:
-    """(lang, word) pairs read from the stop-word files inside the Spark MLlib jar.
+    """(lang, word) pairs of the public stop-word lists kept as package data.
 
-    Read from the jar directly, so DuckDB oracle text can be built without a JVM;
-    these are the same lists ``StopWordsRemover.loadDefaultStopWords`` returns.
+    Plain files read with importlib.resources: the Spark side and the oracle
+    SQL see the same words without a JVM or a Spark installation layout.
     """
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
+    folder = resources.files("sylvan.data") / "stopwords"
     pairs = []
-    with zipfile.ZipFile(jars[0]) as jar:
-        for lang, name in sorted(STOPWORD_LANGUAGES.items()):
-            text = jar.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt").decode("utf-8")
-            words = sorted({w.strip() for w in text.splitlines() if w.strip()})
-            pairs.extend((lang, w) for w in words)
+    for lang, name in sorted(STOPWORD_LANGUAGES.items()):
+        text = (folder / f"{name}.txt").read_text(encoding="utf-8")
+        pairs.extend((lang, w) for w in sorted({w.strip() for w in text.splitlines() if w.strip()}))
     return tuple(pairs)
 
 
