@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.session import materialize  # noqa: F401  (written to the shared checkpoint folder and reread)
 
+
+
+def by_value(module: str) -> None:
+    """Send functions of ``module`` to the executors with their code, which need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 # Fixed word rules of the query contracts (Java and RE2 read them alike).
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from sylvan.llm import mixing, urlfilter
+from sylvan.llm import licenses, mixing, packing, urlfilter
 
-MODULES = [mixing, urlfilter]
+MODULES = [mixing, urlfilter, licenses, packing]
 
 
 def queries() -> dict:
