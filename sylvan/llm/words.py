@@ -17,10 +17,10 @@ by_value(__name__)
 
 SEGMENT = 2_000_000
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SEP = np.zeros(256, dtype=bool)
-_SEP[[32, 9, 10, 11, 12, 13]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+SEP = np.zeros(256, dtype=bool)
+SEP[[32, 9, 10, 11, 12, 13]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C55 | 1)
 _POW = np.ones(64, dtype=np.uint64)
 
@@ -59,8 +59,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _segment_hashes(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and word starts of one segment; ``breaks``: places where a new text begins."""
-    low = _LOWER[data]
-    word = ~_SEP[low]
+    low = LOWER[data]
+    word = ~SEP[low]
     before = np.empty_like(word)
     before[0] = False
     before[1:] = word[:-1]
@@ -89,8 +89,8 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     a, last = int(bounds[0]), int(bounds[-1])
     while a < last:
         b = min(a + SEGMENT, last)
-        while b < last and not _SEP[raw[b - 1]]:
-            gap = np.flatnonzero(_SEP[raw[b: b + 65536]])
+        while b < last and not SEP[raw[b - 1]]:
+            gap = np.flatnonzero(SEP[raw[b: b + 65536]])
             nxt = b + (int(gap[0]) + 1 if len(gap) else min(65536, last - b))
             cut = np.searchsorted(bounds, b, "left")
             b = min(nxt, int(bounds[cut])) if bounds[cut] >= b else nxt
