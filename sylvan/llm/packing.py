@@ -209,5 +209,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the pieces of all documents that came this far."""
+    return pack(docs, tokenizer_file())
+
+
 QUERIES = {"op9_packing": op9_packing}
 ORACLES: dict[str, str] = {}

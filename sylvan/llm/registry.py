@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from sylvan.llm import licenses, mixing, packing, urlfilter
+from sylvan.llm import language, licenses, mixing, ngramjoin, packing, toxicity, urlfilter
 
-MODULES = [mixing, urlfilter, licenses, packing]
+MODULES = [toxicity, language, ngramjoin, mixing, urlfilter, licenses, packing]
 
 
 def queries() -> dict:
