@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from sylvan.llm import language, licenses, lm, mixing, ngramjoin, packing, toxicity, urlfilter
+from sylvan.llm import language, licenses, lm, mixing, ngramjoin, nndescent, packing, toxicity, urlfilter
 
-MODULES = [toxicity, language, ngramjoin, mixing, urlfilter, licenses, packing, lm]
+MODULES = [toxicity, language, ngramjoin, mixing, urlfilter, licenses, nndescent, packing, lm]
 
 
 def queries() -> dict:
