@@ -36,16 +36,19 @@ MIN_TOKEN_LENGTH = 2
 # Lines longer than this many characters get entities removed.
 ENTITY_MIN_LINE_LENGTH = 70
 
-# Entity rules applied in this order; each match becomes one space.
+# Entity rules applied in this order: pattern and the group that is the entity.
+# A match becomes one space; what the pattern reads after its entity is put back.
 ENTITY_RULES = [
-    ("PERCENT", r"[0-9]+([.,][0-9]+)? ?%"),
-    ("MONEY", r"[$€£] ?[0-9][0-9.,]*"),
-    ("TIME", r"[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?"),
-    ("DATE", r"[0-9]{4}-[0-9]{2}-[0-9]{2}"),
-    ("ORDINAL", r"[0-9]+(st|nd|rd|th)"),
-    ("QUANTITY", r"[0-9]+([.,][0-9]+)? ?(km|kg|cm|mm|mi|lb|m|g)([^A-Za-z0-9]|$)"),
-    ("CARDINAL", r"[0-9]+([.,][0-9]+)*"),
+    ("PERCENT", r"([0-9]+([.,][0-9]+)? ?%)"),
+    ("MONEY", r"([$€£] ?[0-9][0-9.,]*)"),
+    ("TIME", r"([0-9]{1,2}:[0-9]{2}(:[0-9]{2})?)"),
+    ("DATE", r"([0-9]{4}-[0-9]{2}-[0-9]{2})"),
+    ("ORDINAL", r"([0-9]+(st|nd|rd|th))"),
+    ("QUANTITY", r"([0-9]+([.,][0-9]+)? ?(km|kg|cm|mm|mi|lb|m|g))([^A-Za-z0-9]|$)"),
+    ("CARDINAL", r"([0-9]+([.,][0-9]+)*)"),
 ]
+# Group of a rule that follows its entity.
+ENTITY_REST = {"QUANTITY": 4}
 
 # Gazetteer of place, group and facility names (labels GPE, LOC, NORP, FAC).
 GAZETTEER = [
@@ -117,36 +120,49 @@ def tokens(text: Column) -> Column:
     return F.filter(found, lambda t: F.length(t) >= MIN_TOKEN_LENGTH)
 
 
+def gazetteer_pattern() -> str:
+    """One alternation of all phrases, the longest first."""
+    return "(" + "|".join(p for p, _ in gazetteer_in_order()) + ")"
+
+
+def entity_steps(line: Column) -> list[tuple[str, str, Column, Column]]:
+    """(label, pattern, line before, line after) of each removal in order; the label of the last is empty."""
+    out, current = [], line
+    for label, pattern in ENTITY_RULES:
+        rest = f" ${ENTITY_REST[label]}" if label in ENTITY_REST else " "
+        after = F.regexp_replace(current, pattern, rest)
+        out.append((label, pattern, current, after))
+        current = after
+    out.append(("", gazetteer_pattern(), current, F.regexp_replace(current, gazetteer_pattern(), " ")))
+    return out
+
+
 def remove_entities(line: Column) -> Column:
     """Replace entity strings with one space (rules first, then gazetteer phrases)."""
-    out = line
-    for _, pattern in ENTITY_RULES:
-        out = F.regexp_replace(out, pattern, " ")
-    for phrase, _ in gazetteer_in_order():
-        out = F.replace(out, F.lit(phrase), F.lit(" "))
-    return out
+    return entity_steps(line)[-1][3]
+
+
+def gated_entities(line: Column) -> Column:
+    """Entity removal on lines longer than the gate; shorter ones pass as they are."""
+    return F.when(F.length(line) > ENTITY_MIN_LINE_LENGTH, remove_entities(line)).otherwise(line)
 
 
 def clean_line(line: Column) -> Column:
     """Entity removal on long lines, then lowercase and strip dates."""
-    gated = F.when(F.length(line) > ENTITY_MIN_LINE_LENGTH, remove_entities(line)).otherwise(line)
-    return strip_dates(F.lower(gated))
+    return strip_dates(F.lower(gated_entities(line)))
 
 
 def entity_matches(line: Column) -> Column:
-    """array<struct<label, entity>> of distinct entity strings found in a line.
-
-    Rule matches are taken from the original line; gazetteer phrases are
-    reported when they occur as substrings.
-    """
-    def labelled(label: str):
-        return lambda e: F.struct(F.lit(label).alias("label"), e.alias("entity"))
-
-    parts = [
-        F.transform(F.regexp_extract_all(line, F.lit(pattern), 0), labelled(label))
-        for label, pattern in ENTITY_RULES
-    ]
-    phrases = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(p).alias("entity"))
-                        for p, lab in gazetteer_in_order()])
-    parts.append(F.filter(phrases, lambda s: F.instr(line, s["entity"]) > 0))
+    """array<struct<label, entity>> of the distinct entity strings that :func:`remove_entities` takes out."""
+    def labelled(label: Column):
+        return lambda e: F.struct(label.alias("label"), e.alias("entity"))
+
+    kinds = F.create_map(*[F.lit(x) for pair in gazetteer_in_order() for x in pair])
+    parts = []
+    for label, pattern, before, _ in entity_steps(line):
+        found = F.regexp_extract_all(before, F.lit(pattern), F.lit(1))
+        if label:
+            parts.append(F.transform(found, labelled(F.lit(label))))
+        else:
+            parts.append(F.transform(found, lambda e: F.struct(kinds[e].alias("label"), e.alias("entity"))))
     return F.array_distinct(F.concat(*parts))

@@ -15,32 +15,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from sylvan.session import materialize
+
 
 def indexed_name(col: str) -> str:
     return f"{col}_idx"
 
 
-def string_index_model(df: DataFrame, col: str):
-    return StringIndexer(inputCol=col, outputCol=indexed_name(col)).fit(df)
-
-
 def string_index_table(df: DataFrame, col: str) -> DataFrame:
-    """``(value, idx)`` from a fitted StringIndexer (labels come back from the model)."""
-    model = string_index_model(df, col)
-    labels = list(model.labels)
-    spark = df.sparkSession
-    return spark.createDataFrame([(v, float(i)) for i, v in enumerate(labels)], "value string, idx double")
+    """``(value, idx)``: labels by frequency, ties alphabetical, as StringIndexer orders them.
 
-
-def string_index_sql_form(df: DataFrame, col: str) -> DataFrame:
-    """Same order without MLlib: ``row_number() over (order by count desc, value) - 1``.
-
-    Runs over the distinct values only (already aggregated), so its single
-    window partition holds one row per distinct value.
+    Distinct values are ranked in a range partitioning of (count, value) by
+    counts per partition, so labels are never gathered in one task.  Null
+    labels have no index.
     """
-    counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.orderBy(F.col("cnt").desc(), F.col("value"))
-    return counts.select("value", (F.row_number().over(w) - 1).cast("double").alias("idx"))
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
+    order = [F.col("cnt").desc(), F.col("value")]
+    ranged = materialize(counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "labels")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return ranged.join(before, "_part").select("value", rank.cast("double").alias("idx"))
 
 
 def feature_pipeline(numeric: list[str], to_index: list[str], out: str = "features") -> Pipeline:
@@ -63,36 +58,10 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
     return assembled.withColumn(out, vector_to_array(F.col("_vec"), "float64")).drop("_vec")
 
 
-# Largest number of distinct labels a string column may have to be indexed here
-# (the labels come to the driver, as with StringIndexer).
-MAX_LABELS = 100_000
-_SEP = "\u0001"
-
-
-def label_order(df: DataFrame, col: str) -> tuple[list[str], int]:
-    """Labels by frequency (desc) then value, and the number of rows counted: one aggregation job."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt")).limit(MAX_LABELS + 1).collect()
-    if len(counts) > MAX_LABELS:
-        raise ValueError(f"{col} has more than {MAX_LABELS} distinct labels")
-    if any(r[col] is None for r in counts):
-        raise ValueError(f"{col} has null labels")
-    ordered = sorted(counts, key=lambda r: (-r["cnt"], r[col]))
-    return [r[col] for r in ordered], sum(r["cnt"] for r in ordered)
-
-
-def index_table(spark, labels: list[str], col: str) -> DataFrame:
-    """``(col, <col>_idx)`` as a JVM-side table: one joined literal split back into rows."""
-    if any(_SEP in v for v in labels):
-        raise ValueError("label contains the reserved separator")
-    parts = F.split(F.lit(_SEP.join(labels)), _SEP)
-    return spark.range(1).select(F.posexplode(parts).alias("_i", col)).select(
-        col, F.col("_i").cast("double").alias(indexed_name(col)))
-
-
-def index_labels(df: DataFrame, labels: list[str], col: str) -> DataFrame:
-    """Replace a string column by its label index; an unseen label is an error (as StringIndexer)."""
-    table = index_table(df.sparkSession, labels, col)  # one row per label, bounded by MAX_LABELS
-    joined = df.join(F.broadcast(table), col, "left")
-    idx = F.col(indexed_name(col))
-    checked = F.when(idx.isNull(), F.raise_error(F.lit(f"unseen label in {col}"))).otherwise(idx)
-    return joined.withColumn(indexed_name(col), checked.cast("double")).drop(col)
+def index_labels(df: DataFrame, labels: DataFrame, col: str) -> DataFrame:
+    """``df`` with ``<col>_idx`` from a table ``(value, idx)``; null for a null label, an error for an unseen one."""
+    table = labels.select(F.col("value").alias("_value"), F.col("idx").alias("_idx"))
+    joined = df.join(table, F.col(col) == F.col("_value"), "left")
+    unseen = F.col("_idx").isNull() & F.col(col).isNotNull()
+    checked = F.when(unseen, F.raise_error(F.lit(f"unseen label in {col}"))).otherwise(F.col("_idx"))
+    return joined.withColumn(indexed_name(col), checked.cast("double")).drop("_value", "_idx")

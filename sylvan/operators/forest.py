@@ -6,8 +6,8 @@ aggregated into a histogram ``(k, tree, node, f, v) -> n, s`` with a partial
 (map-side) aggregate, so a shuffle carries one row per histogram cell per
 task, not one per sampled row.  Running sums over the histogram give every
 candidate split; the best split per node is kept.  Rows then move one level
-down through a broadcast join with that level's split table, whose size is
-bounded by ``keys * trees * 2**depth``.
+down through a join with that level's split table (at most
+``keys * trees * 2**depth`` rows; the planner picks the join).
 
 Split score: maximise ``sl^2/nl + sr^2/nr`` (s = label sum).  For a 0/1
 label this orders splits exactly as Gini impurity does; for a numeric label
@@ -34,16 +34,10 @@ from sylvan.session import drop_path, materialize, materialize_at
 
 # Leaf value scale: nano-probability for classification, milli-cents for regression.
 VOTE_SCALE = {"clf": 1_000_000_000.0, "reg": 1000.0}
-# Largest node table we broadcast (rows); beyond this the joins shuffle on (k, tree, node).
-MAX_BROADCAST_NODES = 2_000_000
 
 KEYS = ["k", "tree", "node"]
 
 
-def _maybe_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
-    return F.broadcast(df) if row_bound <= MAX_BROADCAST_NODES else df
-
-
 def _pure(task: str, n: Column, s: Column) -> Column:
     if task == "clf":
         return (s == F.lit(0)) | (s == n)
@@ -57,10 +51,8 @@ def is_open(task: str, depth, n: Column, s: Column) -> Column:
 
 def histogram(state: DataFrame) -> DataFrame:
     """``(k, tree, node, min_leaf, max_depth, f, v, n, s)`` over masked features."""
-    ex = state.select(
-        "k", "tree", "node", "min_leaf", "max_depth", "mask", "y",
-        F.posexplode("x").alias("f", "v"),
-    ).filter(F.array_contains("mask", F.col("f")))
+    ex = state.select("k", "tree", "node", "min_leaf", "max_depth", "x", "y", F.explode("mask").alias("f"))
+    ex = ex.withColumn("v", F.element_at("x", F.col("f") + F.lit(1)))
     return ex.groupBy("k", "tree", "node", "min_leaf", "max_depth", "f", "v").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
 
@@ -127,21 +119,21 @@ def _feature(f: Column) -> Column:
     return F.element_at(F.col("x"), f + F.lit(1))
 
 
-def route_one_level(state: DataFrame, splits: DataFrame, row_bound: int) -> DataFrame:
+def route_one_level(state: DataFrame, splits: DataFrame) -> DataFrame:
     """Move rows of split nodes to their open child; rows reaching a closed child are dropped.
 
     Training rows carry histogram values, so they compare with ``split_v``.
     """
     s = splits.select("k", "tree", "node", F.col("f").alias("_f"), F.col("split_v").alias("_thr"),
                       "open_left", "open_right")
-    j = state.join(_maybe_broadcast(s, row_bound), KEYS, "inner")
+    j = state.join(s, KEYS, "inner")
     right = _feature(F.col("_f")) > F.col("_thr")
     keep = F.when(right, F.col("open_right")).otherwise(F.col("open_left"))
     cols = [c for c in state.columns if c != "node"]
     return j.filter(keep).select(*cols, (F.lit(2) * F.col("node") + right.cast("int")).alias("node"))
 
 
-def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
+def grow_forest(sampled: DataFrame, task: str, max_depth: int,
                 cut_lineage: bool = True, threshold=midpoint_threshold) -> DataFrame:
     """Grow every (k, tree) of ``sampled`` to its own max_depth.
 
@@ -181,8 +173,7 @@ def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
         births.append(sp.select("k", "tree", (child + 1).alias("node"), F.col("nr").alias("n"),
                                 F.col("sr").alias("s")).withColumn("depth", F.lit(depth + 1)))
         if depth + 1 < max_depth:
-            bound = n_pairs * (2 ** depth)
-            state = route_one_level(state, sp, bound).persist(StorageLevel.MEMORY_AND_DISK)
+            state = route_one_level(state, sp).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(state)
             if len(held) > 2:  # the level before last is no longer read
                 held.pop(0).unpersist()
@@ -204,33 +195,57 @@ def grow_forest(sampled: DataFrame, task: str, max_depth: int, n_pairs: int,
     return nodes
 
 
-def route_to_leaves(rows: DataFrame, nodes: DataFrame, max_depth: int, n_pairs: int) -> DataFrame:
-    """Each row with every tree: ``rows`` columns + ``k, tree, node, vote`` of the leaf reached."""
-    trees = nodes.filter(F.col("node") == 1).select("k", "tree")
-    r = rows.crossJoin(_maybe_broadcast(trees, n_pairs)).withColumn("node", F.lit(1))
-    cols = r.columns
-    for depth in range(max_depth):
-        level = nodes.filter((F.col("depth") == depth) & ~F.col("is_leaf")).select(
-            *KEYS, F.col("f").alias("_f"), F.col("thr").alias("_thr"))
-        j = r.join(_maybe_broadcast(level, n_pairs * 2 ** depth), KEYS, "left")
-        moved = F.lit(2) * F.col("node") + (_feature(F.col("_f")) > F.col("_thr")).cast("int")
-        nxt = F.when(F.col("_f").isNull(), F.col("node")).otherwise(moved)
-        r = j.select(*[c for c in cols if c != "node"], nxt.alias("node"))
-    leaves = nodes.filter(F.col("is_leaf")).select(*KEYS, "vote")
-    bound = n_pairs * 2 ** (max_depth + 1)
-    return r.join(_maybe_broadcast(leaves, bound), KEYS, "inner")
-
-
-def forest_votes(rows: DataFrame, nodes: DataFrame, max_depth: int, n_pairs: int,
-                 keep=("rid", "y")) -> DataFrame:
-    """``keep`` columns + ``k, score, n_trees``: sum of leaf votes per row and grid key.
-
-    All trees of a row are joined inside the row's own task, so the partial
-    aggregate leaves one row per (row, key); the shuffle is the size of the
-    output, not of rows times trees.
+def packed_trees(nodes: DataFrame) -> DataFrame:
+    """One row per grid key: ``trees``, an array of ``(tree, f, thr, vote)`` with one array entry per node.
+
+    Node n stands at place n (children 2n and 2n + 1); ``f`` is null at leaves.
+    The table's size is that of the forest (keys x trees x 2 ** (depth + 1)
+    nodes at most), not of the data.
     """
-    leafs = route_to_leaves(rows, nodes, max_depth, n_pairs)
-    return leafs.groupBy(*keep, "k").agg(F.sum("vote").alias("score"), F.count(F.lit(1)).alias("n_trees"))
+    at = F.map_from_entries(F.collect_list(F.struct("node", F.struct("f", "thr", "vote"))))
+    per_tree = nodes.groupBy("k", "tree").agg(at.alias("m"), F.max("node").alias("last"))
+    places = F.transform(F.sequence(F.lit(1), F.col("last")), lambda i: F.col("m")[i])
+    per_tree = per_tree.select("k", "tree", places.alias("p"))
+    tree = F.struct("tree", F.col("p.f").alias("f"), F.col("p.thr").alias("thr"), F.col("p.vote").alias("vote"))
+    return per_tree.groupBy("k").agg(F.sort_array(F.collect_list(tree)).alias("trees"))
+
+
+def _leaf(tree: Column, max_depth: int) -> Column:
+    """Node of the leaf that the row's features ``x`` reach."""
+    def step(node: Column, _: Column) -> Column:
+        f = F.get(tree["f"], node - 1)
+        right = F.element_at(F.col("x"), f + F.lit(1)) > F.get(tree["thr"], node - 1)
+        return F.when(f.isNull(), node).otherwise(F.lit(2) * node + right.cast("int"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max_depth)), F.lit(1), step)
+
+
+def _walked(rows: DataFrame, nodes: DataFrame, max_depth: int) -> DataFrame:
+    """Each row with every grid key: its columns, ``k`` and ``leaves``, an array of ``(tree, node, vote)``.
+
+    One join in all, with a table of one row per key; rows are neither
+    exploded per tree nor grouped, so equal rows stay apart and every column
+    is kept.  A row with a null feature reaches no leaf: its nodes are null.
+    """
+    paired = rows.crossJoin(F.broadcast(packed_trees(nodes)))
+
+    def leaf(tree: Column) -> Column:
+        node = _leaf(tree, max_depth)
+        return F.struct(tree["tree"].alias("tree"), node.alias("node"), F.get(tree["vote"], node - 1).alias("vote"))
+
+    return paired.withColumn("leaves", F.transform("trees", leaf)).drop("trees")
+
+
+def route_to_leaves(rows: DataFrame, nodes: DataFrame, max_depth: int) -> DataFrame:
+    """Each row with every tree: ``rows`` columns + ``k, tree, node, vote`` of the leaf reached."""
+    return _walked(rows, nodes, max_depth).select(*rows.columns, "k", F.inline("leaves"))
+
+
+def forest_votes(rows: DataFrame, nodes: DataFrame, max_depth: int) -> DataFrame:
+    """``rows`` columns + ``k, score, n_trees``: sum of leaf votes per row and grid key (null without features)."""
+    walked = _walked(rows, nodes, max_depth)
+    total = F.aggregate("leaves", F.lit(0).cast("long"), lambda a, leaf: a + leaf["vote"])
+    return walked.select(*rows.columns, "k", total.alias("score"), F.size("leaves").cast("long").alias("n_trees"))
 
 
 def clf_outputs(votes: DataFrame) -> DataFrame:

@@ -20,13 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions import params as P
+from sylvan.session import materialize
 
 MAX_BINS = 64
 
 
-def fit_and_predict(train: DataFrame, test: DataFrame, n_train: int, cfg) -> DataFrame:
+def fit_and_predict(train: DataFrame, test: DataFrame, cfg) -> DataFrame:
     """``(rid, k, prediction)`` on the test rows for every grid key."""
-    p = P.sampling_rate(n_train, cfg.max_p, cfg.max_rows)
+    # Written once: every grid key's fit reads the training rows.
+    train = materialize(train.select("x", "y"), "mllib-rows")
+    p = P.sampling_rate(train.count(), cfg.max_p, cfg.max_rows)
     tr = train.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"))
     te = test.select("rid", array_to_vector("x").alias("features"))
     outs = []

@@ -1,9 +1,8 @@
 """Grid expansion, per-tree row sampling and per-tree feature masks.
 
 Sampling never materialises row copies on the driver: each training row is
-paired with every (grid key, tree) of a small broadcast table and kept when
-its keyed hash uniform falls below p.  The broadcast table has
-``len(grid) * n_trees`` rows, checked against a bound before broadcasting.
+paired with the (grid key, tree) blocks of the configuration and keeps the
+trees whose keyed hash uniform falls below p.
 """
 
 from __future__ import annotations
@@ -19,21 +18,11 @@ from sylvan.functions import params as P
 from sylvan.functions.hashing import hash_key, uniform
 from sylvan.sources.tables import local_rows
 
-# Upper bound on (grid key, tree) pairs held in one broadcast table.
-MAX_BROADCAST_TREES = 200_000
-
 
 def param_grid(spark: SparkSession, grid: dict) -> DataFrame:
-    """``(k, min_samples_leaf, max_depth)``: one small DataFrame per parameter, cross joined."""
-    P.check_grid(grid)
-    names = list(grid)
-    out = None
-    for n in names:
-        schema = T.StructType([T.StructField(n, T.IntegerType())])
-        values = local_rows(spark, [(P.ALLOWED_PARAMS[n](v),) for v in grid[n]], schema)
-        out = values if out is None else out.crossJoin(values)
-    key = F.concat_ws(",", *[F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in names])
-    return out.select(key.alias("k"), *names)
+    """``(k, min_samples_leaf, max_depth)``: one row per grid point, from the configuration."""
+    schema = T.StructType([T.StructField("k", T.StringType())] + [T.StructField(n, T.IntegerType()) for n in P.ALLOWED_PARAMS])
+    return local_rows(spark, [(key, *(point[n] for n in P.ALLOWED_PARAMS)) for key, point in P.grid_points(grid)], schema)
 
 
 def grid_trees(grid_df: DataFrame, n_trees: int) -> DataFrame:
@@ -90,22 +79,21 @@ def tree_blocks(trees: DataFrame) -> DataFrame:
     return blocks.groupBy("k", "block").agg(F.collect_list(member).alias("members"))
 
 
-def tree_sample(rows: DataFrame, trees: DataFrame, p: float, seed: str, n_pairs: int) -> DataFrame:
-    """Each row paired with every (k, tree) and kept with probability ``p``.
+def tree_sample(rows: DataFrame, trees: DataFrame, p: float, seed: str) -> DataFrame:
+    """Each row with every (k, tree) that draws it, with probability ``p``.
 
     The draw for (row, k, tree) is 32-bit slice ``(tree - 1) % 4`` of
     ``md5('row|seed|rid|k|(tree - 1) div 4')``: a keyed hash uniform, so the
     same rows are chosen on every run and in every engine.  The (k, block)
-    table is broadcast; its size is bounded by ``n_pairs``.
+    table is broadcast: its size is that of the configuration, not of the
+    data.  Trees that do not draw a row are filtered out before the explode.
     """
-    if n_pairs > MAX_BROADCAST_TREES:
-        raise ValueError(f"{n_pairs} (key, tree) pairs exceed the broadcast bound {MAX_BROADCAST_TREES}")
     th = below_threshold_hex(p)
     paired = rows.crossJoin(F.broadcast(tree_blocks(trees)))
-    h = F.md5(hash_key("row", seed, F.col("rid"), F.col("k"), F.col("block")))
-    ex = paired.select(*rows.columns, "k", h.alias("_h"), F.explode("members").alias("_m"))
+    paired = paired.withColumn("_h", F.md5(hash_key("row", seed, F.col("rid"), F.col("k"), F.col("block"))))
+    members = F.col("members")
     if th is not None:
-        start = F.col("_m.slice") * F.lit(8) + F.lit(1)
-        ex = ex.filter(F.col("_h").substr(start, F.lit(8)) < F.lit(th))
+        members = F.filter(members, lambda m: F.substr(F.col("_h"), m["slice"] * F.lit(8) + F.lit(1), F.lit(8)) < F.lit(th))
+    ex = paired.select(*rows.columns, "k", F.explode(members).alias("_m"))
     member_cols = [c for c in trees.columns if c != "k"]
     return ex.select(*rows.columns, "k", *[F.col(f"_m.{c}").alias(c) for c in member_cols])

@@ -61,13 +61,12 @@ def tokenize(lines: DataFrame) -> DataFrame:
 
 
 def remove_entities(lines: DataFrame) -> DataFrame:
-    """Entity strings replaced by a space, in lines longer than the gate length."""
-    long_lines = lines.filter(F.length("line") > tx.ENTITY_MIN_LINE_LENGTH)
-    return long_lines.select(*_ids(lines), tx.remove_entities(F.col("line")).alias("line"))
+    """Every line, with entity strings replaced by a space where the line is longer than the gate length."""
+    return lines.select(*_ids(lines), tx.gated_entities(F.col("line")).alias("line"))
 
 
 def entity_set(lines: DataFrame) -> DataFrame:
-    """Distinct (label, entity) strings found in long lines across the corpus."""
+    """Distinct (label, entity) strings that entity removal takes out of the corpus."""
     long_lines = lines.filter(F.length("line") > tx.ENTITY_MIN_LINE_LENGTH)
     found = long_lines.select(F.explode(tx.entity_matches(F.col("line"))).alias("e"))
     return found.select(F.col("e.label").alias("label"), F.col("e.entity").alias("entity")).distinct()
@@ -107,9 +106,10 @@ def clean_tokens(lines: DataFrame) -> DataFrame:
     stop words.
     """
     ids = _ids(lines)
-    toks = lines.select(
-        *ids, _lang(lines).alias("lang"),
-        F.posexplode(tx.tokens(tx.clean_line(F.col("line")))).alias("pos", "token"),
+    cleaned = lines.select(*ids, _lang(lines).alias("lang"), tx.clean_line(F.col("line")).alias("clean"))
+    toks = cleaned.select(
+        *ids, "lang",
+        F.posexplode(tx.tokens(F.col("clean"))).alias("pos", "token"),
     )
     return stopword_filter(toks).select(*ids, "pos", "token")
 

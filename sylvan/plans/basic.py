@@ -5,16 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.functions.hashing import sql_uniform, uniform
 from sylvan.operators import aggregate as ag
 from sylvan.session import scratch_path
-from sylvan.sources import csv_roundtrip, range_like, read_table, rows_from_collection, synth_rows
-from sylvan.sources.tables import spread
-
-SEED = "42"
-# A dimension table collected to the driver must stay below this many rows.
-SMALL_TABLE_MAX_ROWS = 10_000
-
+from sylvan.sources import csv_roundtrip, read_table
 
 def lineitem_rid(df: DataFrame) -> DataFrame:
     """Row id of a lineitem row: its four key columns joined by '-' (unique in the test data)."""
@@ -22,15 +15,6 @@ def lineitem_rid(df: DataFrame) -> DataFrame:
     return df.withColumn("rid", rid)
 
 
-LINEITEM_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-
-
-def lineitem_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``rid`` of every lineitem row, spread over the cores before per-row hashing."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_KEYS), keys=LINEITEM_KEYS)
-    return lineitem_rid(li).select("rid")
-
-
 RID_SQL = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
 
 
@@ -39,23 +23,6 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_roundtrip(customer, scratch_path(spark, "customer-csv"))
 
 
-def rows_from_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dimension rows held in memory, then distributed again (``createDataFrame``)."""
-    nation = read_table(spark, sf_dir, "nation")
-    rows = nation.limit(SMALL_TABLE_MAX_ROWS + 1).collect()
-    if len(rows) > SMALL_TABLE_MAX_ROWS:
-        raise ValueError("rows_from_collection is for small dimension tables only")
-    return rows_from_collection(spark, [tuple(r) for r in rows], nation.schema)
-
-
-def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return range_like(read_table(spark, sf_dir, "lineitem"))
-
-
-def synth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return synth_rows(lineitem_keys(spark, sf_dir), "rid", SEED)
-
-
 def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.head_n(read_table(spark, sf_dir, "customer"), 5, "c_custkey")
 
@@ -71,22 +38,19 @@ def keep_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.select(*keep)
 
 
-def _inside_unit_circle(rid) -> F.Column:
-    x = uniform("pi", SEED, "x", rid)
-    y = uniform("pi", SEED, "y", rid)
-    return x * x + y * y < F.lit(1.0)
+# The predicate of the indicator queries: discounted small orders.
+PREDICATE = "l_discount >= 0.05 AND l_discount <= 0.07 AND l_quantity < 24"
 
 
 def indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per lineitem row: is its hash point inside the unit circle (0/1)."""
-    li = lineitem_keys(spark, sf_dir)
-    return li.select("rid", ag.indicator(_inside_unit_circle(F.col("rid"))).alias("inside"))
+    """Per lineitem row: does it meet the predicate (0/1; a null value does not)."""
+    li = lineitem_rid(read_table(spark, sf_dir, "lineitem"))
+    return li.select("rid", ag.indicator(F.expr(PREDICATE)).alias("inside"))
 
 
 def indicator_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``4 * inside / n`` over lineitem rows: the pi estimate, one hash point per row."""
-    li = lineitem_keys(spark, sf_dir)
-    return ag.indicator_ratio(li, _inside_unit_circle(F.col("rid")), 4.0, "ratio")
+    """Share of lineitem rows that meet the predicate, in one pass."""
+    return ag.indicator_ratio(read_table(spark, sf_dir, "lineitem"), F.expr(PREDICATE), 1.0, "ratio")
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,47 +64,21 @@ def mean_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def threshold_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents at least as long as the mean, the mean held in a broadcast one-row table."""
+    """Documents at least as long as the mean, the mean as a scalar subquery."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     t = docs.agg(F.avg("n_chars").alias("t"))
     return ag.threshold_filter(docs, t, "n_chars")
 
 
-def _sql_inside() -> str:
-    x = sql_uniform("pi", SEED, "'x'", RID_SQL)
-    y = sql_uniform("pi", SEED, "'y'", RID_SQL)
-    return f"({x} * {x} + {y} * {y} < 1.0)"
-
-
 def basic_oracles() -> dict[str, str]:
-    from sylvan.sources.synth import category_strings, LOG_EPSILON
-
-    cats = ", ".join(f"'{s}'" for s in category_strings(SEED))
-
-    def normal(which: str) -> str:
-        u1 = sql_uniform("normal", SEED, f"'{which}'", "'r'", RID_SQL)
-        u2 = sql_uniform("normal", SEED, f"'{which}'", "'t'", RID_SQL)
-        return (f"round(sqrt(-2.0 * ln({u1} + {LOG_EPSILON!r})) * cos({2.0 * 3.141592653589793!r} * {u2}), 6)")
-
+    inside = f"CASE WHEN {PREDICATE} THEN 1 ELSE 0 END"
     return {
         "csv_scan": "SELECT * FROM customer",
-        "rows_from_collection": "SELECT * FROM nation",
-        "range_source": "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM lineitem",
-        "synth_rows": f"""SELECT {RID_SQL} AS rid,
-  CAST(floor({sql_uniform('int', SEED, "'1'", RID_SQL)} * 1000) AS INTEGER) AS field_1,
-  CAST(floor({sql_uniform('int', SEED, "'2'", RID_SQL)} * 1000) AS INTEGER) AS field_2,
-  {normal('3')} AS field_3,
-  {normal('4')} AS field_4,
-  ([{cats}])[CAST(floor({sql_uniform('cat', SEED, RID_SQL)} * 100) AS INTEGER) + 1] AS field_5,
-  ({sql_uniform('label', SEED, RID_SQL)} < 0.5) AS label
-FROM lineitem""",
         "head_n": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
         "row_as_map": "SELECT CAST(to_json(nation) AS VARCHAR) AS row_json FROM nation",
         "keep_columns": "SELECT c_custkey, c_name FROM customer",
-        "indicator": f"SELECT {RID_SQL} AS rid, CASE WHEN {_sql_inside()} THEN 1 ELSE 0 END AS inside FROM lineitem",
-        "indicator_ratio": (
-            f"SELECT 4.0::DOUBLE * sum(CASE WHEN {_sql_inside()} THEN 1 ELSE 0 END) / count(*) AS ratio FROM lineitem"
-        ),
+        "indicator": f"SELECT {RID_SQL} AS rid, {inside} AS inside FROM lineitem",
+        "indicator_ratio": f"SELECT CAST(sum({inside}) AS DOUBLE) / count(*) AS ratio FROM lineitem",
         "row_count": "SELECT count(*) AS n_rows FROM lineitem",
         "mean_by_key": "SELECT event_type, round(avg(value), 6) AS mean_value FROM events GROUP BY event_type",
     }

@@ -1,16 +1,19 @@
-"""Forest grid search on lineitem: features, sampling, growth, scoring and selection.
+"""Forest grid search on any table: features, sampling, growth, scoring and selection.
 
-Every stage is a DataFrame plan.  The only values that reach the driver are
-the per-label counts of the string feature (bounded by its cardinality and
-checked, as StringIndexer does), which give the label order and the training
-row count that fixes the sampling rate.
+``fit`` takes a training table and the names of its columns and returns a
+:class:`ForestModel` that predicts, evaluates, saves and loads; lineitem is one
+caller (:func:`lineitem_rows`).  Every stage is a DataFrame plan.  The number of
+training rows, which fixes the sampling rate, and the best key are all that
+reaches the driver.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.functions import params as P
@@ -20,12 +23,13 @@ from sylvan.operators import features as feat
 from sylvan.operators import forest as fo
 from sylvan.operators import metrics as me
 from sylvan.operators import sampling as sa
-from sylvan.sources import read_table
 from sylvan.session import materialize
-from sylvan.sources.tables import needs_spread
+from sylvan.sources import load_forest_table, read_table, save_forest_table
+from sylvan.sources.tables import spread
 
 NUMERIC = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
 TO_INDEX = ["l_linestatus"]
+LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", *NUMERIC, *TO_INDEX, "l_returnflag", "l_extendedprice"]
 N_FEATURES = len(NUMERIC) + len(TO_INDEX)
 
 
@@ -34,7 +38,8 @@ class ForestConfig:
     grid: dict = field(default_factory=lambda: {"min_samples_leaf": [20, 200], "max_depth": [1, 2]})
     n_trees: int = 4
     max_p: float = 0.5
-    max_rows: int = 20000
+    # Rows per tree at most (classifiers); None: max_p alone decides.
+    max_rows: int | None = 20000
     col_p: float = 0.7
     min_cols: int = 5
     seed: str = "42"
@@ -43,20 +48,9 @@ class ForestConfig:
     # None: exact histograms over distinct values; an int: quantile bins per feature.
     max_bins: int | None = None
 
-    @property
-    def n_keys(self) -> int:
-        n = 1
-        for v in self.grid.values():
-            n *= len(v)
-        return n
-
-    @property
-    def n_pairs(self) -> int:
-        return self.n_keys * self.n_trees
-
     @property
     def depth(self) -> int:
-        return max(int(d) for d in self.grid["max_depth"])
+        return max(point["max_depth"] for _, point in P.grid_points(self.grid))
 
 
 def is_train_col(rid, cfg: ForestConfig):
@@ -65,85 +59,180 @@ def is_train_col(rid, cfg: ForestConfig):
 
 
 def labelled_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFrame:
-    """``rid, y, <raw features>, is_train`` from lineitem; rows with a null feature or label are dropped.
+    """``rid, y, <raw features>, is_train`` of every lineitem row."""
+    return lineitem_rows(read_table(spark, sf_dir, "lineitem"), cfg).select("rid", "y", *NUMERIC, *TO_INDEX, "is_train")
 
-    When the scan has fewer partitions than cores, the rows are spread and
-    written once (with ``rid`` and ``is_train`` computed), so the per-row
-    hashing runs in parallel and the later passes (label counts, sampling,
-    scoring) read that copy.  At scale the scan is already split and
-    nothing is copied.
-    """
-    needed = NUMERIC + TO_INDEX + ["l_returnflag", "l_extendedprice"]
-    keys = ["l_orderkey", "l_partkey", "l_suppkey"]
-    li = read_table(spark, sf_dir, "lineitem").select(*keys, *needed)
-    small = needs_spread(li)
-    if small:
-        li = li.repartition(spark.sparkContext.defaultParallelism, *keys, "l_linenumber")
-    li = li.dropna(subset=needed)
+
+def lineitem_rows(lineitem: DataFrame, cfg: ForestConfig) -> DataFrame:
+    """lineitem with ``rid``, label ``y`` and the split ``is_train``; numeric features as doubles."""
     rid = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     if cfg.task == "clf":
         y = (F.col("l_returnflag") == F.lit("R")).cast("long")
     else:
         y = F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("long")
-    rows = li.select(rid.alias("rid"), y.alias("y"), *[F.col(c).cast("double").alias(c) for c in NUMERIC],
-                     *TO_INDEX)
-    rows = rows.withColumn("is_train", is_train_col(F.col("rid"), cfg))
-    return materialize(rows, "lineitem-rows") if small else rows
+    li = spread(lineitem.select(*LINEITEM_COLUMNS), keys=["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
+    return li.withColumns({"rid": rid, "y": y, **{c: F.col(c).cast("double") for c in NUMERIC}}).withColumn(
+        "is_train", is_train_col(F.col("rid"), cfg))
 
 
-def feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
-    """``(train, test, n_train)``: rows ``rid, x array<double>, y`` with the string feature indexed.
+def with_features(rows: DataFrame, numeric: list[str], labels: dict[str, DataFrame], out: str = "x") -> DataFrame:
+    """``rows`` with the feature array ``out``: numeric columns, then the indexed string columns.
 
-    One aggregation over the training rows gives the label order (frequency,
-    then value, as StringIndexer) and the training row count; features are
-    then a plain ``array(...)`` expression, no UDF.
+    The array is null where a feature is null.
     """
-    rows = labelled_rows(spark, sf_dir, cfg)
-    train_raw = rows.filter(F.col("is_train"))
-    test_raw = rows.filter(~F.col("is_train"))
-    (col,) = TO_INDEX
-    labels, n_train = feat.label_order(train_raw, col)
+    indexed = rows
+    for col, table in labels.items():
+        indexed = feat.index_labels(indexed, table, col)
+    parts = [F.col(c).cast("double") for c in numeric] + [F.col(feat.indexed_name(c)) for c in labels]
+    whole = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+    return indexed.withColumn(out, F.when(whole, F.array(*parts))).drop(*[feat.indexed_name(c) for c in labels])
 
-    def prep(df: DataFrame) -> DataFrame:
-        indexed = feat.index_labels(df, labels, col)
-        x = F.array(*[F.col(c) for c in NUMERIC], F.col(feat.indexed_name(col)))
-        return indexed.select("rid", x.alias("x"), "y")
 
-    return prep(train_raw), prep(test_raw), n_train
+def label_tables(train: DataFrame, to_index: list[str]) -> dict[str, DataFrame]:
+    return {c: feat.string_index_table(train, c) for c in to_index}
 
 
-def mllib_feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
-    """Same rows through an MLlib ``Pipeline`` (StringIndexer + VectorAssembler) fitted on train."""
+def feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
+    """``(train, test)`` of lineitem: rows ``rid, x array<double>, y``."""
     rows = labelled_rows(spark, sf_dir, cfg)
-    train_raw = rows.filter(F.col("is_train"))
-    test_raw = rows.filter(~F.col("is_train"))
-    model = feat.fit_features(train_raw, NUMERIC, TO_INDEX)
+    labels = label_tables(rows.filter("is_train"), TO_INDEX)
+    ready = with_features(rows, NUMERIC, labels).select("rid", "x", "y", "is_train")
+    return ready.filter("is_train").drop("is_train"), ready.filter("not is_train").drop("is_train")
 
-    def prep(df: DataFrame) -> DataFrame:
-        return feat.as_array(model.transform(df)).select("rid", "x", "y")
 
-    return prep(train_raw), prep(test_raw), model
+def mllib_feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
+    """Train and test rows through an MLlib ``Pipeline`` (StringIndexer + VectorAssembler) fitted on train."""
+    rows = labelled_rows(spark, sf_dir, cfg).dropna(subset=NUMERIC + TO_INDEX)
+    model = feat.fit_features(rows.filter("is_train"), NUMERIC, TO_INDEX)
+    return feat.as_array(model.transform(rows)).select("rid", "x", "y", "is_train")
 
 
-def grid_with_masks(spark: SparkSession, cfg: ForestConfig) -> DataFrame:
+def grid_with_masks(spark: SparkSession, cfg: ForestConfig, n_features: int = N_FEATURES) -> DataFrame:
     grid = sa.param_grid(spark, cfg.grid).withColumnRenamed("min_samples_leaf", "min_leaf")
     trees = sa.grid_trees(grid, cfg.n_trees)
-    return sa.column_mask(trees, N_FEATURES, cfg.col_p, cfg.min_cols, cfg.seed)
+    return sa.column_mask(trees, n_features, cfg.col_p, cfg.min_cols, cfg.seed)
+
 
+def usable(train: DataFrame) -> DataFrame:
+    """Training rows with all features and a label."""
+    return train.filter("x is not null and y is not null")
 
-def sample_for_trees(spark: SparkSession, train: DataFrame, n_train: int, cfg: ForestConfig) -> DataFrame:
-    p = P.sampling_rate(n_train, cfg.max_p, cfg.max_rows)
-    return sa.tree_sample(train, grid_with_masks(spark, cfg), p, cfg.seed, cfg.n_pairs)
 
+def sample_for_trees(train: DataFrame, cfg: ForestConfig, n_features: int = N_FEATURES) -> DataFrame:
+    train = usable(train)
+    p = P.sampling_rate(train.count(), cfg.max_p, cfg.max_rows)
+    return sa.tree_sample(train, grid_with_masks(train.sparkSession, cfg, n_features), p, cfg.seed)
 
-def fit_forest(spark: SparkSession, train: DataFrame, n_train: int, cfg: ForestConfig) -> DataFrame:
+
+def fit_forest(train: DataFrame, cfg: ForestConfig, n_features: int = N_FEATURES) -> DataFrame:
+    """Node table of all trees of all grid keys, from rows ``rid, x, y``."""
     threshold = fo.midpoint_threshold
+    train = usable(train)
     if cfg.max_bins:
-        edges = binning.quantile_edges(train, N_FEATURES, cfg.max_bins)
+        edges = binning.quantile_edges(train, n_features, cfg.max_bins)
         train = binning.binned(train, edges)
         threshold = binning.edge_threshold(edges)
-    sampled = sample_for_trees(spark, train, n_train, cfg)
-    return fo.grow_forest(sampled, cfg.task, cfg.depth, cfg.n_pairs, threshold=threshold)
+    return fo.grow_forest(sample_for_trees(train, cfg, n_features), cfg.task, cfg.depth, threshold=threshold)
+
+
+def scored(rows: DataFrame, nodes: DataFrame, cfg: ForestConfig, unit: float = 100.0) -> DataFrame:
+    """``rows`` (with ``x``) with every grid key's ``k, score, n_trees`` and its outputs."""
+    votes = fo.forest_votes(rows, nodes, cfg.depth)
+    return fo.clf_outputs(votes) if cfg.task == "clf" else fo.reg_outputs(votes, unit)
+
+
+def key_scores(votes: DataFrame, cfg: ForestConfig, unit: float = 100.0) -> DataFrame:
+    """``(k, auc)`` or ``(k, mse)`` over the rows that have features and a label."""
+    whole = votes.filter("score is not null and y is not null")
+    return me.auc_by_key(whole) if cfg.task == "clf" else me.mse_by_key(whole, fo.VOTE_SCALE["reg"], unit)
+
+
+def best_key(scores: DataFrame, cfg: ForestConfig) -> DataFrame:
+    return me.select_best(scores, "auc" if cfg.task == "clf" else "mse", larger_is_better=cfg.task == "clf")
+
+
+@dataclass
+class ForestModel:
+    """A fitted grid of forests: its nodes, the label tables of indexed columns, and the chosen key.
+
+    Regression labels are kept as whole ``1 / unit`` parts, so that sums are exact.
+    """
+
+    cfg: ForestConfig
+    numeric: list[str]
+    label: str
+    labels: dict[str, DataFrame]
+    nodes: DataFrame
+    best: str | None = None
+    unit: float = 100.0
+
+    def _x(self, rows: DataFrame) -> DataFrame:
+        return with_features(rows, self.numeric, self.labels, "x")
+
+    def _y(self) -> Column:
+        y = F.col(self.label)
+        return y.cast("long") if self.cfg.task == "clf" else F.round(y.cast("double") * F.lit(self.unit)).cast("long")
+
+    def evaluate(self, rows: DataFrame) -> DataFrame:
+        """``(k, auc)`` or ``(k, mse)`` of every grid key on ``rows``; the best key is kept for :meth:`predict`."""
+        votes = fo.forest_votes(self._x(rows).select("x", self._y().alias("y")), self.nodes, self.cfg.depth)
+        scores = materialize(key_scores(votes, self.cfg, self.unit), "forest-scores")
+        first = best_key(scores, self.cfg).first()
+        self.best = first["k"] if first else None
+        return scores
+
+    def predict(self, rows: DataFrame) -> DataFrame:
+        """All rows and columns with ``prediction`` (and ``probability``) of the best key's forest.
+
+        Rows with a null feature keep a null prediction; equal rows stay
+        apart; columns of ``rows`` named like an output are replaced.
+        """
+        if self.best is None:
+            raise ValueError("no best key: evaluate the model first")
+        nodes = self.nodes.filter(F.col("k") == F.lit(self.best))
+        packed = rows.drop("prediction", "probability").withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in ("prediction", "probability")]))
+        out = scored(self._x(packed).select("_row", "x"), nodes, self.cfg, self.unit)
+        if self.cfg.task == "clf":
+            known = F.col("score").isNotNull()
+            probability = F.when(known, F.array(F.lit(1.0) - F.col("prob"), F.col("prob")))
+            return out.select("_row.*", F.when(known, F.col("prediction")).alias("prediction"), probability.alias("probability"))
+        return out.select("_row.*", "prediction")
+
+    def save(self, path: str) -> str:
+        """Nodes, label tables and the rest of the model under ``path``."""
+        save_forest_table(self.nodes, f"{path}/nodes")
+        for i, table in enumerate(self.labels.values()):
+            save_forest_table(table, f"{path}/labels-{i}")
+        told = json.dumps({"cfg": asdict(self.cfg), "numeric": self.numeric, "to_index": list(self.labels),
+                           "label": self.label, "best": self.best, "unit": self.unit})
+        self.nodes.sparkSession.range(1).select(F.lit(told).alias("model")).write.mode("overwrite").parquet(f"{path}/model")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ForestModel:
+        told = json.loads(load_forest_table(spark, f"{path}/model").first()["model"])
+        labels = {c: load_forest_table(spark, f"{path}/labels-{i}") for i, c in enumerate(told["to_index"])}
+        return cls(ForestConfig(**told["cfg"]), told["numeric"], told["label"], labels, load_forest_table(spark, f"{path}/nodes"),
+                   told["best"], told["unit"])
+
+
+def fit(train: DataFrame, numeric: list[str], label: str, cfg: ForestConfig, to_index: list[str] = (),
+        row_id: str | None = None, unit: float = 100.0) -> ForestModel:
+    """Fit the grid on any table.
+
+    ``numeric`` and ``to_index`` name the feature columns, ``label`` a 0/1
+    column or, for regression, any number (kept to ``1 / unit``).  ``row_id``
+    names the column whose hash draws the rows of each tree; by default a hash of
+    the whole row, so equal rows are drawn together.  Rows with a null feature or
+    label are not learned from.
+    """
+    rows = train if row_id is None else train.withColumn("rid", F.col(row_id).cast("string"))
+    if row_id is None:
+        rows = train.withColumn("rid", F.md5(F.to_json(F.struct(*train.columns))))
+    model = ForestModel(cfg, list(numeric), label, label_tables(train, list(to_index)), None, None, unit)
+    ready = materialize(model._x(rows).select("rid", "x", model._y().alias("y")), "forest-rows")
+    model.nodes = fit_forest(ready, cfg, len(numeric) + len(to_index))
+    return model
 
 
 @dataclass
@@ -152,29 +241,22 @@ class GridResult:
     votes: DataFrame
     scores: DataFrame
     best: DataFrame
-    test: DataFrame
 
 
 def run_grid(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> GridResult:
-    train, test, n_train = feature_rows(spark, sf_dir, cfg)
-    nodes = fit_forest(spark, train, n_train, cfg)
-    # Written once (its size is the output's: test rows x keys): read by the
-    # metric, the best-key choice and the predictions.
-    votes = materialize(fo.forest_votes(test, nodes, cfg.depth, cfg.n_pairs), "votes")
-    if cfg.task == "clf":
-        scores = me.auc_by_key(votes)
-        best = me.select_best(scores, "auc", larger_is_better=True)
-    else:
-        scores = me.mse_by_key(votes, fo.VOTE_SCALE["reg"])
-        best = me.select_best(scores, "mse", larger_is_better=False)
-    return GridResult(nodes, votes, scores, best, test)
+    """The grid on lineitem: fitted on the training share, every key scored on the test share."""
+    train, test = feature_rows(spark, sf_dir, cfg)
+    nodes = fit_forest(train, cfg)
+    # Written once (test rows x keys): read by the metric, the best-key choice and the predictions.
+    votes = materialize(scored(test, nodes, cfg), "votes")
+    scores = key_scores(votes, cfg)
+    return GridResult(nodes, votes, scores, best_key(scores, cfg))
 
 
 def best_predictions(res: GridResult, task: str) -> DataFrame:
     """Test rows of the best key with ``prediction`` (and ``probability`` for classification)."""
     chosen = res.votes.join(F.broadcast(res.best.select("k")), "k", "inner")  # one row
     if task == "clf":
-        out = fo.clf_outputs(chosen)
-        out = out.withColumn("probability", F.array(F.lit(1.0) - F.col("prob"), F.col("prob")))
-        return out.select("rid", "k", "y", "prediction", "probability")
-    return fo.reg_outputs(chosen).select("rid", "k", "y", "prediction")
+        chosen = chosen.withColumn("probability", F.array(F.lit(1.0) - F.col("prob"), F.col("prob")))
+        return chosen.select("rid", "k", "x", "y", "prediction", "probability")
+    return chosen.select("rid", "k", "x", "y", "prediction")

@@ -1,9 +1,4 @@
-"""Registered forest queries and their oracle SQL.
-
-The fitted node table of a (data directory, config) pair is kept for the
-session: it is already written under the checkpoint directory, so later
-queries read it instead of refitting.
-"""
+"""Registered forest queries and their oracle SQL; every query fits its own forest."""
 
 from __future__ import annotations
 
@@ -15,29 +10,21 @@ from sylvan.operators import features as feat
 from sylvan.operators import forest as fo
 from sylvan.operators import metrics as me
 from sylvan.operators import mllib_forest
-from sylvan.operators import sampling as sa
 from sylvan.plans import forest as pf
 from sylvan.plans.basic import lineitem_rid
 from sylvan.plans.oracle_forest import forest_sql
 from sylvan.session import scratch_path
-from sylvan.sources import load_forest_table, read_table, save_forest_table
+from sylvan.sources import read_table
 
 CLF = pf.ForestConfig()
-REG = pf.ForestConfig(task="reg")
-
-_FITS: dict = {}
-
+REG = pf.ForestConfig(task="reg", max_rows=None)
 
 def _fit(spark: SparkSession, sf_dir: str, cfg: pf.ForestConfig) -> pf.GridResult:
-    key = (spark.sparkContext.applicationId, sf_dir, cfg.task, repr(cfg))
-    if key not in _FITS:
-        _FITS[key] = pf.run_grid(spark, sf_dir, cfg)
-    return _FITS[key]
+    return pf.run_grid(spark, sf_dir, cfg)
 
 
-def _train(spark, sf_dir, cfg=CLF):
-    train, _, n_train = pf.feature_rows(spark, sf_dir, cfg)
-    return train, n_train
+def _nodes(spark: SparkSession, sf_dir: str, cfg: pf.ForestConfig):
+    return pf.fit_forest(pf.feature_rows(spark, sf_dir, cfg)[0], cfg)
 
 
 def string_index(spark, sf_dir):
@@ -46,13 +33,13 @@ def string_index(spark, sf_dir):
 
 
 def assemble_features(spark, sf_dir):
-    rows = pf.labelled_rows(spark, sf_dir, CLF)
+    rows = pf.labelled_rows(spark, sf_dir, CLF).dropna(subset=pf.NUMERIC)
     return feat.assemble(rows, pf.NUMERIC).select("rid", "features")
 
 
 def feature_pipeline(spark, sf_dir):
-    _, test, _ = pf.mllib_feature_rows(spark, sf_dir, CLF)
-    return test.select("rid", F.col("x").alias("features"), "y")
+    rows = pf.mllib_feature_rows(spark, sf_dir, CLF)
+    return rows.select("rid", F.col("x").alias("features"), "y", "is_train")
 
 
 def sampling_rate(spark, sf_dir):
@@ -61,14 +48,8 @@ def sampling_rate(spark, sf_dir):
     return train.agg(n.alias("n_train"), P.sampling_rate_col(n, CLF.max_p, CLF.max_rows).alias("p"))
 
 
-def param_grid(spark, sf_dir):
-    grid = sa.param_grid(spark, CLF.grid)
-    return grid.withColumn("p", sampling_rate(spark, sf_dir).select("p").scalar())
-
-
 def _sampled(spark, sf_dir):
-    train, n_train = _train(spark, sf_dir)
-    return pf.sample_for_trees(spark, train, n_train, CLF)
+    return pf.sample_for_trees(pf.feature_rows(spark, sf_dir, CLF)[0], CLF)
 
 
 def tree_sample(spark, sf_dir):
@@ -83,12 +64,6 @@ def param_key_parse(spark, sf_dir):
     return rows.groupBy("k", "min_samples_leaf", "max_depth", "tree").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def column_mask(spark, sf_dir):
-    present = _sampled(spark, sf_dir).select("k", "tree").distinct()
-    masks = pf.grid_with_masks(spark, CLF).join(present, ["k", "tree"], "left_semi")
-    return masks.select("k", "tree", F.explode("mask").alias("f"))
-
-
 def split_histogram(spark, sf_dir):
     s = _sampled(spark, sf_dir).withColumn("node", F.lit(1))
     return fo.histogram(s).select("k", "tree", "f", "v", "n", "s")
@@ -98,16 +73,16 @@ STUMP_COLS = ["k", "tree", "node", "f", "thr", "n", "s"]
 
 
 def best_split(spark, sf_dir):
-    nodes = _fit(spark, sf_dir, CLF).nodes
+    nodes = _nodes(spark, sf_dir, CLF)
     return nodes.filter((F.col("depth") == 0) & ~F.col("is_leaf")).select(*STUMP_COLS)
 
 
 def grow_tree(spark, sf_dir):
-    return _fit(spark, sf_dir, CLF).nodes
+    return _nodes(spark, sf_dir, CLF)
 
 
 def forest_by_key(spark, sf_dir):
-    nodes = _fit(spark, sf_dir, CLF).nodes
+    nodes = _nodes(spark, sf_dir, CLF)
     roots = nodes.filter(F.col("node") == 1)
     per_k = nodes.groupBy("k").agg(
         F.count(F.lit(1)).alias("n_nodes"), F.sum(F.col("is_leaf").cast("int")).alias("n_leaves"))
@@ -118,13 +93,13 @@ def forest_by_key(spark, sf_dir):
 
 
 def score_all_models(spark, sf_dir):
-    res = _fit(spark, sf_dir, CLF)
-    return fo.route_to_leaves(res.test, res.nodes, CLF.depth, CLF.n_pairs).select("rid", "k", "tree", "node", "vote")
+    train, test = pf.feature_rows(spark, sf_dir, CLF)
+    nodes = pf.fit_forest(train, CLF)
+    return fo.route_to_leaves(test, nodes, CLF.depth).select("rid", "k", "tree", "node", "vote")
 
 
 def forest_vote(spark, sf_dir):
-    res = _fit(spark, sf_dir, CLF)
-    return fo.clf_outputs(res.votes).select("rid", "k", "score", "n_trees", "prob", "prediction")
+    return _fit(spark, sf_dir, CLF).votes.select("rid", "k", "score", "n_trees", "prob", "prediction")
 
 
 def auc_by_key(spark, sf_dir):
@@ -132,8 +107,7 @@ def auc_by_key(spark, sf_dir):
 
 
 def auc_swapped_by_key(spark, sf_dir):
-    res = _fit(spark, sf_dir, CLF)
-    return me.auc_swapped_by_key(fo.clf_outputs(res.votes))
+    return me.auc_swapped_by_key(_fit(spark, sf_dir, CLF).votes)
 
 
 def select_best(spark, sf_dir):
@@ -141,20 +115,24 @@ def select_best(spark, sf_dir):
 
 
 def grid_select_clf(spark, sf_dir):
-    res = _fit(spark, sf_dir, CLF)
-    preds = pf.best_predictions(res, "clf")
-    return preds.join(res.test.select("rid", F.col("x").alias("features")), "rid").select(
-        "rid", "k", "features", "y", "prediction", "probability")
+    preds = pf.best_predictions(_fit(spark, sf_dir, CLF), "clf")
+    return preds.select("rid", "k", F.col("x").alias("features"), "y", "prediction", "probability")
+
+
+def _fitted_model(spark, sf_dir):
+    """Forest model of the lineitem training rows, evaluated on the test rows; and these rows."""
+    rows = pf.lineitem_rows(read_table(spark, sf_dir, "lineitem"), CLF)
+    model = pf.fit(rows.filter("is_train"), pf.NUMERIC, "y", CLF, pf.TO_INDEX, row_id="rid")
+    test = rows.filter("not is_train")
+    model.evaluate(test)
+    return model, test
 
 
 def append_prediction(spark, sf_dir):
     """All lineitem columns of the test rows, plus prediction and probability of the best forest."""
-    res = _fit(spark, sf_dir, CLF)
-    preds = pf.best_predictions(res, "clf").select("rid", "prediction", "probability")
+    model, _ = _fitted_model(spark, sf_dir)
     li = lineitem_rid(read_table(spark, sf_dir, "lineitem"))
-    # Keep only test rows before the join, so the shuffle carries the test share, not the table.
-    li = li.filter(~pf.is_train_col(F.col("rid"), CLF))
-    return li.join(preds, "rid", "inner")
+    return model.predict(li.filter(~pf.is_train_col(F.col("rid"), CLF)))
 
 
 def mse_by_key(spark, sf_dir):
@@ -168,18 +146,20 @@ def grid_select_reg(spark, sf_dir):
 
 
 def model_roundtrip(spark, sf_dir):
-    path = save_forest_table(best_split(spark, sf_dir), scratch_path(spark, "stumps"))
-    return load_forest_table(spark, path)
+    """Predictions of a model that was saved and loaded again."""
+    model, test = _fitted_model(spark, sf_dir)
+    loaded = pf.ForestModel.load(spark, model.save(scratch_path(spark, "forest-model")))
+    return loaded.predict(test.select("rid", *pf.NUMERIC, *pf.TO_INDEX)).select("rid", "prediction", "probability")
 
 
 def forest_fit_clf(spark, sf_dir):
-    train, test, n_train = pf.feature_rows(spark, sf_dir, CLF)
-    return mllib_forest.fit_and_predict(train, test, n_train, CLF)
+    train, test = pf.feature_rows(spark, sf_dir, CLF)
+    return mllib_forest.fit_and_predict(pf.usable(train), pf.usable(test), CLF)
 
 
 def forest_fit_reg(spark, sf_dir):
-    train, test, n_train = pf.feature_rows(spark, sf_dir, REG)
-    return mllib_forest.fit_and_predict(train, test, n_train, REG)
+    train, test = pf.feature_rows(spark, sf_dir, REG)
+    return mllib_forest.fit_and_predict(pf.usable(train), pf.usable(test), REG)
 
 
 def forest_queries() -> dict:
@@ -188,10 +168,8 @@ def forest_queries() -> dict:
         "assemble_features": assemble_features,
         "feature_pipeline": feature_pipeline,
         "sampling_rate": sampling_rate,
-        "param_grid": param_grid,
         "tree_sample": tree_sample,
         "param_key_parse": param_key_parse,
-        "column_mask": column_mask,
         "split_histogram": split_histogram,
         "best_split": best_split,
         "grow_tree": grow_tree,
@@ -217,22 +195,16 @@ def forest_oracles() -> dict:
     return {
         "string_index": forest_sql(CLF, "SELECT s4 AS value, x4 AS idx FROM sidx", scoring=False),
         "assemble_features": forest_sql(CLF, "SELECT rid, [x0, x1, x2, x3] AS features FROM base", scoring=False),
-        "feature_pipeline": forest_sql(CLF, "SELECT rid, [x0, x1, x2, x3, x4] AS features, y FROM test",
+        "feature_pipeline": forest_sql(CLF, "SELECT rid, [x0, x1, x2, x3, x4] AS features, y, is_train FROM feat",
                                        scoring=False),
         "sampling_rate": forest_sql(CLF, "SELECT n_train, p FROM prate", scoring=False),
-        "param_grid": forest_sql(
-            CLF, "SELECT grid.k, grid.min_leaf AS min_samples_leaf, grid.max_depth, prate.p FROM grid, prate",
-            scoring=False),
         "tree_sample": forest_sql(CLF, "SELECT k, tree, rid FROM sampled", scoring=False),
         "param_key_parse": forest_sql(
             CLF, "SELECT k, min_leaf AS min_samples_leaf, max_depth, tree, count(*) AS n_rows "
                  "FROM sampled GROUP BY k, min_leaf, max_depth, tree", scoring=False),
-        "column_mask": forest_sql(
-            CLF, "SELECT k, tree, f FROM mask WHERE (k, tree) IN (SELECT DISTINCT k, tree FROM sampled)",
-            scoring=False),
         "split_histogram": forest_sql(CLF, "SELECT k, tree, f, v, n, s FROM h0", scoring=False),
         "best_split": forest_sql(CLF, stump, scoring=False),
-        "model_roundtrip": forest_sql(CLF, stump, scoring=False),
+        "model_roundtrip": forest_sql(CLF, f"SELECT s.rid, s.prediction, {prob_arr} FROM scored s JOIN best USING (k)"),
         "grow_tree": forest_sql(CLF, "SELECT * FROM nodes", scoring=False),
         "forest_by_key": forest_sql(CLF, """SELECT r.k, r.n_trees, r.trees, a.n_nodes, a.n_leaves FROM
   (SELECT k, count(*) AS n_trees, string_agg(CAST(tree AS VARCHAR), ',' ORDER BY tree) AS trees

@@ -28,6 +28,12 @@ def _dbl(v: float) -> str:
     return f"{v!r}::DOUBLE"
 
 
+def _rate(cfg: ForestConfig) -> str:
+    if cfg.max_rows is None:
+        return _dbl(cfg.max_p)
+    return f"least({_dbl(cfg.max_p)}, {_dbl(float(cfg.max_rows))} / CAST(count(*) AS DOUBLE))"
+
+
 def base_ctes(cfg: ForestConfig) -> list[str]:
     seed = cfg.seed
     if cfg.task == "clf":
@@ -61,9 +67,7 @@ def base_ctes(cfg: ForestConfig) -> list[str]:
         "train AS (SELECT * FROM feat WHERE is_train)",
         "test AS (SELECT * FROM feat WHERE NOT is_train)",
         f"""prate AS (
-  SELECT count(*) AS n_train,
-    floor(least({_dbl(cfg.max_p)}, {_dbl(float(cfg.max_rows))} / CAST(count(*) AS DOUBLE)) * 100.0::DOUBLE)
-      / 100.0::DOUBLE AS p
+  SELECT count(*) AS n_train, {_rate(cfg)} AS p
   FROM train)""",
         f"grid(k, min_leaf, max_depth) AS (VALUES {grid})",
         f"gt AS (SELECT grid.k, grid.min_leaf, grid.max_depth, CAST(t.range AS INTEGER) AS tree "

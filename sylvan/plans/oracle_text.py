@@ -21,15 +21,22 @@ def stopword_values() -> str:
     return f"stop(lang, w) AS (VALUES {rows})"
 
 
-def remove_entities_sql(expr: str) -> str:
-    out = expr
-    for _, pattern in tx.ENTITY_RULES:
-        out = f"regexp_replace({out}, {q(pattern)}, ' ', 'g')"
-    for phrase, _ in tx.gazetteer_in_order():
-        out = f"replace({out}, {q(phrase)}, ' ')"
+def entity_steps_sql(expr: str) -> list[tuple[str, str, str]]:
+    """(label, pattern, SQL of the line before) of each removal in order, and the final line."""
+    out = []
+    for label, pattern in tx.ENTITY_RULES:
+        out.append((label, pattern, expr))
+        rest = f" \\{tx.ENTITY_REST[label]}" if label in tx.ENTITY_REST else " "
+        expr = f"regexp_replace({expr}, {q(pattern)}, '{rest}', 'g')"
+    out.append(("", tx.gazetteer_pattern(), expr))
+    out.append(("end", "", f"regexp_replace({expr}, {q(tx.gazetteer_pattern())}, ' ', 'g')"))
     return out
 
 
+def remove_entities_sql(expr: str) -> str:
+    return entity_steps_sql(expr)[-1][2]
+
+
 def strip_dates_sql(expr: str) -> str:
     return f"regexp_replace({expr}, {q(tx.DATE_PATTERN)}, '', 'g')"
 
@@ -73,17 +80,20 @@ def ties_select(counts: str = "counts", k: int = 10) -> str:
 
 
 def entity_set_sql() -> str:
-    parts = []
-    for label, pattern in tx.ENTITY_RULES:
-        parts.append(f"SELECT {q(label)} AS label, unnest(regexp_extract_all(line, {q(pattern)})) AS entity FROM long_lines")
+    """Step by step: each rule's matches on what the rules before it left."""
+    parts = [f"l0 AS (SELECT line FROM lines WHERE length(line) > {tx.ENTITY_MIN_LINE_LENGTH})"]
+    found = []
+    for i, (label, pattern) in enumerate(tx.ENTITY_RULES):
+        rest = f" \\{tx.ENTITY_REST[label]}" if label in tx.ENTITY_REST else " "
+        parts.append(f"l{i + 1} AS (SELECT regexp_replace(line, {q(pattern)}, '{rest}', 'g') AS line FROM l{i})")
+        found.append(f"SELECT {q(label)} AS label, unnest(regexp_extract_all(line, {q(pattern)}, 1)) AS entity FROM l{i}")
+    last = len(tx.ENTITY_RULES)
     gaz = ", ".join(f"({q(p)}, {q(lab)})" for p, lab in tx.gazetteer_in_order())
-    parts.append(
-        f"SELECT g.label, g.phrase AS entity FROM long_lines JOIN (VALUES {gaz}) AS g(phrase, label) "
-        f"ON strpos(long_lines.line, g.phrase) > 0"
-    )
-    union = "\nUNION\n".join(parts)
+    parts.append(f"named AS (SELECT unnest(regexp_extract_all(line, {q(tx.gazetteer_pattern())})) AS entity FROM l{last})")
+    found.append(f"SELECT g.label, named.entity FROM named JOIN (VALUES {gaz}) AS g(phrase, label) ON g.phrase = named.entity")
+    union = "\nUNION\n".join(found)
     return f"""WITH {LINES},
-long_lines AS (SELECT line FROM lines WHERE length(line) > {tx.ENTITY_MIN_LINE_LENGTH})
+{", ".join(parts)}
 SELECT DISTINCT label, entity FROM (
 {union}
 ) AS e"""
@@ -97,8 +107,8 @@ def text_oracles() -> dict[str, str]:
         "strip_dates": f"WITH {LINES} SELECT doc_id, line_no, {strip_dates_sql('lower(line)')} AS line FROM lines",
         "tokenize": f"WITH {LINES} {exploded(tokens_sql(strip_dates_sql('lower(line)')), 'pos', 'token')}",
         "entity_removal": (
-            f"WITH {LINES} SELECT doc_id, line_no, {remove_entities_sql('line')} AS line FROM lines "
-            f"WHERE length(line) > {tx.ENTITY_MIN_LINE_LENGTH}"
+            f"WITH {LINES} SELECT doc_id, line_no, CASE WHEN length(line) > {tx.ENTITY_MIN_LINE_LENGTH} "
+            f"THEN {remove_entities_sql('line')} ELSE line END AS line FROM lines"
         ),
         "entity_set": entity_set_sql(),
         "stopword_filter": f"""WITH {LINES},

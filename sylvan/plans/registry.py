@@ -42,9 +42,6 @@ def text_queries() -> dict[str, Query]:
 def basic_queries() -> dict[str, Query]:
     return {
         "csv_scan": basic.csv_scan,
-        "rows_from_collection": basic.rows_from_nation,
-        "range_source": basic.range_source,
-        "synth_rows": basic.synth,
         "head_n": basic.head_n,
         "row_as_map": basic.row_as_map,
         "keep_columns": basic.keep_columns,

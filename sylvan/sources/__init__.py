@@ -1,21 +1,18 @@
-"""Sources and sinks: tables, text lines, CSV, in-memory rows, ranges, synthetic rows, model tables."""
+"""Sources and sinks: tables, text lines, CSV, model tables."""
 
 from sylvan.sources.tables import (
     csv_roundtrip,
     lines_of,
-    range_like,
     read_csv,
     read_table,
     read_text_lines,
-    rows_from_collection,
     scan_lines,
     write_csv,
 )
-from sylvan.sources.synth import synth_rows
 from sylvan.sources.model_io import load_forest_table, save_forest_table
 
 __all__ = [
-    "csv_roundtrip", "lines_of", "range_like", "read_csv", "read_table", "read_text_lines",
-    "rows_from_collection", "scan_lines", "write_csv", "synth_rows", "load_forest_table",
+    "csv_roundtrip", "lines_of", "read_csv", "read_table", "read_text_lines",
+    "scan_lines", "write_csv", "load_forest_table",
     "save_forest_table",
 ]

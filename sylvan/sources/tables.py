@@ -16,30 +16,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def needs_spread(df: DataFrame) -> bool:
-    """True when a scan has fewer partitions than the session has cores."""
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+# Session setting: number of partitions that scans are dealt out over before
+# heavy per-row work.  Unset (the default), scans keep their own splits.
+MIN_PARTITIONS = "spark.sylvan.minPartitions"
 
 
-def spread(df: DataFrame, keys=None, copy: bool = False) -> DataFrame:
-    """Give a scan at least one partition per core before heavy per-row work.
+def spread(df: DataFrame, keys=None, partitions: int | None = None) -> DataFrame:
+    """Deal a scan out over ``partitions`` by the hash of ``keys`` (default: all columns).
 
-    Large inputs already arrive in many splits and are returned unchanged (no
-    shuffle).  A scan with fewer partitions than cores (a few files of one
-    row group each, as in the test data) is hash-partitioned on ``keys``
-    (default: all columns; deterministic, so no pre-sort as round-robin
-    needs).  With ``copy`` the spread rows are also written once under the
-    checkpoint directory: filters are then evaluated in parallel instead of
-    being pushed into the single scan task, and later passes read the copy.
+    ``partitions`` None takes the session's setting; without one the scan is
+    returned as it is.  The plan never depends on the size of the data or on
+    the cores at hand.
     """
-    if not needs_spread(df):
-        return df
-    out = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *(keys or df.columns))
-    if copy:
-        from sylvan.session import materialize
-
-        out = materialize(out, "spread")
-    return out
+    partitions = partitions or int(df.sparkSession.conf.get(MIN_PARTITIONS, "0"))
+    return df.repartition(partitions, *(keys or df.columns)) if partitions else df
 
 
 def lines_of(docs: DataFrame, text_col: str = "text", keep=("doc_id", "lang")) -> DataFrame:
@@ -81,17 +71,6 @@ def csv_roundtrip(df: DataFrame, path: str) -> DataFrame:
     return read_csv(df.sparkSession, path, df.schema)
 
 
-def rows_from_collection(spark: SparkSession, rows, schema: T.StructType | str) -> DataFrame:
-    """Small in-memory rows (parameters, dimension rows) as a DataFrame."""
-    return spark.createDataFrame(list(rows), schema)
-
-
-def range_like(df: DataFrame) -> DataFrame:
-    """``spark.range(n)`` with n the row count of ``df``: an integer source sized by a table."""
-    n = df.count()
-    return df.sparkSession.range(0, n)
-
-
 def local_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     """A small fixed table as a JVM-side local relation (``inline`` of literal structs).
 
