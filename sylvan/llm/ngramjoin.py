@@ -9,16 +9,15 @@ Equal sets are one class, known by a 128-bit signature; all work is on classes.
 2. *Index.*  Hashes go back to their class, rarest first.  A class with fewer
    shared hashes than the threshold asks of it cannot have a partner and is
    dropped.  Of the others, the prefix that every partner must meet is indexed.
-3. *Block skipping.*  In an index list, a pair is looked at only if the sizes
-   and the places of the hash in both sets leave enough overlap.
-4. *Answers from similar sets.*  Each list first compares its members with one
-   pivot only, a star rather than all pairs.  Members that a chain of links
-   already connects are never compared.  For the rest, the known distances to the
+3. *Answers from similar sets.*  Classes that share a min-hash are compared with
+   one pivot of their list, a star rather than all pairs, and components are
+   formed.  An index list whose members are connected needs no comparison.  In
+   the others, each member is compared with the pivot of each larger component of
+   the list.  For members that this does not connect, the distances to the
    pivot bound the distance of two members (triangle inequality of the Jaccard
-   distance): pairs that differ by more than the threshold are skipped, the
-   remaining ones are compared exactly.  Further pivot rounds run while lists
-   still hold many unconnected pairs, so a group of thousands of near copies
-   collapses by stars.
+   distance): pairs that the bound separates are skipped.
+4. *Block skipping.*  Of the pairs that are left, those are compared exactly
+   whose sizes and places of the hash in both sets leave enough overlap.
 
 Links are exact: every pair at or above the threshold is compared or connected.
 Components come from the links; a document's component is the smallest id in it.
@@ -30,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,8 +49,8 @@ RANGE = 2_000_000
 #: A hash in so many sets of one batch is frequent: it sorts last and is sent once.
 FREQUENT = 16
 LAST = 65535
-#: Pivot rounds at most, and unconnected pairs for each index entry that end them.
-ROUNDS, FEW = 4, 4
+#: Min-hashes of a class by which it meets its first pivots.
+SKETCHES = 6
 
 
 def _signature(s: np.ndarray) -> bytes:
@@ -86,8 +86,28 @@ def shingle_classes(docs: DataFrame, id_col: str, text_col: str, width: int = WI
 _PACKED = "bucket int, direct boolean, h binary, d binary, marked binary, sig binary, n binary"
 
 
+def _squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte place, compressed."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def _expand(blob: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind)[:, 0]
+
+
+def _steps(h: np.ndarray) -> np.ndarray:
+    """Differences of rising hashes; their sum gives them back."""
+    out = h.copy()
+    out[1:] -= h[:-1]
+    return out
+
+
 def _pack_row(bucket, direct, h, d, marked, sig, n):
-    return (int(bucket), bool(direct), h.tobytes(), d.astype(np.uint32).tobytes(), marked.astype(np.uint32).tobytes(), sig, n)
+    """A row of rising hashes ``h``, the places ``d`` of their classes in ``sig``, and places or weights ``marked``."""
+    return (int(bucket), bool(direct), _squeeze(_steps(h)), _squeeze(d.astype(np.uint32)), _squeeze(marked), sig, n)
 
 
 def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -117,7 +137,7 @@ def _postings(docs: DataFrame, text_col: str, ranges: int, width: int) -> DataFr
             frequent = np.repeat(runs >= FREQUENT, runs)
             out = []
             if frequent.any():
-                out.append(_pack_row((spread + turn) % ranges, True, h[frequent], d[frequent], first[:0], sig, n))
+                out.append(_pack_row((spread + turn) % ranges, True, h[frequent], d[frequent], first[:0].astype(np.uint32), sig, n))
             send = ~frequent
             send[first] = True
             mark = frequent[send]
@@ -127,7 +147,7 @@ def _postings(docs: DataFrame, text_col: str, ranges: int, width: int) -> DataFr
             for k in range(ranges):
                 a, b = cuts[k], cuts[k + 1]
                 if b > a:
-                    out.append(_pack_row(k, False, h[a:b], d[a:b], np.flatnonzero(mark[a:b]), sig, n))
+                    out.append(_pack_row(k, False, h[a:b], d[a:b], np.flatnonzero(mark[a:b]).astype(np.uint32), sig, n))
             return _packed_batch(out)
 
         for batch in batches:
@@ -147,11 +167,10 @@ def _postings(docs: DataFrame, text_col: str, ranges: int, width: int) -> DataFr
     return docs.select(text_col).mapInArrow(rows, _PACKED)
 
 
-def _unpack(table_: pa.Table, k: int, marks=np.uint32):
-    row = {c: table_.column(c)[k] for c in ("h", "d", "marked", "sig", "n")}
-    read = lambda c, t: np.frombuffer(row[c].as_py(), dtype=t)
-    sig = row["sig"].as_py()
-    return read("h", np.uint64), read("d", np.uint32), read("marked", marks), np.frombuffer(sig, dtype="V16"), read("n", np.uint32)
+def _unpack(group: pa.Table, k: int, marks=np.uint32):
+    row = {c: group.column(c)[k].as_py() for c in ("h", "d", "marked", "sig", "n")}
+    return (np.cumsum(_expand(row["h"], np.uint64), dtype=np.uint64), _expand(row["d"], np.uint32), _expand(row["marked"], marks),
+            np.frombuffer(row["sig"], dtype="V16"), np.frombuffer(row["n"], dtype=np.uint32))
 
 
 def _shared(postings: DataFrame, ranges: int) -> DataFrame:
@@ -168,8 +187,7 @@ def _shared(postings: DataFrame, ranges: int) -> DataFrame:
                 a, b = cuts[k], cuts[k + 1]
                 if b > a:
                     used, local = np.unique(d[a:b], return_inverse=True)
-                    out.append((k, False, h[a:b].tobytes(), local.astype(np.uint32).tobytes(), w[a:b].astype(np.uint16).tobytes(),
-                                sig[used].tobytes(), n[used].tobytes()))
+                    out.append(_pack_row(k, False, h[a:b], local, w[a:b].astype(np.uint16), sig[used].tobytes(), n[used].tobytes()))
 
         hs, ds, marks, sigs, ns, base = [], [], [], [], [], 0
         for k in range(group.num_rows):
@@ -216,8 +234,8 @@ def _shared(postings: DataFrame, ranges: int) -> DataFrame:
 
 
 def _candidates(shared: DataFrame, percent: int) -> DataFrame:
-    """``(sig, n, hs)``: classes with enough shared hashes, these hashes rarest first."""
-    schema = pa.schema([("sig", pa.binary()), ("n", pa.int64()), ("hs", pa.list_(pa.int64()))])
+    """``(cid, sig, n, hs, sketch)``: classes with enough shared hashes, these rarest first, and their min-hashes."""
+    names = ["cid", "sig", "n", "hs", "sketch"]
 
     def gather(group: pa.Table) -> pa.Table:
         index: dict[bytes, int] = {}
@@ -250,11 +268,17 @@ def _candidates(shared: DataFrame, percent: int) -> DataFrame:
         keep = enough[d]
         kept = np.flatnonzero(enough)
         keys = list(index)
-        offsets = np.concatenate(([0], np.cumsum(count[kept]))).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[keep].view(np.int64)))
-        return pa.Table.from_arrays([pa.array([keys[k] for k in kept], pa.binary()), pa.array(n[kept]), lists], schema=schema)
+        h, sizes_kept = h[keep], count[kept]
+        offsets = np.concatenate(([0], np.cumsum(sizes_kept)))
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(h.view(np.int64)))
+        seeds = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
+        least = [np.minimum.reduceat(mix(h ^ seed), offsets[:-1]) + np.uint64(j) if len(kept) else h for j, seed in enumerate(seeds)]
+        sketch = np.stack(least, axis=1).view(np.int64) if len(kept) else np.empty((0, SKETCHES), np.int64)
+        first = group.column("bucket")[0].as_py() << 40
+        return pa.Table.from_arrays([pa.array(first + np.arange(len(kept))), pa.array([keys[k] for k in kept], pa.binary()),
+                                     pa.array(n[kept]), lists, pa.array(list(sketch), pa.list_(pa.int64()))], names=names)
 
-    return shared.groupBy("bucket").applyInArrow(gather, "sig binary, n long, hs array<long>")
+    return shared.groupBy("bucket").applyInArrow(gather, "cid long, sig binary, n long, hs array<long>, sketch array<long>")
 
 
 def _long_enough(a: Column, b: Column, percent: int) -> Column:
@@ -263,70 +287,88 @@ def _long_enough(a: Column, b: Column, percent: int) -> Column:
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``(a, b, distance, linked)`` of pairs of classes, from their whole sets."""
-    one = sets.select(F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("hs").alias("hb"))
-    two = sets.select(F.col("sig").alias("a"), F.col("n").alias("na"), F.col("hs").alias("ha"))
+    one = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("hs").alias("hb"))
+    two = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("hs").alias("ha"))
     both = pairs.select("a", "b").join(one, "b").join(two, "a").withColumn("common", F.size(F.array_intersect("ha", "hb")))
     union = F.col("na") + F.col("nb") - F.col("common")
     return both.select("a", "b", (1 - F.col("common") / union).alias("distance"), (100 * F.col("common") >= percent * union).alias("linked"))
 
 
-def _links(sets: DataFrame, percent: int, rounds: int, few: int) -> DataFrame:
-    """Links ``(a, b)`` between classes whose components are those of all links."""
+def _pair(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _labelled(sets: DataFrame, label: DataFrame) -> DataFrame:
+    """Sets with the label of their component (their own id without links) and its size."""
+    sizes = label.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+    found = label.join(sizes, "label").withColumnRenamed("node", "cid")
+    return sets.join(found, "cid", "left").withColumns({"label": F.coalesce("label", "cid"), "members": F.coalesce("members", F.lit(1))})
+
+
+def _entries(sets: DataFrame, percent: int) -> DataFrame:
+    """Index entries of labelled sets: the prefix that every partner must meet, with each hash's place in its set."""
     need = F.ceil(F.col("n") * percent / 100)
-    prefix = sets.withColumn("len", F.size("hs")).select(
-        "sig", "n", (F.col("n") - F.col("len")).alias("skipped"), F.slice("hs", F.lit(1), (F.col("len") - need + 1).cast("int")).alias("hs"))
-    entries = prefix.select("sig", "n", "skipped", F.posexplode("hs").alias("i", "h")).select(
-        "sig", "n", "h", (F.col("skipped") + F.col("i")).alias("place"))
-    spark = sets.sparkSession
-    entries = materialize(entries, "join-index")
-    n_entries = entries.count()
-    links, compared = None, None
-    label = None
-    for turn in range(rounds):
-        listed = entries
-        if label is not None:
-            listed = entries.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-        else:
-            listed = entries.withColumn("label", F.col("sig"))
-        # A list's pivot: the first by hash in this round; lists whose members are all connected are done.
-        lead = F.struct(F.xxhash64("sig", F.lit(turn)).alias("r"), "sig", "n", "label")
-        lists = listed.groupBy("h").agg(F.min(lead).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                        F.count(F.lit(1)).alias("members")).filter("lo != hi")
-        if turn:
-            open_pairs = lists.agg(F.sum(F.col("members") * (F.col("members") - 1) / 2)).first()[0] or 0
-            if open_pairs <= few * n_entries:
-                break
-        stars = listed.join(lists.select("h", "p"), "h").filter("label != p.label").filter(
-            _long_enough(F.col("n"), F.col("p.n"), percent)).select(
-            F.least("sig", F.col("p.sig")).alias("a"), F.greatest("sig", F.col("p.sig")).alias("b")).distinct()
-        if compared is not None:
-            stars = stars.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        found = materialize(_compare(stars, sets, percent), "join-stars")
-        compared = found if compared is None else compared.unionByName(found)
-        links = compared.filter("linked").select("a", "b")
-        label = materialize(connected_components(links), "join-labels")
-
-    # What is left: pairs of a list that are not connected yet.
-    listed = entries.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
-    open_lists = listed.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("sig", F.lit(0)).alias("r"), "sig")).alias("p")).filter("lo != hi")
-    known = compared.select(F.col("a").alias("sig"), F.col("b").alias("pivot"), "distance").unionByName(
-        compared.select(F.col("b").alias("sig"), F.col("a").alias("pivot"), "distance"))
-    rest = listed.join(open_lists.select("h", F.col("p.sig").alias("pivot")), "h").join(known, ["sig", "pivot"], "left")
-    rest = materialize(rest.withColumn("distance", F.when(F.col("sig") == F.col("pivot"), 0.0).otherwise(F.col("distance"))), "join-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    overlap = 1 + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) - 1
-    far = F.abs(F.col("x.distance") - F.col("y.distance")) > (100 - percent) / 100 + 1e-9
-    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.label") != F.col("y.label"))
+    skipped = F.col("n") - F.size("hs")
+    prefix = F.slice("hs", F.lit(1), (F.size("hs") - need + 1).cast("int"))
+    return sets.select("cid", "n", "label", "members", skipped.alias("skipped"), F.posexplode(prefix).alias("i", "h")).select(
+        "cid", "n", "label", "members", "h", (F.col("skipped") + F.col("i")).alias("place"))
+
+
+def _open_entries(sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Entries of the lists whose members are not all connected."""
+    entries = _entries(_labelled(sets, label), percent)
+    lists = entries.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("h")
+    return materialize(entries.join(lists, "h"), "join-open")
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between classes whose components are those of all links."""
+    # Stars around one pivot of each min-hash.
+    met = sets.select("cid", "n", F.explode("sketch").alias("k"))
+    pivots = met.groupBy("k").agg(F.min(F.struct(F.xxhash64("cid").alias("r"), "cid", "n")).alias("p"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    pairs = met.join(pivots, "k").filter((F.col("cid") != F.col("p.cid")) & _long_enough(F.col("n"), F.col("p.n"), percent))
+    pairs = pairs.select(*_pair(F.col("cid"), F.col("p.cid"))).distinct()
+    compared = materialize(_compare(pairs, sets, percent), "join-stars")
+    links = compared.filter("linked").select("a", "b")
+    label = materialize(connected_components(links), "join-labels")
+
+    # In open lists, each member and the pivot of each larger component: its smallest class.
+    open_ = _open_entries(sets, label, percent)
+    labels = open_.select("h", "label", "members").distinct()
+    x, y = open_.alias("x"), labels.alias("y")
+    larger = (F.col("y.members") > F.col("x.members")) | ((F.col("y.members") == F.col("x.members")) & (F.col("y.label") < F.col("x.label")))
+    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.label") != F.col("y.label")) & larger).select(
+        *_pair(F.col("x.cid"), F.col("y.label"))).distinct()
+    pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    found = materialize(_compare(pairs, sets, percent), "join-pivots")
+    compared = compared.unionByName(found)
+    links = compared.filter("linked").select("a", "b")
+    label = materialize(connected_components(links), "join-labels")
+
+    # What is left: pairs of a list that are not connected and that no known distance separates.
+    open_ = _open_entries(sets, label, percent)
+    known = compared.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), "distance").unionByName(
+        compared.select(F.col("b").alias("cid"), F.col("a").alias("pivot"), "distance"))
+    x, y = open_.alias("x"), open_.alias("y")
+    overlap = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.label") != F.col("y.label"))
                    & _long_enough(F.col("x.n"), F.col("y.n"), percent)
-                   & (overlap * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))
-                   & ~F.coalesce(far, F.lit(False))).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
+                   & (overlap * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))).select(
+        F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), F.col("x.label").alias("la"), F.col("y.label").alias("lb")).distinct()
     pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+    for pivot in ("la", "lb"):  # both to the pivot of either component
+        for end in ("a", "b"):
+            told = known.select(F.col("cid").alias(end), F.col("pivot").alias(pivot), F.col("distance").alias(f"d{end}"))
+            pairs = pairs.join(told, [end, pivot], "left").withColumn(
+                f"d{end}", F.when(F.col(end) == F.col(pivot), 0.0).otherwise(F.col(f"d{end}")))
+        apart = F.abs(F.col("da") - F.col("db")) > (100 - percent) / 100 + 1e-9
+        pairs = pairs.filter(~F.coalesce(apart, F.lit(False))).drop("da", "db")
     found = materialize(_compare(pairs, sets, percent), "join-pairs")
     return links.unionByName(found.filter("linked").select("a", "b"))
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
-                       percent: int = PERCENT, rounds: int = ROUNDS, few: int = FEW) -> DataFrame:
+                       percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs``.
 
     Two rows are linked when the distinct ``width``-word shingles of their
@@ -342,9 +384,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(24, int(total // RANGE))
     sets = materialize(_candidates(_shared(_postings(docs, "text", ranges, width), ranges), percent), "join-sets")
-    links = _links(sets, percent, rounds, few)
-    label = connected_components(links)
-    labelled = classes.join(label.withColumnRenamed("node", "sig"), "sig", "left").withColumn("label", F.coalesce("label", "sig"))
+    label = connected_components(_links(sets, percent))
+    # A component goes by the signature of its smallest class.
+    label = label.join(sets.select(F.col("cid").alias("node"), "sig"), "node").join(
+        sets.select(F.col("cid").alias("label"), F.col("sig").alias("component")), "label").select("sig", "component")
+    labelled = classes.join(label, "sig", "left").withColumn("label", F.coalesce("component", "sig"))
     labelled = materialize(labelled.select("id", "n", "label"), "join-labelled")
     least = labelled.filter("label is not null").groupBy("label").agg(F.min("id").alias("least"))
     return labelled.join(least, "label", "left").select(
