@@ -82,6 +82,10 @@ def _places(hits: Column, words: list[str], anchor: int) -> Column:
     return F.transform(F.filter(found, whole), lambda i: F.get(hits, i - anchor)["p"])
 
 
+def _moved(places: Column, by: int) -> Column:
+    return F.transform(places, lambda p: p - by)
+
+
 def _best_score(hits: Column, starts: Column, words: list[str], idf: dict[str, float]) -> Column:
     """Highest share of the notice's weight found at its relative places, over all starts (0 without any)."""
     total = sum(idf[w] for w in words)
@@ -140,7 +144,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for i, (_, notice, phrase) in enumerate(templates):
         run, key = notice.split(), phrase.split()
         shift = next(j for j in range(len(run)) if run[j: j + len(key)] == key)
-        at = F.transform(F.col(f"_key{i}"), lambda p, shift=shift: p - shift)
+        at = _moved(F.col(f"_key{i}"), shift)
         scores[f"_score{i}"] = F.when(F.size(f"_key{i}") == 0, F.lit(0.0)).otherwise(_best_score(column, at, run, idf))
     found = found.withColumns(scores)
 

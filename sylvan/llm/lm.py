@@ -394,7 +394,7 @@ class Scorer:
         count, cont = self.tokens(types)
         base = np.log10((count + 0.5) / (m.n_tokens + 0.5 * (m.n_types + 1)))[place]
         take = np.array((0.0, *m.token_discounts))[np.minimum(cont, 3).astype(int)]
-        low = ((cont - take) / m.n_pairs if m.n_pairs else 0.0) + self.token_rest / (m.n_types + 1)
+        low = (cont - take) / max(m.n_pairs, 1) + self.token_rest / (m.n_types + 1)
         ctx, ctx_place = np.unique(v, return_inverse=True)
         total, one, two, more = self.stats(ctx).T
         d = m.pair_discounts

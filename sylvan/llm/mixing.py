@@ -71,8 +71,8 @@ def size_band(size):
 
 
 def mix(rows: DataFrame, seed: str = SEED, weights=WEIGHTS, total: float = TOTAL, cap: float = MAX_COPIES,
-        slices: int = SLICES, id_col: str = "doc_id") -> DataFrame:
-    """Rows ``(id, source, size)`` with ``source_size``, ``target``, ``copies`` and ``taken``.
+        slices: int = SLICES, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows ``(id, *keep, source, size)`` with ``source_size``, ``target``, ``copies`` and ``taken``.
 
     One output row per input row, rows with 0 copies included.  ``copies`` is
     at most ``cap`` rounded up.  Reruns agree: order and offset are hashes of
@@ -80,7 +80,7 @@ def mix(rows: DataFrame, seed: str = SEED, weights=WEIGHTS, total: float = TOTAL
     sources are one source of their own; null ids are ordinary ids; size 0
     takes nothing; an empty table gives none.
     """
-    rows = rows.select(id_col, "source", F.col("size").cast("long").alias("size"))
+    rows = rows.select(id_col, *keep, "source", F.col("size").cast("long").alias("size"))
     rows = rows.withColumn("band", size_band(F.col("size")).cast("int")).withColumn("u", hash_uniform(seed, F.col(id_col)))
     rows = materialize(rows.withColumn("slice", F.floor(F.col("u") * slices).cast("int")), "mix-sizes")
     targets = source_targets(rows, weights, total, cap)
@@ -100,7 +100,7 @@ def mix(rows: DataFrame, seed: str = SEED, weights=WEIGHTS, total: float = TOTAL
     steps = joined.withColumn("rank", rank).withColumn("rate", rate)
     crossed = F.floor(F.col("rate") * F.col("rank") + F.col("offset")) - F.floor(F.col("rate") * (F.col("rank") - 1) + F.col("offset"))
     return steps.withColumn("copies", F.least(crossed, F.ceil("rate")).cast("long")).select(
-        id_col, "source", "size", "source_size", "target", "copies",
+        id_col, *keep, "source", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -116,9 +116,8 @@ def take_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     all three share their copies evenly.
     """
     key = {"_id": F.col("doc_id"), "_size": word_count(F.col("text")), "_text": F.xxhash64("text")}
-    taken = mix(docs.select(F.struct(F.col("doc_id").alias("_id"), key["_text"].alias("_text")).alias("row"), "source",
-                            key["_size"].alias("size")), id_col="row")
-    taken = taken.groupBy(F.col("row._id").alias("_id2"), F.col("row._text").alias("_text2"), F.col("source").alias("_source2")).agg(
+    taken = mix(docs.select("doc_id", key["_text"].alias("_text"), "source", key["_size"].alias("size")), keep=("_text",))
+    taken = taken.groupBy(F.col("doc_id").alias("_id2"), F.col("_text").alias("_text2"), F.col("source").alias("_source2")).agg(
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
     keyed = docs.withColumns({"_id": key["_id"], "_text": key["_text"]})
     joined = keyed.join(taken, keyed["_id"].eqNullSafe(taken["_id2"]) & (keyed["_text"] == taken["_text2"])
