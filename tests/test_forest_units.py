@@ -23,7 +23,7 @@ def _state(spark, rows, min_leaf=1, max_depth=1, mask=(0, 1)):
 
 def _grow(spark, rows, task="clf", **kw):
     depth = kw.get("max_depth", 1)
-    nodes = fo.grow_forest(_state(spark, rows, **kw), task, depth, 1, cut_lineage=False)
+    nodes = fo.grow_forest(_state(spark, rows, **kw), task, depth, cut_lineage=False)
     return {r["node"]: r for r in nodes.collect()}
 
 
@@ -87,20 +87,26 @@ def test_stump_equals_mllib_depth_one_tree(spark):
     assert nodes[1]["thr"] == pytest.approx(split.threshold())
 
 
-def test_sampling_rate_floors_and_rejects_zero():
-    # Double arithmetic, as in Python: 0.29 * 100 is 28.999..., so 0.29 floors to 0.28.
-    assert P.sampling_rate(1000, 0.5, 290) == 0.28
-    assert P.sampling_rate(1000, 0.9, 570) == 0.56
+def test_sampling_rate_has_no_floor(spark):
     assert P.sampling_rate(100, 0.5, 1000) == 0.5
+    assert P.sampling_rate(5_000_000, 0.5, 20_000) == 0.004
+    assert P.sampling_rate(10 ** 13, 0.5, 20_000) > 0
+    assert P.sampling_rate(5_000_000, 0.5, None) == 0.5
     with pytest.raises(ValueError):
-        P.sampling_rate(1_000_000, 0.5, 100)
+        P.sampling_rate(0, 0.5, 100)
+    sizes = [3, 40_000, 5_000_000, 10 ** 12]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", P.sampling_rate_col(F.col("n"), 0.5, 20_000).alias("p"))
+    assert all(r["p"] == P.sampling_rate(r["n"], 0.5, 20_000) for r in rows.collect())
 
 
-def test_grid_rejects_unknown_parameters():
+def test_grid_takes_whichever_parameters_are_given():
     with pytest.raises(ValueError):
         P.grid_points({"min_samples_leaf": [1], "max_depth": [2], "criterion": ["gini"]})
+    with pytest.raises(ValueError):
+        P.grid_points({})
     assert [k for k, _ in P.grid_points({"min_samples_leaf": [1, 2], "max_depth": [3]})] == [
         "min_samples_leaf=1,max_depth=3", "min_samples_leaf=2,max_depth=3"]
+    assert P.grid_points({"max_depth": [3]}) == [("max_depth=3", {"min_samples_leaf": 1, "max_depth": 3})]
 
 
 def test_param_key_parse_ignores_order(spark):
@@ -136,7 +142,7 @@ def test_tree_sample_share_is_near_p(spark):
     grid = sa.param_grid(spark, {"min_samples_leaf": [1], "max_depth": [1, 2]})
     trees = sa.grid_trees(grid, 6)
     rows = spark.range(5000).select(F.col("id").cast("string").alias("rid"))
-    n = sa.tree_sample(rows, trees, 0.3, "seed", 12).count()
+    n = sa.tree_sample(rows, trees, 0.3, "seed").count()
     expected, sd = 5000 * 12 * 0.3, (5000 * 12 * 0.3 * 0.7) ** 0.5
     assert abs(n - expected) < 3 * sd
 
@@ -177,11 +183,11 @@ def test_binned_forest_matches_exact_when_bins_separate_all_values(spark):
 
     rows = [([i % 10, (i * 7) % 13], int((i * 31) % 17 < 6 or i % 10 > 6)) for i in range(1300)]
     state = _state(spark, rows, min_leaf=20, max_depth=3)
-    exact = {r["node"]: r for r in fo.grow_forest(state, "clf", 3, 1, cut_lineage=False).collect()}
+    exact = {r["node"]: r for r in fo.grow_forest(state, "clf", 3, cut_lineage=False).collect()}
     edges = binning.quantile_edges(state, 2, 64)
     assert edges == [[float(v) for v in range(10)], [float(v) for v in range(13)]]
     binned_state = binning.binned(state, edges)
-    nodes = fo.grow_forest(binned_state, "clf", 3, 1, cut_lineage=False,
+    nodes = fo.grow_forest(binned_state, "clf", 3, cut_lineage=False,
                            threshold=binning.edge_threshold(edges)).collect()
     binned = {r["node"]: r for r in nodes}
     assert set(binned) == set(exact)

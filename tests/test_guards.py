@@ -1,4 +1,4 @@
-"""Bounds and failure paths: the checks that keep broadcasts and driver values small."""
+"""Failure paths, and plans that do not depend on the size of the data."""
 
 from __future__ import annotations
 
@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from sylvan.functions.params import grid_points
 from sylvan.operators import features as feat
-from sylvan.operators import sampling as sa
 from sylvan.plans import forest as pf
-from sylvan.sources.tables import needs_spread, spread
+from sylvan.sources.tables import MIN_PARTITIONS, spread
 from tests.conftest import SF_SMALL
 
 
@@ -20,33 +19,29 @@ def test_binned_grid_runs_end_to_end(spark):
     assert set(scores) == {k for k, _ in grid_points(cfg.grid)}
     assert all(0.0 <= v <= 1.0 for v in scores.values())
     preds = pf.best_predictions(res, "clf")
-    assert preds.count() == res.test.count()
+    assert preds.count() * len(scores) == res.votes.count()
 
 
-def test_unseen_label_is_an_error(spark):
-    df = spark.createDataFrame([("a", 1.0), ("zz", 2.0)], "s string, v double")
+def test_unseen_label_is_an_error_and_a_null_one_is_not(spark):
+    labels = feat.string_index_table(spark.createDataFrame([("a",), ("b",), ("b",)], "s string"), "s")
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0)], "s string, v double")
+    assert sorted(r["s_idx"] is None for r in feat.index_labels(df, labels, "s").collect()) == [False, True]
     with pytest.raises(Exception, match="unseen label"):
-        feat.index_labels(df, ["a", "b"], "s").collect()
+        feat.index_labels(df.filter("s is null").select(F.lit("zz").alias("s")), labels, "s").collect()
 
 
 def test_label_order_is_frequency_then_value(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "s string")
-    labels, n = feat.label_order(df, "s")
-    assert labels == ["c", "a", "b"] and n == 4
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "s string")
+    got = {r["value"]: r["idx"] for r in feat.string_index_table(df, "s").collect()}
+    assert got == {"c": 0.0, "a": 1.0, "b": 2.0}
 
 
-def test_too_many_trees_for_a_broadcast_is_refused(spark):
-    grid = sa.param_grid(spark, {"min_samples_leaf": [1], "max_depth": [1]})
-    trees = sa.grid_trees(grid, 2)
-    rows = spark.range(10).select(F.col("id").cast("string").alias("rid"))
-    with pytest.raises(ValueError, match="broadcast bound"):
-        sa.tree_sample(rows, trees, 0.5, "s", sa.MAX_BROADCAST_TREES + 1)
-
-
-def test_spread_leaves_split_input_alone(spark):
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert not needs_spread(many)
-    assert spread(many) is many
+def test_spread_is_off_unless_asked_for(spark):
     one = spark.range(0, 1000, numPartitions=1)
-    assert needs_spread(one)
-    assert spread(one, keys=["id"]).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(one) is one
+    assert spread(one, keys=["id"], partitions=7).rdd.getNumPartitions() == 7
+    spark.conf.set(MIN_PARTITIONS, "3")
+    try:
+        assert spread(one, keys=["id"]).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(MIN_PARTITIONS)

@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from sylvan.plans import registry
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 def test_every_query_is_registered_with_a_name_in_oracles_or_rows_only():

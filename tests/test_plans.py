@@ -3,28 +3,32 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from sylvan.operators import forest as fo
+from sylvan.plans import forest as pf
+from sylvan.plans import registry
+from sylvan.plans.forest_queries import forest_queries
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
-# Queries whose plan is built from MLlib or written tables; checked separately.
-SKIP = {"forest_fit_clf", "forest_fit_reg"}
+# Forest queries return rows of tables they wrote; the plans before writing are checked below.
+NAMES = sorted(set(registry.queries()) - set(forest_queries()))
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", NAMES)
 def test_no_python_in_plan(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(registry.queries()[name](spark, SF_SMALL))
     for node in PYTHON_NODES:
         assert node not in plan, (name, node)
 
 
 def test_flagship_reads_only_needed_columns_and_uses_top_k(spark):
-    df = entry.queries()["clean_topk"](spark, SF_SMALL)
+    df = registry.queries()["clean_topk"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert "RankLimit" not in plan and "WindowGroupLimit" not in plan
@@ -34,12 +38,12 @@ def test_flagship_reads_only_needed_columns_and_uses_top_k(spark):
 
 
 def test_word_count_has_partial_aggregation(spark):
-    plan = _plan(entry.queries()["word_count"](spark, SF_SMALL))
+    plan = _plan(registry.queries()["word_count"](spark, SF_SMALL))
     assert plan.count("HashAggregate") >= 2
 
 
 def test_stopword_filter_broadcasts(spark):
-    plan = _plan(entry.queries()["clean_tokens"](spark, SF_SMALL))
+    plan = _plan(registry.queries()["clean_tokens"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
 
 
@@ -61,10 +65,40 @@ def _single_partition_children(formatted: str) -> list[str]:
     return children
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SKIP))
+@pytest.mark.parametrize("name", NAMES)
 def test_single_partition_only_after_aggregation(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     for child in _single_partition_children(formatted):
         assert child.startswith(("HashAggregate", "ObjectHashAggregate", "TakeOrderedAndProject",
                                  "GlobalLimit", "LocalLimit")), (name, child)
+
+
+def _forest_parts(spark):
+    """Plans of the forest stages before anything is written."""
+    cfg = pf.ForestConfig(n_trees=2)
+    rows = pf.labelled_rows(spark, SF_SMALL, cfg)
+    sampled = pf.sample_for_trees(rows.filter("is_train").withColumn("x", F.array(*[F.col(c) for c in pf.NUMERIC])), cfg, len(pf.NUMERIC))
+    nodes = fo.grow_forest(sampled, "clf", cfg.depth, cut_lineage=False)
+    return {"sample": sampled, "grow": nodes, "level": fo.best_splits(fo.histogram(sampled.withColumn("node", F.lit(1))), 0, "clf")}
+
+
+def test_forest_stages_run_no_python_and_aggregate_before_the_shuffle(spark):
+    for name, df in _forest_parts(spark).items():
+        plan = _plan(df)
+        assert not any(node in plan for node in PYTHON_NODES), name
+    level = _plan(_forest_parts(spark)["level"])
+    assert "partial_count" in level and "ArrayContains" not in level
+
+
+def test_scoring_is_one_join_without_explode_or_grouping_of_rows(spark):
+    nodes = spark.createDataFrame(
+        [("k", 1, 1, 0, 4, 2, 0, 0.5, False, 0), ("k", 1, 2, 1, 2, 0, None, None, True, 0), ("k", 1, 3, 1, 2, 2, None, None, True, 1_000_000_000)],
+        "k string, tree int, node int, depth int, n long, s long, f int, thr double, is_leaf boolean, vote long")
+    rows = spark.createDataFrame([("a", [0.0]), ("a", [0.0]), ("b", [1.0]), ("c", None)], "rid string, x array<double>")
+    votes = fo.clf_outputs(fo.forest_votes(rows, nodes, 1))
+    plan = _plan(votes)
+    assert plan.count("Join") == 1 and "Generate" not in plan
+    got = sorted((r["rid"], r["score"]) for r in votes.collect() if r["rid"] != "c")
+    assert got == [("a", 0), ("a", 0), ("b", 1_000_000_000)]
+    assert [r["score"] for r in votes.collect() if r["rid"] == "c"] == [None]
