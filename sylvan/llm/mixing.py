@@ -112,22 +112,18 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def take_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every row as often as the mix takes it, with its columns.
 
-    Rows are matched with their copies by id, size and text hash; rows alike in
-    all three share their copies evenly.
+    Rows are matched with their copies by 128 bits of id, text and source; rows
+    alike in all three share their copies evenly.
     """
-    key = {"_id": F.col("doc_id"), "_size": word_count(F.col("text")), "_text": F.xxhash64("text")}
-    taken = mix(docs.select("doc_id", key["_text"].alias("_text"), "source", key["_size"].alias("size")), keep=("_text",))
-    taken = taken.groupBy(F.col("doc_id").alias("_id2"), F.col("_text").alias("_text2"), F.col("source").alias("_source2")).agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    keyed = docs.withColumns({"_id": key["_id"], "_text": key["_text"]})
-    joined = keyed.join(taken, keyed["_id"].eqNullSafe(taken["_id2"]) & (keyed["_text"] == taken["_text2"])
-                        & keyed["source"].eqNullSafe(taken["_source2"]))
-    alike = Window.partitionBy("_id", "_text", "source").orderBy("_id")
-    single = joined.filter("_rows = 1").withColumn("_n", F.col("_copies"))
-    several = joined.filter("_rows > 1").withColumn("_k", F.row_number().over(alike)).withColumn(
-        "_n", F.floor(F.col("_copies") * F.col("_k") / F.col("_rows")) - F.floor(F.col("_copies") * (F.col("_k") - 1) / F.col("_rows"))).drop("_k")
-    out = single.unionByName(several).filter("_n > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = ["doc_id", "text", "source"]
+    keyed = docs.withColumns({"_k1": F.xxhash64(*key), "_k2": F.xxhash64(F.lit(1), *key)})
+    taken = mix(keyed.select("doc_id", "_k1", "_k2", "source", word_count(F.col("text")).alias("size")), keep=("_k1", "_k2"))
+    taken = taken.groupBy("_k1", "_k2").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    alike = Window.partitionBy("_k1", "_k2").orderBy("_k1")
+    out = keyed.join(taken.filter("_copies > 0"), ["_k1", "_k2"]).withColumn("_k", F.row_number().over(alike))
+    share = F.floor(F.col("_copies") * F.col("_k") / F.col("_rows")) - F.floor(F.col("_copies") * (F.col("_k") - 1) / F.col("_rows"))
+    out = out.withColumn("_n", share.cast("int")).filter("_n > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""

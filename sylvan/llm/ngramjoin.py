@@ -31,10 +31,10 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import by_value, materialize, table
+from sylvan.llm.common import by_value, materialize, table, word_count
 from sylvan.llm.components import connected_components
 from sylvan.llm.words import mix, shingle_set, text_bytes, word_hashes
 
@@ -69,18 +69,18 @@ def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
             yield shingle_set(hashes[a:b], width)
 
 
-def shingle_classes(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
-    """``(id, n, sig)`` of every row: set size and signature (null for empty sets)."""
+def shingle_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``(id, k1, k2, n, sig)`` of rows ``(id, k1, k2, text)``: set size and signature (null for empty sets)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sig = [], []
-            for s in _sets(batch.column(1), width):
+            for s in _sets(batch.column(3), width):
                 n.append(len(s))
                 sig.append(_signature(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.binary())], ["id", "n", "sig"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(sig, pa.binary())], ["id", "k1", "k2", "n", "sig"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(rows, f"id {kind}, n long, sig binary")
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", "k1", "k2", "text").mapInArrow(rows, f"id {kind}, k1 long, k2 long, n long, sig binary")
 
 
 _PACKED = "bucket int, direct boolean, h binary, d binary, marked binary, sig binary, n binary"
@@ -367,6 +367,20 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     return links.unionByName(found.filter("linked").select("a", "b"))
 
 
+def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(id, k1, k2, n, label)`` of rows ``(id, k1, k2, text)``; rows of one component share a label (null without shingles)."""
+    classes = materialize(shingle_classes(docs, width), "join-classes")
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    ranges = max(24, int(total // RANGE))
+    sets = materialize(_candidates(_shared(_postings(docs, "text", ranges, width), ranges), percent), "join-sets")
+    label = connected_components(_links(sets, percent))
+    # A component goes by the signature of its smallest class.
+    label = label.join(sets.select(F.col("cid").alias("node"), "sig"), "node").join(
+        sets.select(F.col("cid").alias("label"), F.col("sig").alias("component")), "label").select("sig", "component")
+    judged = classes.join(label, "sig", "left").withColumn("label", F.coalesce("component", "sig"))
+    return materialize(judged.select("id", "k1", "k2", "n", "label"), "join-labelled")
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                        percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs``.
@@ -379,19 +393,10 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component of null ids only is null.  An empty table gives no rows; other
     columns are not read.
     """
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    classes = materialize(shingle_classes(docs, "id", "text", width), "join-classes")
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    ranges = max(24, int(total // RANGE))
-    sets = materialize(_candidates(_shared(_postings(docs, "text", ranges, width), ranges), percent), "join-sets")
-    label = connected_components(_links(sets, percent))
-    # A component goes by the signature of its smallest class.
-    label = label.join(sets.select(F.col("cid").alias("node"), "sig"), "node").join(
-        sets.select(F.col("cid").alias("label"), F.col("sig").alias("component")), "label").select("sig", "component")
-    labelled = classes.join(label, "sig", "left").withColumn("label", F.coalesce("component", "sig"))
-    labelled = materialize(labelled.select("id", "n", "label"), "join-labelled")
-    least = labelled.filter("label is not null").groupBy("label").agg(F.min("id").alias("least"))
-    return labelled.join(least, "label", "left").select(
+    none = F.lit(0).cast("long")
+    judged = _judged(docs.select(F.col(id_col).alias("id"), none.alias("k1"), none.alias("k2"), F.col(text_col).alias("text")), width, percent)
+    least = judged.filter("label is not null").groupBy("label").agg(F.min("id").alias("least"))
+    return judged.join(least, "label", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
 
@@ -401,13 +406,20 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the row with the smallest id (one, if that id repeats); texts without words stay."""
-    judged = similar_components(docs)
-    kept = judged.filter("n_shingles = 0 or component_id is null or doc_id = component_id").groupBy("doc_id").agg(F.max("n_shingles").alias("_n"))
+    """Pipeline stage: of each component one row with the smallest id; texts without words stay.
+
+    Rows are matched with their decision by 128 bits of id and text, and of
+    rows alike in both one stays.  Null ids come after all others.
+    """
+    keys = {"_k1": F.xxhash64("doc_id", "text"), "_k2": F.xxhash64(F.lit(1), "doc_id", "text")}
+    judged = _judged(docs.select(F.col("doc_id").alias("id"), keys["_k1"].alias("k1"), keys["_k2"].alias("k2"), "text"), WIDTH, PERCENT)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2")).alias("first")
+    stay = judged.filter("label is not null").groupBy("label").agg(first).select(F.col("first.k1").alias("_k1"), F.col("first.k2").alias("_k2"))
     names = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"])).select(*[docs[c] for c in docs.columns], "_n")
-    empty = marked.filter("_n = 0 or doc_id is null").select(*names)
-    return marked.filter("_n > 0 and doc_id is not null").dropDuplicates(["doc_id"]).select(*names).unionByName(empty)
+    has_words = word_count(F.col("text")) > 0
+    alike = Window.partitionBy("_k1", "_k2").orderBy("_k1")
+    kept = docs.filter(has_words).withColumns(keys).join(stay, ["_k1", "_k2"]).withColumn("_n", F.row_number().over(alike)).filter("_n = 1")
+    return kept.select(*names).unionByName(docs.filter(~has_words))
 
 
 QUERIES = {"op4_ngram_join": op4_ngram_join}
