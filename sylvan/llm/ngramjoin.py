@@ -13,7 +13,7 @@ Equal sets are one class, known by a 128-bit signature; all work is on classes.
    one pivot of their list, a star rather than all pairs, and components are
    formed.  An index list whose members are connected needs no comparison.  In
    the others, each member is compared with the pivot of each larger component of
-   the list.  For members that this does not connect, the distances to the
+   the list.  Pivots are the sets that share most of their hashes.  For members that this does not connect, the distances to the
    pivot bound the distance of two members (triangle inequality of the Jaccard
    distance): pairs that the bound separates are skipped.
 4. *Block skipping.*  Of the pairs that are left, those are compared exactly
@@ -298,11 +298,16 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _centre() -> Column:
+    """Sorts the set first that shares most of its hashes, as the origin of a group of near copies does."""
+    return F.struct((-F.size("hs") / F.col("n")).alias("rest"), F.xxhash64("cid").alias("r"), F.col("cid"), F.col("n"))
+
+
 def _labelled(sets: DataFrame, label: DataFrame) -> DataFrame:
-    """Sets with the label of their component (their own id without links) and its size."""
-    sizes = label.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    found = label.join(sizes, "label").withColumnRenamed("node", "cid")
-    return sets.join(found, "cid", "left").withColumns({"label": F.coalesce("label", "cid"), "members": F.coalesce("members", F.lit(1))})
+    """Sets with the label of their component (their own id without links), its size and its pivot."""
+    found = sets.join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    sizes = found.groupBy("label").agg(F.count(F.lit(1)).alias("members"), F.min(_centre())["cid"].alias("pivot"))
+    return found.join(sizes, "label")
 
 
 def _entries(sets: DataFrame, percent: int) -> DataFrame:
@@ -310,8 +315,9 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
     need = F.ceil(F.col("n") * percent / 100)
     skipped = F.col("n") - F.size("hs")
     prefix = F.slice("hs", F.lit(1), (F.size("hs") - need + 1).cast("int"))
-    return sets.select("cid", "n", "label", "members", skipped.alias("skipped"), F.posexplode(prefix).alias("i", "h")).select(
-        "cid", "n", "label", "members", "h", (F.col("skipped") + F.col("i")).alias("place"))
+    kept = ["cid", "n", "label", "members", "pivot", "skipped"]
+    return sets.withColumn("skipped", skipped).select(*kept, F.posexplode(prefix).alias("i", "h")).select(
+        *kept, "h", (F.col("skipped") + F.col("i")).alias("place"))
 
 
 def _open_entries(sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
@@ -324,21 +330,21 @@ def _open_entries(sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` between classes whose components are those of all links."""
     # Stars around one pivot of each min-hash.
-    met = sets.select("cid", "n", F.explode("sketch").alias("k"))
-    pivots = met.groupBy("k").agg(F.min(F.struct(F.xxhash64("cid").alias("r"), "cid", "n")).alias("p"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    met = sets.select("cid", "n", _centre().alias("c"), F.explode("sketch").alias("k"))
+    pivots = met.groupBy("k").agg(F.min("c").alias("p"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     pairs = met.join(pivots, "k").filter((F.col("cid") != F.col("p.cid")) & _long_enough(F.col("n"), F.col("p.n"), percent))
     pairs = pairs.select(*_pair(F.col("cid"), F.col("p.cid"))).distinct()
     compared = materialize(_compare(pairs, sets, percent), "join-stars")
     links = compared.filter("linked").select("a", "b")
     label = materialize(connected_components(links), "join-labels")
 
-    # In open lists, each member and the pivot of each larger component: its smallest class.
+    # In open lists, each member and the pivot of each larger component.
     open_ = _open_entries(sets, label, percent)
-    labels = open_.select("h", "label", "members").distinct()
-    x, y = open_.alias("x"), labels.alias("y")
+    groups = open_.filter("members > 1").select("h", "label", "members", "pivot").distinct()
+    x, y = open_.alias("x"), groups.alias("y")
     larger = (F.col("y.members") > F.col("x.members")) | ((F.col("y.members") == F.col("x.members")) & (F.col("y.label") < F.col("x.label")))
     pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.label") != F.col("y.label")) & larger).select(
-        *_pair(F.col("x.cid"), F.col("y.label"))).distinct()
+        *_pair(F.col("x.cid"), F.col("y.pivot"))).distinct()
     pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
     found = materialize(_compare(pairs, sets, percent), "join-pivots")
     compared = compared.unionByName(found)
@@ -349,12 +355,13 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     open_ = _open_entries(sets, label, percent)
     known = compared.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), "distance").unionByName(
         compared.select(F.col("b").alias("cid"), F.col("a").alias("pivot"), "distance"))
+    shared = F.least(F.col("x.n") - F.col("x.skipped"), F.col("y.n") - F.col("y.skipped"))
     x, y = open_.alias("x"), open_.alias("y")
     overlap = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
     pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.cid") < F.col("y.cid")) & (F.col("x.label") != F.col("y.label"))
                    & _long_enough(F.col("x.n"), F.col("y.n"), percent)
-                   & (overlap * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))).select(
-        F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), F.col("x.label").alias("la"), F.col("y.label").alias("lb")).distinct()
+                   & (F.least(overlap, shared) * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n")))).select(
+        F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), F.col("x.pivot").alias("la"), F.col("y.pivot").alias("lb")).distinct()
     pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
     for pivot in ("la", "lb"):  # both to the pivot of either component
         for end in ("a", "b"):
