@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import by_value, materialize, table
+from sylvan.llm.urlfilter import url_host
 from sylvan.llm.words import LOWER, SEGMENT, text_bytes
 
 by_value(__name__)
@@ -196,10 +197,19 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.col("lid_posterior").alias("posterior"), F.col("lid_kept").alias("kept"))
 
 
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator over raw pages: markup taken off, declared by its ``<html lang>``, host and suffix of the url."""
+    html = F.col("html")
+    plain = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</\1>|<[^>]*>", " ")
+    pages = table(spark, sf_dir, "pages").select("page_id", plain.alias("text"), markup_language(html).alias("lang"), url_host(F.col("url")).alias("source"))
+    return identify(pages, id_col="page_id").select("page_id", F.col("lang").alias("declared"), F.col("lid_lang").alias("language"),
+                                                    F.col("lid_posterior").alias("posterior"), F.col("lid_kept").alias("kept"))
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: rows whose language is identified, with their columns."""
     return identify(docs).filter("lid_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-QUERIES = {"op3_language": op3_language}
+QUERIES = {"op3_language": op3_language, "language_of_pages": language_of_pages}
 ORACLES: dict[str, str] = {}
