@@ -66,7 +66,7 @@ def _text_sums(raw: np.ndarray, bounds: np.ndarray, tables: np.ndarray) -> np.nd
         marks = np.clip(bounds[lo: hi + 1], a, b) - a
         grams = _grams(raw[a:b])
         for k in range(tables.shape[1]):
-            total = np.concatenate(([0.0], np.cumsum(tables[grams, k])))
+            total = np.concatenate(([0.0], np.cumsum(tables[grams, k], dtype=np.float64)))
             out[lo:hi, k] += total[marks[1:]] - total[marks[:-1]]
         a = b
     return out

@@ -44,7 +44,7 @@ WIDTH = 5
 #: Link if 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Shingles that a task packs at once, and that one hash range holds on average.
-BATCH = 1_500_000
+BATCH = 1_000_000
 RANGE = 2_000_000
 #: A hash in so many sets of one batch is frequent: it sorts last and is sent once.
 FREQUENT = 16
@@ -62,8 +62,8 @@ def _signature(s: np.ndarray) -> bytes:
 
 def _sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     raw, bounds = text_bytes(column)
-    for lo in range(0, len(column), 512):
-        part = bounds[lo: lo + 513]
+    for lo in range(0, len(column), 256):
+        part = bounds[lo: lo + 257]
         hashes, at = word_hashes(raw, part)
         for a, b in zip(at[:-1], at[1:]):
             yield shingle_set(hashes[a:b], width)
@@ -128,7 +128,7 @@ def _postings(docs: DataFrame, text_col: str, ranges: int, width: int) -> DataFr
             turn += 1
             sets = list(held.values())
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            sig, n = b"".join(held), sizes.astype(np.uint32).tobytes()
+            sig, n = np.frombuffer(b"".join(held), dtype="V16"), sizes.astype(np.uint32)
             h = np.concatenate(sets)
             order = np.argsort(h)
             h, d = h[order], np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)[order]
@@ -137,7 +137,8 @@ def _postings(docs: DataFrame, text_col: str, ranges: int, width: int) -> DataFr
             frequent = np.repeat(runs >= FREQUENT, runs)
             out = []
             if frequent.any():
-                out.append(_pack_row((spread + turn) % ranges, True, h[frequent], d[frequent], first[:0].astype(np.uint32), sig, n))
+                used, local = np.unique(d[frequent], return_inverse=True)
+                out.append(_pack_row((spread + turn) % ranges, True, h[frequent], local, first[:0].astype(np.uint32), sig[used].tobytes(), n[used].tobytes()))
             send = ~frequent
             send[first] = True
             mark = frequent[send]
@@ -147,7 +148,8 @@ def _postings(docs: DataFrame, text_col: str, ranges: int, width: int) -> DataFr
             for k in range(ranges):
                 a, b = cuts[k], cuts[k + 1]
                 if b > a:
-                    out.append(_pack_row(k, False, h[a:b], d[a:b], np.flatnonzero(mark[a:b]).astype(np.uint32), sig, n))
+                    used, local = np.unique(d[a:b], return_inverse=True)
+                    out.append(_pack_row(k, False, h[a:b], local, np.flatnonzero(mark[a:b]).astype(np.uint32), sig[used].tobytes(), n[used].tobytes()))
             return _packed_batch(out)
 
         for batch in batches:

@@ -65,7 +65,7 @@ TOKEN = re.compile(r"[^\W_]+")
 class Automaton:
     """Lexicon trie times Levenshtein automaton of at most one edit, made deterministic as words need it."""
 
-    def __init__(self, terms, stems, min_fuzzy: int = MIN_FUZZY, keep: int = 200_000):
+    def __init__(self, terms, stems, min_fuzzy: int = MIN_FUZZY, keep: int = 50_000):
         self.children: list[dict[str, int]] = [{}]
         self.term = [0]
         self.stem = [False]
@@ -137,7 +137,7 @@ class Model:
 class Scorer:
     """Scores texts with a model; keeps the kind of each word it has seen."""
 
-    def __init__(self, model: Model, keep: int = 500_000):
+    def __init__(self, model: Model, keep: int = 200_000):
         self.automaton = Automaton(model.terms, model.stems)
         self.kinds: dict[str, str] = {}
         self.keep = keep

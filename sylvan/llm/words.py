@@ -15,7 +15,7 @@ from sylvan.llm.common import by_value
 
 by_value(__name__)
 
-SEGMENT = 2_000_000
+SEGMENT = 500_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
