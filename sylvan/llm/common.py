@@ -23,6 +23,17 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Rows that go to a Python worker at once, at most: texts are long, and batches are held several times.
+BATCH_ROWS = 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches small enough for whole texts; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "0")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import by_value, materialize, table
+from sylvan.llm.common import bounded_batches, by_value, materialize, table
 from sylvan.llm.urlfilter import url_host
 from sylvan.llm.words import LOWER, SEGMENT, text_bytes
 
@@ -144,6 +144,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", de
     Repeated rows are judged alike; an empty table gives none.  Input columns
     named like an output are replaced.
     """
+    bounded_batches(docs.sparkSession)
     tables = fit_models(docs, text_col, declared_col, id_col, languages, sample_rows)
     size = len(languages)
     declared = F.coalesce(markup_language(F.col(text_col)), F.lower(F.col(declared_col)))

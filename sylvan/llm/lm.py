@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import by_value, materialize, table
+from sylvan.llm.common import bounded_batches, by_value, materialize, table
 from sylvan.llm.words import mix, text_bytes, word_hashes
 from sylvan.session import scratch_path
 
@@ -223,6 +223,7 @@ def train(texts: DataFrame) -> Model:
     is unknown to it.
     """
     spark = texts.sparkSession
+    bounded_batches(spark)
     size = texts.agg(F.sum(F.octet_length(F.col(texts.columns[0])))).first()[0] or 0
     ranges = max(24, int(size // RANGE_BYTES))
     folder = scratch_path(spark, "lm")
@@ -413,6 +414,7 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     discounting leaves them.  Rows that repeat score alike; an empty table gives
     none; input columns named like an output are replaced.
     """
+    bounded_batches(docs.sparkSession)
     kind = "struct<tokens: long, known: long, base: double, score: double>"
 
     @F.arrow_udf(kind)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import by_value, materialize, table, word_count
+from sylvan.llm.common import bounded_batches, by_value, materialize, table, word_count
 from sylvan.llm.components import connected_components
 from sylvan.llm.words import mix, shingle_set, text_bytes, word_hashes
 
@@ -44,7 +44,7 @@ WIDTH = 5
 #: Link if 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Shingles that a task packs at once, and that one hash range holds on average.
-BATCH = 1_000_000
+BATCH = 600_000
 RANGE = 2_000_000
 #: A hash in so many sets of one batch is frequent: it sorts last and is sent once.
 FREQUENT = 16
@@ -378,6 +378,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 
 def _judged(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``(id, k1, k2, n, label)`` of rows ``(id, k1, k2, text)``; rows of one component share a label (null without shingles)."""
+    bounded_batches(docs.sparkSession)
     classes = materialize(shingle_classes(docs, width), "join-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     ranges = max(24, int(total // RANGE))

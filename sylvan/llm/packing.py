@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import by_value, table
+from sylvan.llm.common import bounded_batches, by_value, table
 
 by_value(__name__)
 
@@ -158,6 +158,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     keep the order of the scan.  An empty table gives no rows; other columns of
     ``docs`` are not read.
     """
+    bounded_batches(docs.sparkSession)
     schema = SCHEMA.format(id=f"`{id_col}`", id_type=docs.schema[id_col].dataType.simpleString())
     end = np.array([end_id], dtype="<u4").tobytes()
 

@@ -31,7 +31,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import by_value, materialize, table
+from sylvan.llm.common import bounded_batches, by_value, materialize, table
 
 by_value(__name__)
 
@@ -222,6 +222,7 @@ def _word_minimum(seed: int) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
           text_col: str = "text") -> Model:
     """A model from labelled rows; without any (or without both classes) the seed model."""
+    bounded_batches(docs.sparkSession)
     chosen = (labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
               .orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(sample_rows))
     # At most sample_rows rows of two numbers are broadcast.
@@ -282,6 +283,8 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     Repeated rows score alike.  An empty table gives none.  Columns named like
     an output are replaced.
     """
+    bounded_batches(docs.sparkSession)
+
     @F.arrow_udf("struct<score: double, hits: long>")
     def scored(texts: pa.Array) -> pa.Array:
         scorer = scored.__dict__.get("scorer")
