@@ -3,15 +3,13 @@
 The reference has no streaming code; nothing here adds an operator.  This is
 the same cleaning and counting plan as :mod:`sylvan.plans.wordcount`, fed by
 document files that arrive in a directory (``readStream``) instead of a
-fixed table.  Counts are a stateful streaming aggregate; the top-k with ties
-is applied per micro-batch to the running counts with ``foreachBatch``.
+fixed table.  Counts are a stateful streaming aggregate.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylvan.operators import aggregate as ag
 from sylvan.operators import text as tops
 from sylvan.sources import lines_of
 
@@ -27,10 +25,3 @@ def document_stream(spark: SparkSession, directory: str, max_files_per_trigger:
 def running_word_counts(docs: DataFrame) -> DataFrame:
     """``(w, n)`` over all documents seen so far (use output mode ``complete`` or ``update``)."""
     return tops.word_count(tops.clean_tokens(lines_of(docs)), "token")
-
-
-def top_words_each_batch(sink, k: int = 10):
-    """A ``foreachBatch`` function: passes the top-k-with-ties of each batch of counts to ``sink(df, epoch)``."""
-    def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        sink(ag.topk_with_ties(batch, k), epoch_id)
-    return per_batch
