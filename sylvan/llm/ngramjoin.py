@@ -45,7 +45,7 @@ WIDTH = 5
 PERCENT = 75
 #: Shingles that a task packs at once, and that one hash range holds on average.
 BATCH = 600_000
-RANGE = 2_000_000
+RANGE = 1_000_000
 #: A hash in so many sets of one batch is frequent: it sorts last and is sent once.
 FREQUENT = 16
 LAST = 65535
@@ -198,7 +198,7 @@ def _shared(postings: DataFrame, ranges: int) -> DataFrame:
                 emit(h, np.full(len(h), LAST, dtype=np.uint16), d.astype(np.int64), sig, n)
                 continue
             hs.append(h)
-            ds.append(d.astype(np.int64) + base)
+            ds.append((d + np.uint32(base)).astype(np.int32))
             mark = np.zeros(len(h), dtype=bool)
             mark[marked] = True
             marks.append(mark)
