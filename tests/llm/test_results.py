@@ -276,6 +276,27 @@ def test_neighbours_recall(spark):
     assert hits / total >= 0.95
 
 
+@pytest.mark.parametrize("noise", [0.03, 0.0003])
+def test_neighbours_among_near_copies(spark, noise):
+    """A third of the vectors are near copies of one."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 64))
+    x[::3] = x[0] + noise * rng.normal(size=(1000, 64))
+    x = x.astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = collections.defaultdict(set)
+    for r in nndescent.nearest(rows, F.col("id") % 30 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    unit = x.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    hits = 0
+    for q in range(0, 3000, 30):
+        s = unit @ unit[q]
+        s[q] = -2
+        hits += len(set(np.argsort(-s)[:5].tolist()) & got[q])
+    assert hits / 500 >= 0.95, hits
+
+
 def test_automaton_equals_edit_distance():
     terms, stems = ("idiot", "moron", "loser", "ass"), ("xyz",)
     automaton = toxicity.Automaton(terms, stems)
