@@ -23,7 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -132,6 +132,8 @@ class Model:
     stems: dict[str, float] = field(default_factory=dict)
     weights: tuple[float, ...] = SEED_WEIGHTS
     intercept: float = SEED_INTERCEPT
+    #: Distinct labelled texts that it was learned from.
+    learned_from: int = 0
 
 
 class Scorer:
@@ -213,10 +215,10 @@ def _counted(rows: DataFrame, only: frozenset | None = None) -> DataFrame:
     return rows.select("text").mapInArrow(count, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
 
 
-def _word_minimum(seed: int) -> Column:
-    """A hash that texts with nearly the same words nearly always share."""
-    words = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
-    return F.array_min(F.transform(words, lambda w: F.xxhash64(w, F.lit(seed))))
+def _word_sequence() -> Column:
+    """A 128-bit hash of the whole text's words in order, which only copies share."""
+    words = F.array_join(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " ")
+    return F.md5(words)
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
@@ -230,7 +232,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id
             .join(F.broadcast(chosen), id_col).select("text", "toxic"))
     rows = materialize(rows, "toxic-sample")
     # Copies of one text are one piece of evidence.
-    single = rows.withColumn("a", _word_minimum(1)).withColumn("b", _word_minimum(2)).dropDuplicates(["a", "toxic"]).dropDuplicates(["b", "toxic"])
+    single = rows.withColumn("words", _word_sequence()).dropDuplicates(["words", "toxic"])
     single = materialize(single.select("text", "toxic"), "toxic-single")
     n = dict(single.groupBy("toxic").count().collect())
     if not n.get(1) or not n.get(0):
@@ -259,7 +261,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id
     alone = {s for s in stems if any(t.startswith(s) and pos[t] >= 0.9 * pos[s + "*"] for t in terms)}
     stems = {s: w for s, w in stems.items() if s not in alone}
     terms = {t for t in terms if not any(t.startswith(s) for s in stems)} | set(SEED_TERMS)
-    return _fitted(Model(tuple(sorted(terms)), stems), single)
+    return replace(_fitted(Model(tuple(sorted(terms)), stems), single), learned_from=n[0] + n[1])
 
 
 def _fitted(model: Model, rows: DataFrame) -> Model:
