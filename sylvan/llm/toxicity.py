@@ -1,7 +1,7 @@
 """Toxicity scores from a lexicon trie that is intersected with Levenshtein automata.
 
-The lexicon holds whole words and word stems.  Stems match any ending; words of
-at least ``MIN_FUZZY`` letters also match with one edit.  The automaton is the
+The lexicon holds whole words and word stems.  Stems match any ending; words and
+stems of at least ``MIN_FUZZY`` letters also match with one edit.  The automaton is the
 set of (trie node, edits so far) pairs that the letters read so far allow; such
 sets and their moves are kept as they turn up, so most words die after two or
 three letters, and each worker looks at a word only once.
@@ -102,7 +102,7 @@ class Automaton:
     def __init__(self, terms, stems, min_fuzzy: int = MIN_FUZZY, keep: int = 50_000):
         self.children: list[dict[str, int]] = [{}]
         self.term = [0]
-        self.stem = [False]
+        self.stem = [0]
         for entry, is_stem in [(t, False) for t in terms] + [(s, True) for s in stems]:
             node = 0
             for letter in entry:
@@ -111,10 +111,10 @@ class Automaton:
                     nxt = self.children[node][letter] = len(self.children)
                     self.children.append({})
                     self.term.append(0)
-                    self.stem.append(False)
+                    self.stem.append(0)
                 node = nxt
             if is_stem:
-                self.stem[node] = True
+                self.stem[node] = len(entry)
             else:
                 self.term[node] = len(entry)
         self.min_fuzzy, self.keep = min_fuzzy, keep
@@ -145,17 +145,18 @@ class Automaton:
 
     def kind(self, word: str) -> str:
         """``term``, ``stem``, ``fuzzy`` or the empty string."""
-        state, stem = self.start, False
+        state, stem, near = self.start, False, False
         for letter in word:
             state = self._move(state, letter)
             if not state:
-                return "stem" if stem else ""
+                return "stem" if stem else "fuzzy" if near else ""
             stem = stem or any(edits == 0 and self.stem[node] for node, edits in state)
+            near = near or any(edits == 1 and self.stem[node] >= self.min_fuzzy for node, edits in state)
         if any(edits == 0 and self.term[node] for node, edits in state):
             return "term"
         if stem:
             return "stem"
-        return "fuzzy" if any(edits == 1 and self.term[node] >= self.min_fuzzy for node, edits in state) else ""
+        return "fuzzy" if near or any(edits == 1 and self.term[node] >= self.min_fuzzy for node, edits in state) else ""
 
 
 @dataclass

@@ -28,3 +28,12 @@ def test_quoted_phrases_count_as_quoted(quoted):
 def test_abuse_outside_quotations_counts(text):
     (hit,), _ = toxicity.Scorer(toxicity.Model()).hits(text)
     assert hit[2] == toxicity.ADDRESSED
+
+
+def test_stems_match_with_one_edit():
+    automaton = toxicity.Automaton(("xyz",), ("grobian", "abc"))
+    assert automaton.kind("grobians") == "stem"
+    for word in ("grobjan", "grobjans", "gobians", "groobianen", "rgrobian", "xgrobians", "grobia"):
+        assert automaton.kind(word) == "fuzzy", word
+    for word in ("grxbjan", "grob", "abx", "abxde"):  # two edits, too much left out, short stems
+        assert automaton.kind(word) == "", word
