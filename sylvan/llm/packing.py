@@ -43,7 +43,7 @@ SCHEMA = ("{id} {id_type}, start long, length long, ids_crc32 long, doc_tokens l
           "offset long, sequence_length long, sequence_cost double")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable letter that a byte-level vocabulary writes for each byte: itself, or the next one from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
@@ -83,7 +83,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.words = Cache(self._word, cache_words)
         self.runs = Cache(self._run, cache_words)
 

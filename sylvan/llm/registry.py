@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from sylvan.llm import language, licenses, lm, mixing, ngramjoin, nndescent, packing, search, toxicity, urlfilter
+from sylvan.llm import bestfit, language, licenses, lm, mixing, ngramjoin, nndescent, packing, search, toxicity, urlfilter
 
-MODULES = [toxicity, search, language, ngramjoin, mixing, urlfilter, licenses, nndescent, packing, lm]
+MODULES = [toxicity, search, language, ngramjoin, mixing, urlfilter, licenses, nndescent, packing, lm, bestfit]
 
 
 def queries() -> dict:
