@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from sylvan.llm import alignment, bestfit, language, licenses, lm, mixing, ngramjoin, nndescent, packing, search, toxicity, urlfilter
+from sylvan.llm import alignment, bestfit, language, licenses, lm, mixing, ngramjoin, nndescent, packing, search, toxicity, urlfilter, variants
 
-MODULES = [toxicity, search, language, ngramjoin, mixing, urlfilter, licenses, nndescent, packing, lm, bestfit, alignment]
+MODULES = [toxicity, search, language, ngramjoin, mixing, urlfilter, licenses, nndescent, packing, lm, bestfit, alignment, variants]
 
 
 def queries() -> dict:
