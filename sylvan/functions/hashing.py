@@ -9,6 +9,8 @@ strings: the text of a double differs between engines.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,12 @@ def uniform_of(key: Column) -> Column:
     return F.conv(hex8, 16, 10).cast("double") / F.lit(TWO_POW_32)
 
 
+def uniform_value(tag: str, seed, *parts) -> float:
+    """:func:`uniform` of plain values, on the driver."""
+    key = "|".join(str(p) for p in (tag, seed, *parts))
+    return int(hashlib.md5(key.encode()).hexdigest()[:8], 16) / TWO_POW_32
+
+
 def sql_uniform(tag: str, seed, *parts: str) -> str:
     """DuckDB form of :func:`uniform`; ``parts`` are SQL expressions."""
     items = [f"'{tag}'", f"'{seed}'"] + [f"CAST({p} AS VARCHAR)" for p in parts]

@@ -13,24 +13,34 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from sylvan.session import materialize
+from sylvan.sources.tables import local_rows
 
 
 def indexed_name(col: str) -> str:
     return f"{col}_idx"
 
 
-def string_index_table(df: DataFrame, col: str) -> DataFrame:
+#: Labels that are ranked on the driver at most; more are ranked in a range partitioning.
+LOCAL_LABELS = 1_000
+
+
+def string_index_table(df: DataFrame, col: str, local_labels: int = LOCAL_LABELS) -> DataFrame:
     """``(value, idx)``: labels by frequency, ties alphabetical, as StringIndexer orders them.
 
-    Distinct values are ranked in a range partitioning of (count, value) by
-    counts per partition, so labels are never gathered in one task.  Null
-    labels have no index.
+    Up to ``local_labels`` distinct values come ranked from one top-k; more are ranked
+    in a range partitioning of (count, value) by counts per partition, so a large set of
+    labels is never gathered in one task.  Null labels have no index.
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
     order = [F.col("cnt").desc(), F.col("value")]
+    first = counts.orderBy(*order).limit(local_labels + 1).collect()
+    if len(first) <= local_labels:
+        schema = T.StructType([T.StructField("value", df.schema[col].dataType), T.StructField("idx", T.DoubleType())])
+        return local_rows(df.sparkSession, [(r["value"], float(i)) for i, r in enumerate(first)], schema)
     ranged = materialize(counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "labels")
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))

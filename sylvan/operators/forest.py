@@ -1,52 +1,55 @@
-"""Decision forests grown level by level from histograms, all trees of all grid keys at once.
+"""Decision forests: histograms, splits, votes.
 
-Training rows are never grouped per tree.  At each depth the sampled rows
-(``k, tree, node, x, y``) are exploded over their tree's feature mask and
-aggregated into a histogram ``(k, tree, node, f, v) -> n, s`` with a partial
-(map-side) aggregate, so a shuffle carries one row per histogram cell per
-task, not one per sampled row.  Running sums over the histogram give every
-candidate split; the best split per node is kept.  Rows then move one level
-down through a join with that level's split table (at most
-``keys * trees * 2**depth`` rows; the planner picks the join).
+Training (:mod:`sylvan.operators.growth`) counts, level by level and for all trees of
+all grid keys at once, a histogram ``(tree, node, f, v) -> n, sums``.  Running sums over
+it give every candidate split; the best split per node is kept.
 
 Split score: maximise ``sl^2/nl + sr^2/nr`` (s = label sum).  For a 0/1
 label this orders splits exactly as Gini impurity does; for a numeric label
-it is variance reduction.  Ties: larger score, then smaller feature index,
+it is variance reduction; with more than two classes the squares of all class counts
+are added, which is Gini again.  Ties: larger score, then smaller feature index,
 then smaller threshold.  Threshold = midpoint of adjacent distinct values;
 ``x <= thr`` goes left.
 
 A node is open (searched for a split) when its depth is below max_depth, it
-holds at least ``2 * min_samples_leaf`` rows and, for classification, both
-classes.  Leaf values are stored as integer ``vote = floor(s * scale / n + 0.5)``
-so that forest sums are exact in any engine and in any order.
+holds at least ``2 * min_samples_leaf`` rows and, for classification, more than one
+class.  Leaf values are stored as integer ``vote = floor(s * scale / n + 0.5)``
+so that forest sums are exact in any engine and in any order.  Scoring is
+:mod:`sylvan.operators.quickscore`.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from sylvan.session import drop_path, materialize, materialize_at
+from sylvan.operators import quickscore
 
+# Task with any number of classes: sums are the counts of each class.
+CLASSES = "multi"
 # Leaf value scale: nano-probability for classification, milli-cents for regression.
-VOTE_SCALE = {"clf": 1_000_000_000.0, "reg": 1000.0}
+VOTE_SCALE = {"clf": 1_000_000_000.0, "reg": 1000.0, CLASSES: 1_000_000_000.0}
 
-KEYS = ["k", "tree", "node"]
 
+def stat_columns(n_classes: int) -> list[str]:
+    """Sum columns of a histogram: the label's sum, or a count for each class."""
+    return [f"s{c}" for c in range(n_classes)] if n_classes else ["s"]
 
-def _pure(task: str, n: Column, s: Column) -> Column:
+
+def _pure(task: str, n: Column, sums: list[Column]) -> Column:
     if task == "clf":
-        return (s == F.lit(0)) | (s == n)
+        return (sums[0] == F.lit(0)) | (sums[0] == n)
+    if task == CLASSES:
+        return reduce(lambda a, b: a | b, [s == n for s in sums])
     return F.lit(False)
 
 
-def is_open(task: str, depth, n: Column, s: Column) -> Column:
+def is_open(task: str, depth, n: Column, sums: list[Column]) -> Column:
     depth = depth if isinstance(depth, Column) else F.lit(depth)
-    return (depth < F.col("max_depth")) & (n >= F.lit(2) * F.col("min_leaf")) & ~_pure(task, n, s)
+    return (depth < F.col("max_depth")) & (n >= F.lit(2) * F.col("min_leaf")) & ~_pure(task, n, sums)
 
 
 def histogram(state: DataFrame) -> DataFrame:
@@ -61,191 +64,110 @@ def midpoint_threshold(f: Column, v: Column, v_next: Column) -> Column:
     return (v + v_next) / F.lit(2.0)
 
 
-def best_splits(hist: DataFrame, depth: int, task: str, threshold=midpoint_threshold) -> DataFrame:
+def best_splits(hist: DataFrame, depth: int, task: str, threshold=midpoint_threshold,
+                keys: list[str] = ("k", "tree"), stats: list[str] = ("s",)) -> DataFrame:
     """One row per node of the histogram: its totals and, if it has one, its best valid split.
 
-    Output ``(k, tree, node, nt, st, f, split_v, thr, nl, sl, nr, sr,
-    open_left, open_right)``; the split columns are null when the node is
-    closed or no split leaves ``min_samples_leaf`` rows on both sides.
+    ``keys`` name the tree, ``stats`` the sum columns.  Output ``(*keys, node, nt, f,
+    split_v, thr, nl, nr, open_left, open_right)`` and for each sum column its total
+    and both sides (``_t``, ``_l``, ``_r``); the split columns are null when the node
+    is closed or no split leaves ``min_samples_leaf`` rows on both sides.
     ``split_v`` is the largest histogram value sent left (rows of the node go
     right iff their histogram value is above it); ``thr`` is the threshold on
     raw feature values, by default the midpoint to the next value.  Totals
     and the best split come out of the same window pass.
     """
-    w_f = Window.partitionBy("k", "tree", "node", "f")
+    node = [*keys, "node"]
+    w_f = Window.partitionBy(*node, "f")
     w_run = w_f.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = hist.select(
+    # Dealt by node, which serves both windows.
+    c = hist.repartition(*node).select(
         "*",
         F.sum("n").over(w_run).alias("nl"),
-        F.sum("s").over(w_run).alias("sl"),
         F.sum("n").over(w_f).alias("nt"),
-        F.sum("s").over(w_f).alias("st"),
+        *[F.sum(s).over(w).alias(f"{s}_{side}") for s in stats for w, side in ((w_run, "l"), (w_f, "t"))],
         F.lead("v").over(w_f.orderBy("v")).alias("v_next"),
     )
-    c = c.withColumn("nr", F.col("nt") - F.col("nl")).withColumn("sr", F.col("st") - F.col("sl"))
+    c = c.withColumns({"nr": F.col("nt") - F.col("nl"), **{f"{s}_r": F.col(f"{s}_t") - F.col(f"{s}_l") for s in stats}})
+
+    def sums(side: str) -> list[Column]:
+        return [F.col(f"{s}_{side}") for s in stats]
+
+    def squares(side: str) -> Column:
+        return reduce(lambda a, b: a + b, [s.cast("double") * s.cast("double") for s in sums(side)])
+
     valid = (
         F.col("v_next").isNotNull()
         & (F.col("nl") >= F.col("min_leaf"))
         & (F.col("nr") >= F.col("min_leaf"))
-        & is_open(task, depth, F.col("nt"), F.col("st"))
+        & is_open(task, depth, F.col("nt"), sums("t"))
     )
-    sl, sr = F.col("sl").cast("double"), F.col("sr").cast("double")
     cand = c.select(
-        "k", "tree", "node", "min_leaf", "max_depth", "nt", "st", "f", "nl", "sl", "nr", "sr",
+        *node, "min_leaf", "max_depth", "nt", "f", "nl", "nr", *sums("l"), *sums("r"), *sums("t"),
         valid.alias("valid"), F.col("v").alias("split_v"),
         F.when(valid, threshold(F.col("f"), F.col("v"), F.col("v_next"))).alias("thr"),
-        F.when(valid, sl * sl / F.col("nl") + sr * sr / F.col("nr")).alias("score"),
+        F.when(valid, squares("l") / F.col("nl") + squares("r") / F.col("nr")).alias("score"),
     )
-    w_node = Window.partitionBy("k", "tree", "node").orderBy(
+    w_node = Window.partitionBy(*node).orderBy(
         F.col("valid").desc(), F.col("score").desc(), "f", "thr")
     best = cand.withColumn("rk", F.row_number().over(w_node)).filter(F.col("rk") == 1)
-    split = F.col("valid")
 
-    def when_split(col: Column) -> Column:
-        return F.when(split, col)
+    def when_split(col: Column, name: str) -> Column:
+        return F.when(F.col("valid"), col).alias(name)
 
+    split = ["f", "split_v", "thr", "nl", "nr", *[f"{s}_{side}" for s in stats for side in "lr"]]
     return best.select(
-        "k", "tree", "node", "nt", "st",
-        when_split(F.col("f")).alias("f"), when_split(F.col("split_v")).alias("split_v"),
-        when_split(F.col("thr")).alias("thr"),
-        when_split(F.col("nl")).alias("nl"), when_split(F.col("sl")).alias("sl"),
-        when_split(F.col("nr")).alias("nr"), when_split(F.col("sr")).alias("sr"),
-        when_split(is_open(task, depth + 1, F.col("nl"), F.col("sl"))).alias("open_left"),
-        when_split(is_open(task, depth + 1, F.col("nr"), F.col("sr"))).alias("open_right"),
+        *node, "nt", *sums("t"), *[when_split(F.col(c), c) for c in split],
+        when_split(is_open(task, depth + 1, F.col("nl"), sums("l")), "open_left"),
+        when_split(is_open(task, depth + 1, F.col("nr"), sums("r")), "open_right"),
     )
 
 
-def _feature(f: Column) -> Column:
-    return F.element_at(F.col("x"), f + F.lit(1))
-
-
-def route_one_level(state: DataFrame, splits: DataFrame) -> DataFrame:
-    """Move rows of split nodes to their open child; rows reaching a closed child are dropped.
+def route_to_leaves(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Each row with every tree: ``rows`` columns + ``k, tree, node, vote`` of the leaf reached.
 
-    Training rows carry histogram values, so they compare with ``split_v``.
+    A row with a null feature reaches no leaf: its nodes and votes are null.
     """
-    s = splits.select("k", "tree", "node", F.col("f").alias("_f"), F.col("split_v").alias("_thr"),
-                      "open_left", "open_right")
-    j = state.join(s, KEYS, "inner")
-    right = _feature(F.col("_f")) > F.col("_thr")
-    keep = F.when(right, F.col("open_right")).otherwise(F.col("open_left"))
-    cols = [c for c in state.columns if c != "node"]
-    return j.filter(keep).select(*cols, (F.lit(2) * F.col("node") + right.cast("int")).alias("node"))
-
-
-def grow_forest(sampled: DataFrame, task: str, max_depth: int,
-                cut_lineage: bool = True, threshold=midpoint_threshold) -> DataFrame:
-    """Grow every (k, tree) of ``sampled`` to its own max_depth.
-
-    ``sampled`` has ``k, tree, min_leaf, max_depth, mask, x, y``; ``max_depth``
-    here is the largest depth in the grid and bounds the number of passes.
-    ``threshold`` maps a split in histogram units to a raw threshold (see
-    :mod:`sylvan.operators.binning` for binned features).  Returns the node
-    table ``(k, tree, node, depth, n, s, f, thr, is_leaf, vote)``.
-    """
-    if task not in VOTE_SCALE:
-        raise ValueError(f"task must be one of {sorted(VOTE_SCALE)}")
-    if max_depth < 1:
-        raise ValueError("max_depth must be at least 1")
-    written: list[str] = []
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        if not cut_lineage:
-            return df
-        out, path = materialize_at(df, name)
-        written.append(path)
-        return out
-
-    state = sampled.select("k", "tree", "min_leaf", "max_depth", "mask", "x", "y",
-                           F.lit(1).alias("node")).persist(StorageLevel.MEMORY_AND_DISK)
-    held = [state]
-    births, splits = [], []
-    for depth in range(max_depth):
-        level = keep(best_splits(histogram(state), depth, task, threshold), f"split-{depth}")
-        if depth == 0:
-            births.append(level.select(*KEYS, F.col("nt").alias("n"), F.col("st").alias("s"))
-                          .withColumn("depth", F.lit(0)))
-        sp = level.filter(F.col("f").isNotNull())
-        splits.append(sp.select(*KEYS, "f", "thr"))
-        child = F.lit(2) * F.col("node")
-        births.append(sp.select("k", "tree", child.alias("node"), F.col("nl").alias("n"), F.col("sl").alias("s"))
-                      .withColumn("depth", F.lit(depth + 1)))
-        births.append(sp.select("k", "tree", (child + 1).alias("node"), F.col("nr").alias("n"),
-                                F.col("sr").alias("s")).withColumn("depth", F.lit(depth + 1)))
-        if depth + 1 < max_depth:
-            state = route_one_level(state, sp).persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(state)
-            if len(held) > 2:  # the level before last is no longer read
-                held.pop(0).unpersist()
-
-    born = reduce(DataFrame.unionByName, [b.select(*KEYS, "depth", "n", "s") for b in births])
-    split_all = reduce(DataFrame.unionByName, splits)
-    scale = F.lit(VOTE_SCALE[task])
-    nodes = born.join(split_all, KEYS, "left").select(
-        *KEYS, "depth", "n", "s", "f", "thr",
-        F.col("f").isNull().alias("is_leaf"),
-        F.floor(F.col("s").cast("double") * scale / F.col("n") + F.lit(0.5)).cast("long").alias("vote"),
-    )
-    if cut_lineage:
-        nodes = materialize(nodes, "nodes")
-    for df in held:
-        df.unpersist()
-    for path in written:  # per-level tables: nothing reads them once the node table is written
-        drop_path(sampled.sparkSession, path)
-    return nodes
+    forest = quickscore.packed(nodes)
+    if not forest.names:
+        return rows.crossJoin(nodes.select("k", "tree", "node", "vote"))  # no tree, no rows
+    tree = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(t).cast("int").alias("tree")) for k, t in forest.names])
+    reached = rows.withColumn("_nodes", quickscore.leaf_numbers(forest, rows.sparkSession, F.col("x")))
+    each = reached.select(*rows.columns, "_nodes", F.posexplode(tree).alias("_t", "_tree")).select(
+        *rows.columns, "_tree.k", "_tree.tree", F.get("_nodes", F.col("_t")).cast("int").alias("node"))
+    leaves = nodes.filter("is_leaf").select("k", "tree", "node", "vote")
+    return each.join(F.broadcast(leaves), ["k", "tree", "node"], "left").select(*rows.columns, "k", "tree", "node", "vote")
 
 
-def packed_trees(nodes: DataFrame) -> DataFrame:
-    """One row per grid key: ``trees``, an array of ``(tree, f, thr, vote)`` with one array entry per node.
+def forest_votes(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` columns + ``k, score, n_trees``: sum of leaf votes per row and grid key (null without features).
 
-    Node n stands at place n (children 2n and 2n + 1); ``f`` is null at leaves.
-    The table's size is that of the forest (keys x trees x 2 ** (depth + 1)
-    nodes at most), not of the data.
+    For more than two classes ``scores``, an array over the classes, replaces ``score``.
     """
-    at = F.map_from_entries(F.collect_list(F.struct("node", F.struct("f", "thr", "vote"))))
-    per_tree = nodes.groupBy("k", "tree").agg(at.alias("m"), F.max("node").alias("last"))
-    places = F.transform(F.sequence(F.lit(1), F.col("last")), lambda i: F.col("m")[i])
-    per_tree = per_tree.select("k", "tree", places.alias("p"))
-    tree = F.struct("tree", F.col("p.f").alias("f"), F.col("p.thr").alias("thr"), F.col("p.vote").alias("vote"))
-    return per_tree.groupBy("k").agg(F.sort_array(F.collect_list(tree)).alias("trees"))
-
-
-def _leaf(tree: Column, max_depth: int) -> Column:
-    """Node of the leaf that the row's features ``x`` reach."""
-    def step(node: Column, _: Column) -> Column:
-        f = F.get(tree["f"], node - 1)
-        right = F.element_at(F.col("x"), f + F.lit(1)) > F.get(tree["thr"], node - 1)
-        return F.when(f.isNull(), node).otherwise(F.lit(2) * node + right.cast("int"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(max_depth)), F.lit(1), step)
-
-
-def _walked(rows: DataFrame, nodes: DataFrame, max_depth: int) -> DataFrame:
-    """Each row with every grid key: its columns, ``k`` and ``leaves``, an array of ``(tree, node, vote)``.
-
-    One join in all, with a table of one row per key; rows are neither
-    exploded per tree nor grouped, so equal rows stay apart and every column
-    is kept.  A row with a null feature reaches no leaf: its nodes are null.
-    """
-    paired = rows.crossJoin(F.broadcast(packed_trees(nodes)))
-
-    def leaf(tree: Column) -> Column:
-        node = _leaf(tree, max_depth)
-        return F.struct(tree["tree"].alias("tree"), node.alias("node"), F.get(tree["vote"], node - 1).alias("vote"))
-
-    return paired.withColumn("leaves", F.transform("trees", leaf)).drop("trees")
-
-
-def route_to_leaves(rows: DataFrame, nodes: DataFrame, max_depth: int) -> DataFrame:
-    """Each row with every tree: ``rows`` columns + ``k, tree, node, vote`` of the leaf reached."""
-    return _walked(rows, nodes, max_depth).select(*rows.columns, "k", F.inline("leaves"))
-
-
-def forest_votes(rows: DataFrame, nodes: DataFrame, max_depth: int) -> DataFrame:
-    """``rows`` columns + ``k, score, n_trees``: sum of leaf votes per row and grid key (null without features)."""
-    walked = _walked(rows, nodes, max_depth)
-    total = F.aggregate("leaves", F.lit(0).cast("long"), lambda a, leaf: a + leaf["vote"])
-    return walked.select(*rows.columns, "k", total.alias("score"), F.size("leaves").cast("long").alias("n_trees"))
+    forest = quickscore.packed(nodes)
+    many = "votes" in nodes.columns
+    trees = {k: sum(name[0] == k for name in forest.names) for k in forest.keys}
+    key = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(n).cast("long").alias("n_trees")) for k, n in trees.items()])
+    if not trees:
+        kind = "array<long>" if many else "long"
+        none = rows.limit(0).withColumn("k", F.lit(""))
+        return none.withColumn("scores" if many else "score", F.lit(None).cast(kind)).withColumn("n_trees", F.lit(0).cast("long"))
+    summed = rows.withColumn("_sums", quickscore.vote_sums(forest, rows.sparkSession, F.col("x")))
+    each = summed.select(*rows.columns, "_sums", F.posexplode(key).alias("_k", "_key"))
+    if many:
+        wide = forest.trees[0].votes.shape[1]
+        score = F.slice("_sums", F.col("_k") * wide + 1, wide).alias("scores")
+    else:
+        score = F.get("_sums", F.col("_k")).alias("score")
+    return each.select(*rows.columns, "_key.k", score, "_key.n_trees")
+
+
+def class_outputs(votes: DataFrame) -> DataFrame:
+    """Mean class probabilities of the trees, and the number of the likeliest class (ties go to the first)."""
+    total = F.col("n_trees").cast("double") * F.lit(VOTE_SCALE[CLASSES])
+    probability = F.transform("scores", lambda s: s.cast("double") / total)
+    first = (F.array_position("scores", F.array_max("scores")) - 1).cast("double")
+    return votes.withColumn("probability", probability).withColumn("prediction", first)
 
 
 def clf_outputs(votes: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ only partitions the work; the result is exact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -76,6 +76,31 @@ def mse_by_key(votes: DataFrame, vote_scale: float, unit: float = 100.0, key: st
     return g.select(key, F.round(F.col("sse").cast("double") / den, 2).alias("mse"))
 
 
+def mae_by_key(votes: DataFrame, vote_scale: float, unit: float = 100.0, key: str = "k",
+               score: str = "score", label: str = "y") -> DataFrame:
+    """Mean absolute error per key, exact as :func:`mse_by_key`; in ``unit``, rounded to 4 places."""
+    resid = F.abs(F.col(score) - F.lit(int(vote_scale)) * F.col("n_trees") * F.col(label)).cast("decimal(38,0)")
+    g = votes.groupBy(key).agg(F.sum(resid).alias("sae"), F.count(F.lit(1)).alias("n"), F.max("n_trees").alias("t"))
+    den = F.col("t").cast("double") * F.lit(vote_scale * unit) * F.col("n").cast("double")
+    return g.select(key, F.round(F.col("sae").cast("double") / den, 4).alias("mae"))
+
+
+def accuracy_by_key(df: DataFrame, key: str = "k", pred: str = "prediction", label: str = "y") -> DataFrame:
+    """``(key, accuracy)``: share of rows whose predicted class is the label."""
+    right = F.sum((F.col(pred) == F.col(label)).cast("long")).cast("double")
+    return df.groupBy(key).agg((right / F.count(F.lit(1))).alias("accuracy"))
+
+
+#: A probability of 0 for the true class counts as this one.
+LEAST_PROBABILITY = 1e-9
+
+
+def log_loss_by_key(df: DataFrame, of_label: Column, key: str = "k") -> DataFrame:
+    """``(key, log_loss)``: minus the mean logarithm of the true class's probability ``of_label``, rounded to 6 places."""
+    loss = F.avg(-F.log(F.greatest(of_label, F.lit(LEAST_PROBABILITY))))
+    return df.groupBy(key).agg(F.round(loss, 6).alias("log_loss"))
+
+
 def select_best(scores: DataFrame, metric: str, larger_is_better: bool, key: str = "k") -> DataFrame:
     """The one row with the best metric; ties broken by the smaller key."""
     order = F.col(metric).desc_nulls_last() if larger_is_better else F.col(metric).asc_nulls_last()

@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from sylvan.functions import params as P
-from sylvan.functions.hashing import hash_key, uniform
+from sylvan.functions.hashing import hash_key, uniform, uniform_value
+from sylvan.operators.growth import Tree
 from sylvan.sources.tables import local_rows
 
 
@@ -79,6 +80,40 @@ def tree_blocks(trees: DataFrame) -> DataFrame:
     return blocks.groupBy("k", "block").agg(F.collect_list(member).alias("members"))
 
 
+def tree_masks(points: list[tuple[str, dict]], n_trees: int, n_features: int, col_p: float, min_cols: int, seed: str) -> list[Tree]:
+    """Every tree of the grid with its feature mask: :func:`column_mask` on the driver, for tables of configuration size."""
+    min_cols = min(min_cols, n_features)
+    out = []
+    for k, point in points:
+        for tree in range(1, n_trees + 1):
+            chosen = [f for f in range(n_features) if uniform_value("col", seed, k, tree, f) < col_p]
+            picked = sorted(range(n_features), key=lambda f: (uniform_value("pick", seed, k, tree, f), f))
+            mask = sorted({*chosen, *picked[: max(0, min_cols - len(chosen))]})
+            out.append(Tree(k, tree, point["min_samples_leaf"], point["max_depth"], tuple(mask)))
+    return out
+
+
+def drawn_trees(rows: DataFrame, trees: list[Tree], p: float, seed: str) -> DataFrame:
+    """``rows`` with ``drawn``: the numbers of the trees that draw the row, as :func:`tree_sample` draws; others are dropped.
+
+    One row stays one row.  The hashes are computed once per row, four trees to a hash.
+    """
+    th = below_threshold_hex(p)
+    blocks = sorted({(t.k, (t.tree - 1) // SLICES_PER_HASH) for t in trees})
+    place = {b: i for i, b in enumerate(blocks)}
+    hashed = rows.withColumn("_h", F.array(*[F.md5(hash_key("row", seed, F.col("rid"), F.lit(k), b)) for k, b in blocks]))
+
+    def one(number: int, t: Tree):
+        if th is None:
+            return F.lit(number)
+        own = F.get("_h", F.lit(place[t.k, (t.tree - 1) // SLICES_PER_HASH]))
+        at = (t.tree - 1) % SLICES_PER_HASH * 8 + 1
+        return F.when(F.substring(own, at, 8) < F.lit(th), F.lit(number))
+
+    drawn = F.array_compact(F.array(*[one(i, t) for i, t in enumerate(trees)]))
+    return hashed.withColumn("drawn", drawn).drop("_h").filter(F.size("drawn") > 0)
+
+
 def tree_sample(rows: DataFrame, trees: DataFrame, p: float, seed: str) -> DataFrame:
     """Each row with every (k, tree) that draws it, with probability ``p``.
 

@@ -15,17 +15,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sylvan.functions import params as P
 from sylvan.functions.hashing import uniform
 from sylvan.operators import binning
 from sylvan.operators import features as feat
 from sylvan.operators import forest as fo
+from sylvan.operators import growth
 from sylvan.operators import metrics as me
 from sylvan.operators import sampling as sa
 from sylvan.session import materialize
 from sylvan.sources import load_forest_table, read_table, save_forest_table
-from sylvan.sources.tables import spread
+from sylvan.sources.tables import local_rows, spread
 
 NUMERIC = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
 TO_INDEX = ["l_linestatus"]
@@ -47,6 +49,12 @@ class ForestConfig:
     train_share: float = 0.95
     # None: exact histograms over distinct values; an int: quantile bins per feature.
     max_bins: int | None = None
+    # Exact histograms of a feature with more distinct values than this are refused: set max_bins.
+    max_values: int = 100_000
+    # How keys are compared (METRICS); None: the task's first, AUC or squared error.
+    metric: str | None = None
+    # Number of classes of task "multi"; labels are their numbers, from 0.
+    n_classes: int = 0
 
     @property
     def depth(self) -> int:
@@ -92,11 +100,15 @@ def label_tables(train: DataFrame, to_index: list[str]) -> dict[str, DataFrame]:
     return {c: feat.string_index_table(train, c) for c in to_index}
 
 
+def ready_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig) -> DataFrame:
+    """``rid, x array<double>, y, is_train`` of lineitem, written once: everything of a grid is read from it."""
+    rows = materialize(labelled_rows(spark, sf_dir, cfg), "labelled")
+    return with_features(rows, NUMERIC, label_tables(rows.filter("is_train"), TO_INDEX)).select("rid", "x", "y", "is_train")
+
+
 def feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
     """``(train, test)`` of lineitem: rows ``rid, x array<double>, y``."""
-    rows = labelled_rows(spark, sf_dir, cfg)
-    labels = label_tables(rows.filter("is_train"), TO_INDEX)
-    ready = with_features(rows, NUMERIC, labels).select("rid", "x", "y", "is_train")
+    ready = ready_rows(spark, sf_dir, cfg)
     return ready.filter("is_train").drop("is_train"), ready.filter("not is_train").drop("is_train")
 
 
@@ -107,10 +119,19 @@ def mllib_feature_rows(spark: SparkSession, sf_dir: str, cfg: ForestConfig):
     return feat.as_array(model.transform(rows)).select("rid", "x", "y", "is_train")
 
 
+def grid_trees(cfg: ForestConfig, n_features: int = N_FEATURES) -> list[sa.Tree]:
+    """Every tree of the grid: its key, parameters and feature mask."""
+    return sa.tree_masks(P.grid_points(cfg.grid), cfg.n_trees, n_features, cfg.col_p, cfg.min_cols, cfg.seed)
+
+
+TREE_SCHEMA = T.StructType([T.StructField(n, k) for n, k in (
+    ("k", T.StringType()), ("tree", T.IntegerType()), ("min_leaf", T.IntegerType()), ("max_depth", T.IntegerType()),
+    ("mask", T.ArrayType(T.IntegerType())))])
+
+
 def grid_with_masks(spark: SparkSession, cfg: ForestConfig, n_features: int = N_FEATURES) -> DataFrame:
-    grid = sa.param_grid(spark, cfg.grid).withColumnRenamed("min_samples_leaf", "min_leaf")
-    trees = sa.grid_trees(grid, cfg.n_trees)
-    return sa.column_mask(trees, n_features, cfg.col_p, cfg.min_cols, cfg.seed)
+    trees = [(t.k, t.tree, t.min_leaf, t.max_depth, list(t.mask)) for t in grid_trees(cfg, n_features)]
+    return local_rows(spark, trees, TREE_SCHEMA)
 
 
 def usable(train: DataFrame) -> DataFrame:
@@ -124,31 +145,67 @@ def sample_for_trees(train: DataFrame, cfg: ForestConfig, n_features: int = N_FE
     return sa.tree_sample(train, grid_with_masks(train.sparkSession, cfg, n_features), p, cfg.seed)
 
 
+def check_values(train: DataFrame, cfg: ForestConfig, n_features: int) -> None:
+    """Exact histograms are for features of few values: refuse one above ``max_values`` distinct ones."""
+    values = [F.approx_count_distinct(F.element_at("x", f + 1)).alias(f"f{f}") for f in range(n_features)]
+    for name, n in train.agg(*values).first().asDict().items():
+        if n and n > cfg.max_values:
+            raise ValueError(f"feature {name[1:]} has about {n} distinct values: set max_bins")
+
+
 def fit_forest(train: DataFrame, cfg: ForestConfig, n_features: int = N_FEATURES) -> DataFrame:
     """Node table of all trees of all grid keys, from rows ``rid, x, y``."""
-    threshold = fo.midpoint_threshold
+    threshold, edges = fo.midpoint_threshold, None
     train = usable(train)
+    p = P.sampling_rate(train.count(), cfg.max_p, cfg.max_rows)
     if cfg.max_bins:
         edges = binning.quantile_edges(train, n_features, cfg.max_bins)
-        train = binning.binned(train, edges)
         threshold = binning.edge_threshold(edges)
-    return fo.grow_forest(sample_for_trees(train, cfg, n_features), cfg.task, cfg.depth, threshold=threshold)
+    else:
+        check_values(train, cfg, n_features)
+    trees = grid_trees(cfg, n_features)
+    # Each row once, with the trees that draw it; every level scans these rows.
+    rows = materialize(sa.drawn_trees(train, trees, p, cfg.seed).select("x", "y", "drawn"), "forest-rows")
+    return growth.grow(rows, trees, n_features, cfg.task, cfg.n_classes, edges, threshold)
 
 
 def scored(rows: DataFrame, nodes: DataFrame, cfg: ForestConfig, unit: float = 100.0) -> DataFrame:
-    """``rows`` (with ``x``) with every grid key's ``k, score, n_trees`` and its outputs."""
-    votes = fo.forest_votes(rows, nodes, cfg.depth)
+    """``rows`` (with ``x``) with every grid key's ``k, n_trees``, its vote sums and its outputs."""
+    votes = fo.forest_votes(rows, nodes)
+    if cfg.task == fo.CLASSES:
+        return fo.class_outputs(votes)
     return fo.clf_outputs(votes) if cfg.task == "clf" else fo.reg_outputs(votes, unit)
 
 
+#: Metrics by task, the default first: larger is better, and how to get ``(k, <metric>)`` from scored rows.
+METRICS = {
+    "clf": {"auc": (True, lambda v, unit: me.auc_by_key(v)), "accuracy": (True, lambda v, unit: me.accuracy_by_key(v)),
+            "log_loss": (False, lambda v, unit: me.log_loss_by_key(v, F.when(F.col("y") == 1, F.col("prob")).otherwise(1 - F.col("prob"))))},
+    "reg": {"mse": (False, lambda v, unit: me.mse_by_key(v, fo.VOTE_SCALE["reg"], unit)),
+            "mae": (False, lambda v, unit: me.mae_by_key(v, fo.VOTE_SCALE["reg"], unit))},
+    fo.CLASSES: {"accuracy": (True, lambda v, unit: me.accuracy_by_key(v)),
+                 "log_loss": (False, lambda v, unit: me.log_loss_by_key(v, F.get("probability", F.col("y").cast("int"))))},
+}
+
+
+def metric_of(cfg: ForestConfig) -> str:
+    known = METRICS[cfg.task]
+    name = cfg.metric or next(iter(known))
+    if name not in known:
+        raise ValueError(f"metric of task {cfg.task} must be one of {sorted(known)}")
+    return name
+
+
 def key_scores(votes: DataFrame, cfg: ForestConfig, unit: float = 100.0) -> DataFrame:
-    """``(k, auc)`` or ``(k, mse)`` over the rows that have features and a label."""
-    whole = votes.filter("score is not null and y is not null")
-    return me.auc_by_key(whole) if cfg.task == "clf" else me.mse_by_key(whole, fo.VOTE_SCALE["reg"], unit)
+    """``(k, <metric>)`` over the rows that have features and a label."""
+    score = "scores" if cfg.task == fo.CLASSES else "score"
+    whole = votes.filter(F.col(score).isNotNull() & F.col("y").isNotNull())
+    return METRICS[cfg.task][metric_of(cfg)][1](whole, unit)
 
 
 def best_key(scores: DataFrame, cfg: ForestConfig) -> DataFrame:
-    return me.select_best(scores, "auc" if cfg.task == "clf" else "mse", larger_is_better=cfg.task == "clf")
+    name = metric_of(cfg)
+    return me.select_best(scores, name, larger_is_better=METRICS[cfg.task][name][0])
 
 
 @dataclass
@@ -171,11 +228,11 @@ class ForestModel:
 
     def _y(self) -> Column:
         y = F.col(self.label)
-        return y.cast("long") if self.cfg.task == "clf" else F.round(y.cast("double") * F.lit(self.unit)).cast("long")
+        return y.cast("long") if self.cfg.task != "reg" else F.round(y.cast("double") * F.lit(self.unit)).cast("long")
 
     def evaluate(self, rows: DataFrame) -> DataFrame:
-        """``(k, auc)`` or ``(k, mse)`` of every grid key on ``rows``; the best key is kept for :meth:`predict`."""
-        votes = fo.forest_votes(self._x(rows).select("x", self._y().alias("y")), self.nodes, self.cfg.depth)
+        """``(k, <metric>)`` of every grid key on ``rows``; the best key is kept for :meth:`predict`."""
+        votes = scored(self._x(rows).select("x", self._y().alias("y")), self.nodes, self.cfg, self.unit)
         scores = materialize(key_scores(votes, self.cfg, self.unit), "forest-scores")
         first = best_key(scores, self.cfg).first()
         self.best = first["k"] if first else None
@@ -196,6 +253,8 @@ class ForestModel:
             known = F.col("score").isNotNull()
             probability = F.when(known, F.array(F.lit(1.0) - F.col("prob"), F.col("prob")))
             return out.select("_row.*", F.when(known, F.col("prediction")).alias("prediction"), probability.alias("probability"))
+        if self.cfg.task == fo.CLASSES:
+            return out.select("_row.*", "prediction", "probability")
         return out.select("_row.*", "prediction")
 
     def save(self, path: str) -> str:

@@ -95,7 +95,7 @@ def forest_by_key(spark, sf_dir):
 def score_all_models(spark, sf_dir):
     train, test = pf.feature_rows(spark, sf_dir, CLF)
     nodes = pf.fit_forest(train, CLF)
-    return fo.route_to_leaves(test, nodes, CLF.depth).select("rid", "k", "tree", "node", "vote")
+    return fo.route_to_leaves(test, nodes).select("rid", "k", "tree", "node", "vote")
 
 
 def forest_vote(spark, sf_dir):

@@ -80,8 +80,7 @@ def local_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     rows = list(rows)
     fields = schema.fields
     if not rows:
-        empty = F.array().cast(T.ArrayType(schema))
-        return spark.range(1).select(F.inline(empty))
+        return spark.createDataFrame([], schema)
     structs = [
         F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
         for row in rows

@@ -9,21 +9,18 @@ from pyspark.sql import functions as F
 
 from sylvan.functions import params as P
 from sylvan.functions.hashing import uniform
-from sylvan.operators import forest as fo
+from sylvan.operators import growth
 from sylvan.operators import metrics as me
 from sylvan.operators import sampling as sa
 
-STATE_SCHEMA = "k string, tree int, min_leaf int, max_depth int, mask array<int>, x array<double>, y long"
+def _rows(spark, rows, drawn=(0,)):
+    return spark.createDataFrame([([float(v) for v in x], int(y), list(drawn)) for x, y in rows],
+                                 "x array<double>, y long, drawn array<int>")
 
 
-def _state(spark, rows, min_leaf=1, max_depth=1, mask=(0, 1)):
-    data = [("k", 1, min_leaf, max_depth, list(mask), [float(v) for v in x], int(y)) for x, y in rows]
-    return spark.createDataFrame(data, STATE_SCHEMA)
-
-
-def _grow(spark, rows, task="clf", **kw):
-    depth = kw.get("max_depth", 1)
-    nodes = fo.grow_forest(_state(spark, rows, **kw), task, depth, cut_lineage=False)
+def _grow(spark, rows, task="clf", min_leaf=1, max_depth=1, mask=(0, 1), n_classes=0, **kw):
+    trees = [growth.Tree("k", 1, min_leaf, max_depth, tuple(mask))]
+    nodes = growth.grow(_rows(spark, rows), trees, 2, task, n_classes, **kw)
     return {r["node"]: r for r in nodes.collect()}
 
 
@@ -182,14 +179,10 @@ def test_binned_forest_matches_exact_when_bins_separate_all_values(spark):
     from sylvan.operators import binning
 
     rows = [([i % 10, (i * 7) % 13], int((i * 31) % 17 < 6 or i % 10 > 6)) for i in range(1300)]
-    state = _state(spark, rows, min_leaf=20, max_depth=3)
-    exact = {r["node"]: r for r in fo.grow_forest(state, "clf", 3, cut_lineage=False).collect()}
-    edges = binning.quantile_edges(state, 2, 64)
+    exact = _grow(spark, rows, min_leaf=20, max_depth=3)
+    edges = binning.quantile_edges(_rows(spark, rows), 2, 64)
     assert edges == [[float(v) for v in range(10)], [float(v) for v in range(13)]]
-    binned_state = binning.binned(state, edges)
-    nodes = fo.grow_forest(binned_state, "clf", 3, cut_lineage=False,
-                           threshold=binning.edge_threshold(edges)).collect()
-    binned = {r["node"]: r for r in nodes}
+    binned = _grow(spark, rows, min_leaf=20, max_depth=3, edges=edges, threshold=binning.edge_threshold(edges))
     assert set(binned) == set(exact)
     for node, r in exact.items():
         b = binned[node]

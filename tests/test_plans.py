@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sylvan.operators import forest as fo
+from sylvan.operators import growth
+from sylvan.operators import sampling as sa
 from sylvan.plans import forest as pf
 from sylvan.plans import registry
 from sylvan.plans.forest_queries import forest_queries
@@ -74,31 +76,35 @@ def test_single_partition_only_after_aggregation(spark, name):
                                  "GlobalLimit", "LocalLimit")), (name, child)
 
 
-def _forest_parts(spark):
-    """Plans of the forest stages before anything is written."""
+def test_row_draws_and_split_search_run_no_python_and_aggregate_before_the_shuffle(spark):
     cfg = pf.ForestConfig(n_trees=2)
     rows = pf.labelled_rows(spark, SF_SMALL, cfg)
-    sampled = pf.sample_for_trees(rows.filter("is_train").withColumn("x", F.array(*[F.col(c) for c in pf.NUMERIC])), cfg, len(pf.NUMERIC))
-    nodes = fo.grow_forest(sampled, "clf", cfg.depth, cut_lineage=False)
-    return {"sample": sampled, "grow": nodes, "level": fo.best_splits(fo.histogram(sampled.withColumn("node", F.lit(1))), 0, "clf")}
+    train = rows.filter("is_train").withColumn("x", F.array(*[F.col(c) for c in pf.NUMERIC]))
+    sampled = pf.sample_for_trees(train, cfg, len(pf.NUMERIC))
+    drawn = sa.drawn_trees(train, pf.grid_trees(cfg, len(pf.NUMERIC)), 0.3, "42")
+    level = fo.best_splits(fo.histogram(sampled.withColumn("node", F.lit(1))), 0, "clf")
+    for df in (sampled, drawn, level):
+        assert not any(node in _plan(df) for node in PYTHON_NODES)
+    assert "partial_count" in _plan(level) and "ArrayContains" not in _plan(level)
+    assert "Exchange" not in _plan(drawn) and "Generate" not in _plan(drawn)
 
 
-def test_forest_stages_run_no_python_and_aggregate_before_the_shuffle(spark):
-    for name, df in _forest_parts(spark).items():
-        plan = _plan(df)
-        assert not any(node in plan for node in PYTHON_NODES), name
-    level = _plan(_forest_parts(spark)["level"])
-    assert "partial_count" in level and "ArrayContains" not in level
+def test_a_level_is_one_scan_with_one_shuffle_of_partial_cells(spark):
+    trees = [growth.Tree("k", 1, 1, 3, (0,)), growth.Tree("k", 2, 1, 3, (0,))]
+    rows = spark.createDataFrame([([1.0], 1, [0, 1])], "x array<double>, y long, drawn array<int>")
+    plan = _plan(growth.level_cells(rows, trees, 1, growth.Splits(trees, 1), 0, None, None, []))
+    assert plan.count("Exchange") == 1 and plan.count("MapInArrow") == 1 and "Join" not in plan
+    assert "partial_sum" in plan and "Generate" not in plan
 
 
-def test_scoring_is_one_join_without_explode_or_grouping_of_rows(spark):
+def test_scoring_has_no_join_shuffle_or_grouping_of_rows(spark):
     nodes = spark.createDataFrame(
         [("k", 1, 1, 0, 4, 2, 0, 0.5, False, 0), ("k", 1, 2, 1, 2, 0, None, None, True, 0), ("k", 1, 3, 1, 2, 2, None, None, True, 1_000_000_000)],
         "k string, tree int, node int, depth int, n long, s long, f int, thr double, is_leaf boolean, vote long")
     rows = spark.createDataFrame([("a", [0.0]), ("a", [0.0]), ("b", [1.0]), ("c", None)], "rid string, x array<double>")
-    votes = fo.clf_outputs(fo.forest_votes(rows, nodes, 1))
+    votes = fo.clf_outputs(fo.forest_votes(rows, nodes))
     plan = _plan(votes)
-    assert plan.count("Join") == 1 and "Generate" not in plan
+    assert "Join" not in plan and "Exchange" not in plan and "Aggregate" not in plan
     got = sorted((r["rid"], r["score"]) for r in votes.collect() if r["rid"] != "c")
     assert got == [("a", 0), ("a", 0), ("b", 1_000_000_000)]
     assert [r["score"] for r in votes.collect() if r["rid"] == "c"] == [None]
