@@ -99,19 +99,22 @@ def drawn_trees(rows: DataFrame, trees: list[Tree], p: float, seed: str) -> Data
     One row stays one row.  The hashes are computed once per row, four trees to a hash.
     """
     th = below_threshold_hex(p)
-    blocks = sorted({(t.k, (t.tree - 1) // SLICES_PER_HASH) for t in trees})
-    place = {b: i for i, b in enumerate(blocks)}
-    hashed = rows.withColumn("_h", F.array(*[F.md5(hash_key("row", seed, F.col("rid"), F.lit(k), b)) for k, b in blocks]))
-
-    def one(number: int, t: Tree):
-        if th is None:
-            return F.lit(number)
-        own = F.get("_h", F.lit(place[t.k, (t.tree - 1) // SLICES_PER_HASH]))
-        at = (t.tree - 1) % SLICES_PER_HASH * 8 + 1
-        return F.when(F.substring(own, at, 8) < F.lit(th), F.lit(number))
-
-    drawn = F.array_compact(F.array(*[one(i, t) for i, t in enumerate(trees)]))
-    return hashed.withColumn("drawn", drawn).drop("_h").filter(F.size("drawn") > 0)
+    blocks: dict[tuple, list] = {}
+    for number, t in enumerate(trees):
+        block, piece = divmod(t.tree - 1, SLICES_PER_HASH)
+        blocks.setdefault((t.k, block), []).append(F.struct(F.lit(number).alias("number"), F.lit(8 * piece + 1).alias("at")))
+    members = F.array(*[F.array(*of_block) for of_block in blocks.values()])
+    # Each hash stands once in the expression: the optimizer may move the whole of it, but has nothing to repeat.
+    hashes = F.array(*[F.md5(hash_key("row", seed, F.col("rid"), F.lit(k), b)) for k, b in blocks])
+
+    def of_block(h, i):
+        of = F.get(members, i)
+        if th is not None:
+            of = F.filter(of, lambda m: F.substr(h, m["at"], F.lit(8)) < F.lit(th))
+        return F.transform(of, lambda m: m["number"])
+
+    drawn = F.array_sort(F.flatten(F.transform(hashes, of_block)))
+    return rows.withColumn("drawn", drawn).filter(F.size("drawn") > 0)
 
 
 def tree_sample(rows: DataFrame, trees: DataFrame, p: float, seed: str) -> DataFrame:

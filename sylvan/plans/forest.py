@@ -10,7 +10,7 @@ reaches the driver.
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -222,12 +222,16 @@ class ForestModel:
     nodes: DataFrame
     best: str | None = None
     unit: float = 100.0
+    #: Label values by class number (task "multi").
+    classes: list = field(default_factory=list)
 
     def _x(self, rows: DataFrame) -> DataFrame:
         return with_features(rows, self.numeric, self.labels, "x")
 
     def _y(self) -> Column:
         y = F.col(self.label)
+        if self.cfg.task == fo.CLASSES:  # null for a label that was not learned
+            return F.nullif(F.array_position(F.array(*[F.lit(c) for c in self.classes]), y), F.lit(0).cast("long")) - 1
         return y.cast("long") if self.cfg.task != "reg" else F.round(y.cast("double") * F.lit(self.unit)).cast("long")
 
     def evaluate(self, rows: DataFrame) -> DataFrame:
@@ -254,7 +258,8 @@ class ForestModel:
             probability = F.when(known, F.array(F.lit(1.0) - F.col("prob"), F.col("prob")))
             return out.select("_row.*", F.when(known, F.col("prediction")).alias("prediction"), probability.alias("probability"))
         if self.cfg.task == fo.CLASSES:
-            return out.select("_row.*", "prediction", "probability")
+            value = F.get(F.array(*[F.lit(c) for c in self.classes]), F.col("prediction").cast("int"))
+            return out.select("_row.*", value.alias("prediction"), "probability")
         return out.select("_row.*", "prediction")
 
     def save(self, path: str) -> str:
@@ -263,7 +268,7 @@ class ForestModel:
         for i, table in enumerate(self.labels.values()):
             save_forest_table(table, f"{path}/labels-{i}")
         told = json.dumps({"cfg": asdict(self.cfg), "numeric": self.numeric, "to_index": list(self.labels),
-                           "label": self.label, "best": self.best, "unit": self.unit})
+                           "label": self.label, "best": self.best, "unit": self.unit, "classes": self.classes})
         self.nodes.sparkSession.range(1).select(F.lit(told).alias("model")).write.mode("overwrite").parquet(f"{path}/model")
         return path
 
@@ -272,7 +277,7 @@ class ForestModel:
         told = json.loads(load_forest_table(spark, f"{path}/model").first()["model"])
         labels = {c: load_forest_table(spark, f"{path}/labels-{i}") for i, c in enumerate(told["to_index"])}
         return cls(ForestConfig(**told["cfg"]), told["numeric"], told["label"], labels, load_forest_table(spark, f"{path}/nodes"),
-                   told["best"], told["unit"])
+                   told["best"], told["unit"], told["classes"])
 
 
 def fit(train: DataFrame, numeric: list[str], label: str, cfg: ForestConfig, to_index: list[str] = (),
@@ -280,7 +285,9 @@ def fit(train: DataFrame, numeric: list[str], label: str, cfg: ForestConfig, to_
     """Fit the grid on any table.
 
     ``numeric`` and ``to_index`` name the feature columns, ``label`` a 0/1
-    column or, for regression, any number (kept to ``1 / unit``).  ``row_id``
+    column, for regression any number (kept to ``1 / unit``), or for task "multi" a
+    column whose values are the classes, numbered by frequency, ties by value (at most
+    ``feat.LOCAL_LABELS``).  ``row_id``
     names the column whose hash draws the rows of each tree; by default a hash of
     the whole row, so equal rows are drawn together.  Rows with a null feature or
     label are not learned from.
@@ -288,7 +295,13 @@ def fit(train: DataFrame, numeric: list[str], label: str, cfg: ForestConfig, to_
     rows = train if row_id is None else train.withColumn("rid", F.col(row_id).cast("string"))
     if row_id is None:
         rows = train.withColumn("rid", F.md5(F.to_json(F.struct(*train.columns))))
-    model = ForestModel(cfg, list(numeric), label, label_tables(train, list(to_index)), None, None, unit)
+    classes = []
+    if cfg.task == fo.CLASSES:
+        classes = [r["value"] for r in feat.string_index_table(train, label).orderBy("idx").limit(feat.LOCAL_LABELS + 1).collect()]
+        if not 2 <= len(classes) <= feat.LOCAL_LABELS:
+            raise ValueError(f"{label} has {len(classes)} classes; a forest takes 2 to {feat.LOCAL_LABELS}")
+        cfg = replace(cfg, n_classes=len(classes))
+    model = ForestModel(cfg, list(numeric), label, label_tables(train, list(to_index)), None, None, unit, classes)
     ready = materialize(model._x(rows).select("rid", "x", model._y().alias("y")), "forest-rows")
     model.nodes = fit_forest(ready, cfg, len(numeric) + len(to_index))
     return model

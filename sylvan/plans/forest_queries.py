@@ -18,6 +18,9 @@ from sylvan.sources import read_table
 
 CLF = pf.ForestConfig()
 REG = pf.ForestConfig(task="reg", max_rows=None)
+MULTI = pf.ForestConfig(task="multi", n_classes=3)
+# The grid of the workload: 4 points x 100 trees, depth 5 and 10, up to 500,000 rows a tree.
+DEEP = pf.ForestConfig(grid={"min_samples_leaf": [20, 200], "max_depth": [5, 10]}, n_trees=100, max_rows=500_000, max_bins=64)
 
 def _fit(spark: SparkSession, sf_dir: str, cfg: pf.ForestConfig) -> pf.GridResult:
     return pf.run_grid(spark, sf_dir, cfg)
@@ -119,15 +122,35 @@ def grid_select_clf(spark, sf_dir):
     return preds.select("rid", "k", F.col("x").alias("features"), "y", "prediction", "probability")
 
 
-def _fitted_model(spark, sf_dir):
+def grid_select_deep(spark, sf_dir):
+    """Predictions of the best forest of the workload's whole grid."""
+    preds = pf.best_predictions(_fit(spark, sf_dir, DEEP), "clf")
+    return preds.select("rid", "k", "y", "prediction", "probability")
+
+
+def _fitted_model(spark, sf_dir, cfg=CLF, label="y"):
     """Forest model of the lineitem training rows, evaluated on the test rows; and these rows."""
-    rows = pf.lineitem_rows(read_table(spark, sf_dir, "lineitem"), CLF)
-    model = pf.fit(rows.filter("is_train"), pf.NUMERIC, "y", CLF, pf.TO_INDEX, row_id="rid")
+    rows = pf.lineitem_rows(read_table(spark, sf_dir, "lineitem"), cfg)
+    model = pf.fit(rows.filter("is_train"), pf.NUMERIC, label, cfg, pf.TO_INDEX, row_id="rid")
     test = rows.filter("not is_train")
     model.evaluate(test)
     return model, test
 
 
+def forest_vote_multi(spark, sf_dir):
+    """Class vectors of every grid key's forest for the three values of ``l_returnflag``, and the likeliest."""
+    model, test = _fitted_model(spark, sf_dir, MULTI, "l_returnflag")
+    votes = pf.scored(model._x(test).select("rid", "x"), model.nodes, model.cfg)
+    value = F.get(F.array(*[F.lit(c) for c in model.classes]), F.col("prediction").cast("int"))
+    return votes.filter("scores is not null").select("rid", "k", "n_trees", "probability", value.alias("prediction"))
+
+
+def accuracy_multi(spark, sf_dir):
+    """Accuracy of every grid key's forest over three classes."""
+    model, test = _fitted_model(spark, sf_dir, MULTI, "l_returnflag")
+    return model.evaluate(test)
+
+
 def append_prediction(spark, sf_dir):
     """All lineitem columns of the test rows, plus prediction and probability of the best forest."""
     model, _ = _fitted_model(spark, sf_dir)
@@ -180,6 +203,9 @@ def forest_queries() -> dict:
         "auc_swapped_by_key": auc_swapped_by_key,
         "select_best": select_best,
         "grid_select_clf": grid_select_clf,
+        "grid_select_deep": grid_select_deep,
+        "forest_vote_multi": forest_vote_multi,
+        "accuracy_multi": accuracy_multi,
         "append_prediction": append_prediction,
         "mse_by_key": mse_by_key,
         "grid_select_reg": grid_select_reg,
@@ -228,6 +254,10 @@ FROM (SELECT k,
         "append_prediction": forest_sql(
             CLF, f"""SELECT l.*, {RID_EXPR} AS rid, s.prediction, {prob_arr}
 FROM lineitem l JOIN (SELECT scored.* FROM scored JOIN best USING (k)) s ON s.rid = {RID_EXPR}"""),
+        "forest_vote_multi": forest_sql(
+            MULTI, "SELECT s.rid, s.k, s.n_trees, s.probability, c.flag AS prediction "
+                   "FROM scored s JOIN cls c ON c.number = s.number"),
+        "accuracy_multi": forest_sql(MULTI, "SELECT k, accuracy FROM accuracy"),
         "mse_by_key": forest_sql(REG, "SELECT k, mse FROM mse"),
         "grid_select_reg": forest_sql(
             REG, f"SELECT v.rid, v.k, v.y / 100.0::DOUBLE AS y, "

@@ -9,7 +9,7 @@ from sylvan.functions.hashing import sql_uniform
 from sylvan.functions import params as P
 from sylvan.plans.basic import RID_SQL
 from sylvan.plans.forest import N_FEATURES, ForestConfig
-from sylvan.operators.forest import VOTE_SCALE
+from sylvan.operators.forest import CLASSES, VOTE_SCALE, stat_columns
 
 XS = [f"x{i}" for i in range(N_FEATURES)]
 
@@ -19,8 +19,10 @@ def _x_of(f: str, alias: str) -> str:
     return f"(CASE {f} {arms} END)"
 
 
-def _open(task: str, depth, n: str, s: str, prefix: str = "") -> str:
-    pure = f" AND NOT ({s} = 0 OR {s} = {n})" if task == "clf" else ""
+def _open(cfg: ForestConfig, depth, n: str, sums: list[str], prefix: str = "") -> str:
+    pure = f" AND NOT ({sums[0]} = 0 OR {sums[0]} = {n})" if cfg.task == "clf" else ""
+    if cfg.task == CLASSES:
+        pure = " AND NOT (" + " OR ".join(f"{s} = {n}" for s in sums) + ")"
     return f"({depth} < {prefix}max_depth AND {n} >= 2 * {prefix}min_leaf{pure})"
 
 
@@ -36,7 +38,13 @@ def _rate(cfg: ForestConfig) -> str:
 
 def base_ctes(cfg: ForestConfig) -> list[str]:
     seed = cfg.seed
-    if cfg.task == "clf":
+    y_of_feat, classes, class_join = "b.y", [], ""
+    if cfg.task == CLASSES:
+        y = "l_returnflag"
+        y_of_feat, class_join = "c.number AS y", " JOIN cls c ON c.flag = b.y"
+        classes = ["""cls AS (SELECT flag, row_number() OVER (ORDER BY n DESC, flag) - 1 AS number
+  FROM (SELECT y AS flag, count(*) AS n FROM base WHERE is_train GROUP BY y))"""]
+    elif cfg.task == "clf":
         y = "CAST(l_returnflag = 'R' AS BIGINT)"
     else:
         y = "CAST(round(l_extendedprice * 100.0::DOUBLE) AS BIGINT)"
@@ -63,7 +71,9 @@ def base_ctes(cfg: ForestConfig) -> list[str]:
         """sidx AS (
   SELECT s4, CAST(row_number() OVER (ORDER BY cnt DESC, s4) - 1 AS DOUBLE) AS x4
   FROM (SELECT s4, count(*) AS cnt FROM base WHERE is_train GROUP BY s4))""",
-        "feat AS (SELECT b.rid, b.y, b.is_train, b.x0, b.x1, b.x2, b.x3, sidx.x4 FROM base b JOIN sidx ON b.s4 = sidx.s4)",
+        *classes,
+        f"feat AS (SELECT b.rid, {y_of_feat}, b.is_train, b.x0, b.x1, b.x2, b.x3, sidx.x4 "
+        f"FROM base b JOIN sidx ON b.s4 = sidx.s4{class_join})",
         "train AS (SELECT * FROM feat WHERE is_train)",
         "test AS (SELECT * FROM feat WHERE NOT is_train)",
         f"""prate AS (
@@ -85,32 +95,39 @@ def base_ctes(cfg: ForestConfig) -> list[str]:
 
 
 def level_ctes(cfg: ForestConfig) -> list[str]:
-    task = cfg.task
     xs = ", ".join(f"r.{x}" for x in XS)
+    stats = stat_columns(cfg.n_classes)
+    counted = ", ".join(f"CAST(sum(CAST(r.y = {c} AS INTEGER)) AS BIGINT) AS {s}" if cfg.n_classes else f"CAST(sum(r.y) AS BIGINT) AS {s}"
+                        for c, s in enumerate(stats))
+    windowed = ", ".join(f"CAST(sum({s}) OVER wr AS BIGINT) AS {s}_l, CAST(sum({s}) OVER wf AS BIGINT) AS {s}_t" for s in stats)
+    sides = ", ".join(f"{s}_l, {s}_t - {s}_l AS {s}_r" for s in stats)
+    left, right, total = ([f"{s}_{side}" for s in stats] for side in "lrt")
+
+    def squares(of: list[str]) -> str:
+        return "(" + " + ".join(f"CAST({s} AS DOUBLE) * CAST({s} AS DOUBLE)" for s in of) + ")"
+
     out = [f"s0 AS (SELECT k, tree, min_leaf, max_depth, rid, y, {', '.join(XS)}, 1 AS node FROM sampled)"]
     for d in range(cfg.depth):
         out.append(f"""h{d} AS (
   SELECT r.k, r.tree, r.node, r.min_leaf, r.max_depth, m.f, {_x_of('m.f', 'r')} AS v,
-    count(*) AS n, CAST(sum(r.y) AS BIGINT) AS s
+    count(*) AS n, {counted}
   FROM s{d} r JOIN mask m ON m.k = r.k AND m.tree = r.tree
   GROUP BY r.k, r.tree, r.node, r.min_leaf, r.max_depth, m.f, v)""")
         out.append(f"""c{d} AS (
   SELECT *,
-    CAST(sum(n) OVER wr AS BIGINT) AS nl, CAST(sum(s) OVER wr AS BIGINT) AS sl,
-    CAST(sum(n) OVER wf AS BIGINT) AS nt, CAST(sum(s) OVER wf AS BIGINT) AS st,
+    CAST(sum(n) OVER wr AS BIGINT) AS nl, CAST(sum(n) OVER wf AS BIGINT) AS nt, {windowed},
     lead(v) OVER (PARTITION BY k, tree, node, f ORDER BY v) AS v_next
   FROM h{d}
   WINDOW wf AS (PARTITION BY k, tree, node, f),
          wr AS (PARTITION BY k, tree, node, f ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""")
         out.append(f"""b{d} AS (
-  SELECT k, tree, node, min_leaf, max_depth, f, thr, nl, sl, nr, sr,
-    {_open(task, d + 1, 'nl', 'sl')} AS open_left, {_open(task, d + 1, 'nr', 'sr')} AS open_right
+  SELECT k, tree, node, min_leaf, max_depth, f, thr, nl, nr, {', '.join(left + right)},
+    {_open(cfg, d + 1, 'nl', left)} AS open_left, {_open(cfg, d + 1, 'nr', right)} AS open_right
   FROM (
-    SELECT *, (v + v_next) / 2.0::DOUBLE AS thr, nt - nl AS nr, st - sl AS sr,
-      CAST(sl AS DOUBLE) * CAST(sl AS DOUBLE) / nl
-        + CAST(st - sl AS DOUBLE) * CAST(st - sl AS DOUBLE) / (nt - nl) AS score
-    FROM c{d}
-    WHERE v_next IS NOT NULL AND nl >= min_leaf AND nt - nl >= min_leaf AND {_open(task, d, 'nt', 'st')}
+    SELECT *, {squares(left)} / nl + {squares(right)} / nr AS score
+    FROM (SELECT k, tree, node, min_leaf, max_depth, f, v_next, nl, nt, nt - nl AS nr, {sides}, {', '.join(total)},
+            (v + v_next) / 2.0::DOUBLE AS thr FROM c{d})
+    WHERE v_next IS NOT NULL AND nl >= min_leaf AND nr >= min_leaf AND {_open(cfg, d, 'nt', total)}
   )
   QUALIFY row_number() OVER (PARTITION BY k, tree, node ORDER BY score DESC, f, thr) = 1)""")
         if d + 1 < cfg.depth:
@@ -120,22 +137,28 @@ def level_ctes(cfg: ForestConfig) -> list[str]:
     2 * r.node + CAST({xf} > b.thr AS INTEGER) AS node
   FROM s{d} r JOIN b{d} b ON b.k = r.k AND b.tree = r.tree AND b.node = r.node
   WHERE CASE WHEN {xf} > b.thr THEN b.open_right ELSE b.open_left END)""")
-    born = ["SELECT k, tree, node, 0 AS depth, n, s FROM tot0"]
+
+    def named(side: str) -> str:
+        return ", ".join(f"{s}_{side} AS {s}" for s in stats)
+
+    born = [f"SELECT k, tree, node, 0 AS depth, n, {', '.join(stats)} FROM tot0"]
     splits = []
     for d in range(cfg.depth):
-        born.append(f"SELECT k, tree, 2 * node AS node, {d + 1} AS depth, nl AS n, sl AS s FROM b{d}")
-        born.append(f"SELECT k, tree, 2 * node + 1 AS node, {d + 1} AS depth, nr AS n, sr AS s FROM b{d}")
+        born.append(f"SELECT k, tree, 2 * node AS node, {d + 1} AS depth, nl AS n, {named('l')} FROM b{d}")
+        born.append(f"SELECT k, tree, 2 * node + 1 AS node, {d + 1} AS depth, nr AS n, {named('r')} FROM b{d}")
         splits.append(f"SELECT k, tree, node, f, thr FROM b{d}")
-    scale = _dbl(VOTE_SCALE[task])
+    scale = _dbl(VOTE_SCALE[cfg.task])
+    votes = ", ".join(f"CAST(floor(CAST(b.{s} AS DOUBLE) * {scale} / b.n + 0.5::DOUBLE) AS BIGINT) AS vote{s[1:]}" for s in stats)
     out += [
-        """tot0 AS (SELECT k, tree, node, max(n) AS n, max(s) AS s FROM (
-  SELECT k, tree, node, f, CAST(sum(n) AS BIGINT) AS n, CAST(sum(s) AS BIGINT) AS s FROM h0 GROUP BY k, tree, node, f
+        f"""tot0 AS (SELECT k, tree, node, max(n) AS n, {', '.join(f'max({s}) AS {s}' for s in stats)} FROM (
+  SELECT k, tree, node, f, CAST(sum(n) AS BIGINT) AS n, {', '.join(f'CAST(sum({s}) AS BIGINT) AS {s}' for s in stats)}
+  FROM h0 GROUP BY k, tree, node, f
 ) GROUP BY k, tree, node)""",
         "born AS (" + "\n  UNION ALL ".join(born) + ")",
         "splits AS (" + "\n  UNION ALL ".join(splits) + ")",
         f"""nodes AS (
-  SELECT b.k, b.tree, b.node, b.depth, b.n, b.s, sp.f, sp.thr, sp.f IS NULL AS is_leaf,
-    CAST(floor(CAST(b.s AS DOUBLE) * {scale} / b.n + 0.5::DOUBLE) AS BIGINT) AS vote
+  SELECT b.k, b.tree, b.node, b.depth, b.n, {', '.join(f'b.{s}' for s in stats)}, sp.f, sp.thr, sp.f IS NULL AS is_leaf,
+    {votes}
   FROM born b LEFT JOIN splits sp ON sp.k = b.k AND sp.tree = b.tree AND sp.node = b.node)""",
     ]
     return out
@@ -153,14 +176,25 @@ def scoring_ctes(cfg: ForestConfig) -> list[str]:
   FROM rt{d} r LEFT JOIN (SELECT * FROM nodes WHERE depth = {d} AND NOT is_leaf) nd
     ON nd.k = r.k AND nd.tree = r.tree AND nd.node = r.node)""")
     out.append(f"""leafs AS (
-  SELECT r.rid, r.y, r.k, r.tree, r.node, nd.vote FROM rt{cfg.depth} r
+  SELECT r.rid, r.y, r.k, r.tree, r.node, {', '.join('nd.vote' + c[1:] for c in stat_columns(cfg.n_classes))} FROM rt{cfg.depth} r
   JOIN nodes nd ON nd.k = r.k AND nd.tree = r.tree AND nd.node = r.node WHERE nd.is_leaf)""")
-    out.append("""votes AS (
-  SELECT rid, y, k, CAST(sum(vote) AS BIGINT) AS score, count(*) AS n_trees FROM leafs GROUP BY rid, y, k)""")
+    score = "CAST(sum(vote) AS BIGINT) AS score"
+    if cfg.n_classes:
+        score = "[" + ", ".join(f"CAST(sum(vote{c}) AS BIGINT)" for c in range(cfg.n_classes)) + "] AS scores"
+    out.append(f"""votes AS (
+  SELECT rid, y, k, {score}, count(*) AS n_trees FROM leafs GROUP BY rid, y, k)""")
     return out
 
 
 def metric_ctes(cfg: ForestConfig) -> list[str]:
+    if cfg.task == CLASSES:
+        total = f"(CAST(n_trees AS DOUBLE) * {_dbl(VOTE_SCALE[CLASSES])})"
+        return [
+            f"""scored AS (SELECT *, list_transform(scores, lambda s: CAST(s AS DOUBLE) / {total}) AS probability,
+  list_position(scores, list_max(scores)) - 1 AS number FROM votes)""",
+            "accuracy AS (SELECT k, CAST(sum(CAST(number = y AS INTEGER)) AS DOUBLE) / count(*) AS accuracy FROM scored GROUP BY k)",
+            "best AS (SELECT k, accuracy FROM accuracy ORDER BY accuracy DESC NULLS LAST, k LIMIT 1)",
+        ]
     if cfg.task == "clf":
         total = f"(CAST(n_trees AS DOUBLE) * {_dbl(VOTE_SCALE['clf'])})"
         return [
