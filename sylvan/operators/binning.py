@@ -1,11 +1,11 @@
-"""Quantile binning of features, for forests over high-cardinality features.
+"""Quantile cut points of features, for forests over features with many distinct values.
 
 Exact histograms have one cell per distinct feature value; with continuous
 features at scale that grows with the data.  With ``max_bins`` set, each
-feature is cut at approximate quantiles (one ``percentile_approx`` pass,
-whose result is ``features x bins`` numbers), rows carry bin indices, and a
-split after bin ``b`` means ``x <= edges[b]`` on raw values.  Bin indices come
-from a balanced ``CASE`` expression (binary search, codegen), not a UDF.
+feature is cut at approximate quantiles: one quantile sketch per feature, built
+per task and merged, whose result is ``features x bins`` numbers.  Rows keep their raw
+values; the scan of a level finds bins by binary search in the sorted edges, and a
+split after bin ``b`` means ``x <= edges[b]``.
 """
 
 from __future__ import annotations
@@ -35,18 +35,3 @@ def bin_index(x: Column, edges: list[float]) -> Column:
         mid = (lo + hi) // 2
         return F.when(x > F.lit(float(edges[mid])), build(mid + 1, hi)).otherwise(build(lo, mid))
     return build(0, len(edges))
-
-
-def binned(rows: DataFrame, edges: list[list[float]], x: str = "x") -> DataFrame:
-    """Replace the feature array by bin indices (as doubles)."""
-    cols = [bin_index(F.element_at(x, f + 1), e).cast("double") for f, e in enumerate(edges)]
-    return rows.withColumn(x, F.array(*cols))
-
-
-def edge_threshold(edges: list[list[float]]):
-    """Threshold function for :func:`sylvan.operators.forest.grow_forest`: bin ``v`` -> ``edges[f][v]``."""
-    table = F.array(*[F.array(*[F.lit(float(e)) for e in (es or [0.0])]) for es in edges])
-
-    def threshold(f: Column, v: Column, v_next: Column) -> Column:
-        return F.element_at(F.element_at(table, f + F.lit(1)), v.cast("int") + F.lit(1))
-    return threshold

@@ -60,11 +60,7 @@ def histogram(state: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"))
 
 
-def midpoint_threshold(f: Column, v: Column, v_next: Column) -> Column:
-    return (v + v_next) / F.lit(2.0)
-
-
-def best_splits(hist: DataFrame, depth: int, task: str, threshold=midpoint_threshold,
+def best_splits(hist: DataFrame, depth: int, task: str,
                 keys: list[str] = ("k", "tree"), stats: list[str] = ("s",)) -> DataFrame:
     """One row per node of the histogram: its totals and, if it has one, its best valid split.
 
@@ -73,8 +69,8 @@ def best_splits(hist: DataFrame, depth: int, task: str, threshold=midpoint_thres
     and both sides (``_t``, ``_l``, ``_r``); the split columns are null when the node
     is closed or no split leaves ``min_samples_leaf`` rows on both sides.
     ``split_v`` is the largest histogram value sent left (rows of the node go
-    right iff their histogram value is above it); ``thr`` is the threshold on
-    raw feature values, by default the midpoint to the next value.  Totals
+    right iff their histogram value is above it); ``thr`` is the midpoint to the
+    next value.  Totals
     and the best split come out of the same window pass.
     """
     node = [*keys, "node"]
@@ -105,7 +101,7 @@ def best_splits(hist: DataFrame, depth: int, task: str, threshold=midpoint_thres
     cand = c.select(
         *node, "min_leaf", "max_depth", "nt", "f", "nl", "nr", *sums("l"), *sums("r"), *sums("t"),
         valid.alias("valid"), F.col("v").alias("split_v"),
-        F.when(valid, threshold(F.col("f"), F.col("v"), F.col("v_next"))).alias("thr"),
+        F.when(valid, (F.col("v") + F.col("v_next")) / F.lit(2.0)).alias("thr"),
         F.when(valid, squares("l") / F.col("nl") + squares("r") / F.col("nr")).alias("score"),
     )
     w_node = Window.partitionBy(*node).orderBy(

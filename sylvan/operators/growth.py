@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.operators.forest import CLASSES, VOTE_SCALE, best_splits, midpoint_threshold, stat_columns
+from sylvan.operators.forest import CLASSES, VOTE_SCALE, best_splits, stat_columns
 from sylvan.session import drop_path, materialize_at
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
@@ -196,19 +196,19 @@ def level_cells(rows: DataFrame, trees: list[Tree], n_features: int, splits: Spl
     summed = cells.groupBy("t", "node", "f", "v").agg(*[F.sum(s).alias(s) for s in stats]).filter("n > 0")
 
     def of_tree(values: list[int]):
-        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("t") + 1)
+        return F.expr(f"array({', '.join(map(str, values))})[t]")
 
     return summed.withColumns({"min_leaf": of_tree([s.min_leaf for s in trees]), "max_depth": of_tree([s.max_depth for s in trees])})
 
 
 def grow(rows: DataFrame, trees: list[Tree], n_features: int, task: str, n_classes: int = 0,
-         edges: list[list[float]] | None = None, threshold=midpoint_threshold) -> DataFrame:
+         edges: list[list[float]] | None = None) -> DataFrame:
     """Grow every tree to its own depth; returns the node table.
 
     ``rows`` has ``x`` (array of ``n_features`` doubles), ``y`` (long; the class's
     number for ``multi``) and ``drawn`` (numbers into ``trees``), none null.  With
-    ``edges`` a feature's histogram value is its bin, found by binary search, and
-    ``threshold`` turns bins into raw thresholds.  Nodes are ``k, tree, node, depth, n,
+    ``edges`` (sorted cut points of each feature) a feature's histogram value is its bin,
+    found by binary search, and the threshold is the bin's upper edge.  Nodes are ``k, tree, node, depth, n,
     s, f, thr, is_leaf, vote``; for ``multi``, ``counts`` and ``votes`` are arrays
     over the classes in place of ``s`` and ``vote``.  Trees that draw no row have no nodes.
     """
@@ -229,7 +229,7 @@ def grow(rows: DataFrame, trees: list[Tree], n_features: int, task: str, n_class
         path = None
         if depth + 1 < deepest:
             cells, path = materialize_at(cells, f"cells-{depth}")
-        best = best_splits(cells, depth, task, threshold, keys=["t"], stats=stats).toArrow().to_pylist()
+        best = best_splits(cells, depth, task, keys=["t"], stats=stats).toArrow().to_pylist()
         if before:
             drop_path(spark, before)
         if depth == 0:
@@ -237,7 +237,8 @@ def grow(rows: DataFrame, trees: list[Tree], n_features: int, task: str, n_class
                 nodes[s["t"], 1] = [0, s["nt"], [s[f"{c}_t"] for c in stats], None, None]
         found = sorted((s for s in best if s["f"] is not None), key=lambda s: (s["t"], s["node"]))
         for s in found:
-            nodes[s["t"], s["node"]][3:] = [s["f"], s["thr"]]
+            thr = s["thr"] if edges is None else float(edges[s["f"]][int(s["split_v"])])
+            nodes[s["t"], s["node"]][3:] = [s["f"], thr]
             for right, side in ((0, "l"), (1, "r")):
                 nodes[s["t"], 2 * s["node"] + right] = [depth + 1, s[f"n{side}"], [s[f"{c}_{side}"] for c in stats], None, None]
         larger = splits.split(found)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sylvan.operators import aggregate as ag
 from sylvan.session import scratch_path
-from sylvan.sources import csv_roundtrip, read_table
+from sylvan.sources import csv_roundtrip, read_csv_checked, read_table
 
 def lineitem_rid(df: DataFrame) -> DataFrame:
     """Row id of a lineitem row: its four key columns joined by '-' (unique in the test data)."""
@@ -23,6 +23,21 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_roundtrip(customer, scratch_path(spark, "customer-csv"))
 
 
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as text with faults by their key, and read against the schema: each key with ``ok`` or why it is rejected."""
+    customer = read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    fields = [F.col(c).cast("string") for c in customer.columns]
+    spoiled = F.when(key % 13 == 0, F.lit("n/a")).otherwise(fields[3])
+    whole = F.concat_ws(",", *fields[:3], spoiled, fields[4])
+    line = F.when(key % 7 == 0, F.concat(whole, F.lit(",more"))).when(key % 11 == 0, F.concat_ws(",", *fields[:4])).otherwise(whole)
+    path = scratch_path(spark, "customer-lines")
+    customer.select(line.alias("line")).write.text(path)
+    rows, rejects = read_csv_checked(spark, path, customer.schema, header=False)
+    rejected = rejects.select(F.substring_index("record", ",", 1).cast("long").alias("c_custkey"), "reason")
+    return rows.select("c_custkey", F.lit("ok").alias("reason")).unionByName(rejected)
+
+
 def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ag.head_n(read_table(spark, sf_dir, "customer"), 5, "c_custkey")
 
@@ -74,6 +89,8 @@ def basic_oracles() -> dict[str, str]:
     inside = f"CASE WHEN {PREDICATE} THEN 1 ELSE 0 END"
     return {
         "csv_scan": "SELECT * FROM customer",
+        "csv_quarantine": """SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'long' WHEN c_custkey % 11 = 0 THEN 'short'
+  WHEN c_custkey % 13 = 0 THEN 'mistyped:c_acctbal' ELSE 'ok' END AS reason FROM customer""",
         "head_n": "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
         "row_as_map": "SELECT CAST(to_json(nation) AS VARCHAR) AS row_json FROM nation",
         "keep_columns": "SELECT c_custkey, c_name FROM customer",

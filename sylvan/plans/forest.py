@@ -9,7 +9,6 @@ reaches the driver.
 
 from __future__ import annotations
 
-import json
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
@@ -26,7 +25,7 @@ from sylvan.operators import growth
 from sylvan.operators import metrics as me
 from sylvan.operators import sampling as sa
 from sylvan.session import materialize
-from sylvan.sources import load_forest_table, read_table, save_forest_table
+from sylvan.sources import load_tables, read_table, save_tables
 from sylvan.sources.tables import local_rows, spread
 
 NUMERIC = ["l_linenumber", "l_quantity", "l_discount", "l_tax"]
@@ -155,18 +154,17 @@ def check_values(train: DataFrame, cfg: ForestConfig, n_features: int) -> None:
 
 def fit_forest(train: DataFrame, cfg: ForestConfig, n_features: int = N_FEATURES) -> DataFrame:
     """Node table of all trees of all grid keys, from rows ``rid, x, y``."""
-    threshold, edges = fo.midpoint_threshold, None
+    edges = None
     train = usable(train)
     p = P.sampling_rate(train.count(), cfg.max_p, cfg.max_rows)
     if cfg.max_bins:
         edges = binning.quantile_edges(train, n_features, cfg.max_bins)
-        threshold = binning.edge_threshold(edges)
     else:
         check_values(train, cfg, n_features)
     trees = grid_trees(cfg, n_features)
     # Each row once, with the trees that draw it; every level scans these rows.
     rows = materialize(sa.drawn_trees(train, trees, p, cfg.seed).select("x", "y", "drawn"), "forest-rows")
-    return growth.grow(rows, trees, n_features, cfg.task, cfg.n_classes, edges, threshold)
+    return growth.grow(rows, trees, n_features, cfg.task, cfg.n_classes, edges)
 
 
 def scored(rows: DataFrame, nodes: DataFrame, cfg: ForestConfig, unit: float = 100.0) -> DataFrame:
@@ -263,20 +261,20 @@ class ForestModel:
         return out.select("_row.*", "prediction")
 
     def save(self, path: str) -> str:
-        """Nodes, label tables and the rest of the model under ``path``."""
-        save_forest_table(self.nodes, f"{path}/nodes")
-        for i, table in enumerate(self.labels.values()):
-            save_forest_table(table, f"{path}/labels-{i}")
-        told = json.dumps({"cfg": asdict(self.cfg), "numeric": self.numeric, "to_index": list(self.labels),
-                           "label": self.label, "best": self.best, "unit": self.unit, "classes": self.classes})
-        self.nodes.sparkSession.range(1).select(F.lit(told).alias("model")).write.mode("overwrite").parquet(f"{path}/model")
+        """A new published version of the model under ``path``; earlier ones stay."""
+        tables = {"nodes": self.nodes} | {f"labels-{i}": t for i, t in enumerate(self.labels.values())}
+        save_tables(self.nodes.sparkSession, path, tables, {
+            "cfg": asdict(self.cfg), "numeric": self.numeric, "to_index": list(self.labels), "label": self.label,
+            "best": self.best, "unit": self.unit, "classes": self.classes})
         return path
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> ForestModel:
-        told = json.loads(load_forest_table(spark, f"{path}/model").first()["model"])
-        labels = {c: load_forest_table(spark, f"{path}/labels-{i}") for i, c in enumerate(told["to_index"])}
-        return cls(ForestConfig(**told["cfg"]), told["numeric"], told["label"], labels, load_forest_table(spark, f"{path}/nodes"),
+    def load(cls, spark: SparkSession, path: str, number: int | None = None) -> ForestModel:
+        """The newest published version, or the one of that number."""
+        tables, told = load_tables(
+            spark, path, lambda about: ["nodes", *[f"labels-{i}" for i in range(len(about["to_index"]))]], number)
+        labels = {c: tables[f"labels-{i}"] for i, c in enumerate(told["to_index"])}
+        return cls(ForestConfig(**told["cfg"]), told["numeric"], told["label"], labels, tables["nodes"],
                    told["best"], told["unit"], told["classes"])
 
 

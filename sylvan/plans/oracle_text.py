@@ -75,8 +75,7 @@ counts AS (SELECT w, count(*) AS n FROM words GROUP BY w)"""
 
 
 def ties_select(counts: str = "counts", k: int = 10) -> str:
-    return (f"SELECT w, n FROM {counts} WHERE n >= "
-            f"(SELECT min(n) FROM (SELECT n FROM {counts} ORDER BY n DESC LIMIT {k}))")
+    return f"SELECT w, n FROM {counts} QUALIFY rank() OVER (ORDER BY n DESC) <= {k}"
 
 
 def entity_set_sql() -> str:

@@ -42,6 +42,7 @@ def text_queries() -> dict[str, Query]:
 def basic_queries() -> dict[str, Query]:
     return {
         "csv_scan": basic.csv_scan,
+        "csv_quarantine": basic.csv_quarantine,
         "head_n": basic.head_n,
         "row_as_map": basic.row_as_map,
         "keep_columns": basic.keep_columns,

@@ -7,10 +7,12 @@ whose ``text`` column holds many lines.  Lines never pass through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sylvan.session import materialize
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -66,6 +68,46 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     return spark.read.schema(schema).option("header", str(header).lower()).csv(path)
 
 
+#: Column that takes a record which does not fit the declared schema, and a value that no field holds.
+CORRUPT, NO_FIELD = "_record", "\x01"
+
+
+def reject_reason(record: Column, schema: T.StructType) -> Column:
+    """Why a record does not fit: ``short``, ``long``, ``mistyped:<first such column>`` or ``unreadable``.
+
+    The record is parsed once more as strings, with one column too many; a field that is not
+    there is null, an empty one is not.
+    """
+    wide = ", ".join(f"c{i} string" for i in range(len(schema.fields) + 1))
+    fields = F.from_csv(record, F.lit(wide), {"nullValue": NO_FIELD, "mode": "PERMISSIVE", "escape": '"'})
+    of = [fields[f"c{i}"] for i in range(len(schema.fields) + 1)]
+    reason = F.when(of[-1].isNotNull(), F.lit("long")).when(of[-2].isNull(), F.lit("short"))
+    for f, field in zip(schema.fields, of):
+        wrong = (field != "") & field.try_cast(f.dataType).isNull()
+        reason = reason.when(wrong, F.lit(f"mistyped:{f.name}"))
+    return reason.otherwise(F.lit("unreadable"))
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                     multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of a CSV: rows that fit the schema, and ``(record, reason)`` of the others.
+
+    The files are parsed once; both outputs are read from that.  ``multi_line`` allows line
+    breaks inside quotes, and then a file is one task.  A quote inside quotes is doubled.  An empty field is a null, not a reject;
+    blank lines are skipped.
+    """
+    if CORRUPT in schema.names:
+        raise ValueError(f"the schema may not name {CORRUPT}")
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = (spark.read.schema(wide).option("header", str(header).lower()).option("mode", "PERMISSIVE")
+              .option("multiLine", str(multi_line).lower()).option("columnNameOfCorruptRecord", CORRUPT)
+              .option("escape", '"').csv(path))
+    parsed = materialize(parsed, "csv")
+    bad = F.col(CORRUPT).isNotNull()
+    return (parsed.filter(~bad).drop(CORRUPT),
+            parsed.filter(bad).select(F.col(CORRUPT).alias("record"), reject_reason(F.col(CORRUPT), schema).alias("reason")))
+
+
 def csv_roundtrip(df: DataFrame, path: str) -> DataFrame:
     write_csv(df, path)
     return read_csv(df.sparkSession, path, df.schema)

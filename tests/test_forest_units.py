@@ -182,7 +182,7 @@ def test_binned_forest_matches_exact_when_bins_separate_all_values(spark):
     exact = _grow(spark, rows, min_leaf=20, max_depth=3)
     edges = binning.quantile_edges(_rows(spark, rows), 2, 64)
     assert edges == [[float(v) for v in range(10)], [float(v) for v in range(13)]]
-    binned = _grow(spark, rows, min_leaf=20, max_depth=3, edges=edges, threshold=binning.edge_threshold(edges))
+    binned = _grow(spark, rows, min_leaf=20, max_depth=3, edges=edges)
     assert set(binned) == set(exact)
     for node, r in exact.items():
         b = binned[node]

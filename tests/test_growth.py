@@ -178,3 +178,23 @@ def test_masks_and_draws_equal_their_table_forms(spark):
         drawn = sa.drawn_trees(rows, trees, p, "7").collect()
         assert {(r.rid, trees[t].k, trees[t].tree) for r in drawn for t in r.drawn} == want
         assert all(r.drawn for r in drawn)
+
+
+def test_many_real_valued_features_are_binned_and_refused_unbinned(spark):
+    from sylvan.operators import binning
+    from sylvan.plans import forest as pf
+
+    features = 500
+    rows = spark.range(600).select(
+        F.col("id").cast("string").alias("rid"), (F.rand(1) < 0.5).cast("long").alias("y"),
+        F.transform(F.sequence(F.lit(1), F.lit(features)), lambda i: F.sin(F.col("id") * i + 0.25)).alias("x")).checkpoint()
+    cfg = pf.ForestConfig(grid={"max_depth": [3], "min_samples_leaf": [5]}, n_trees=2, max_rows=None, max_values=100)
+    with pytest.raises(ValueError, match="max_bins"):
+        pf.fit_forest(rows, cfg, features)
+    edges = binning.quantile_edges(rows, features, 64)
+    assert all(len(e) <= 63 and e == sorted(set(e)) for e in edges)
+    nodes = pf.fit_forest(rows, pf.replace(cfg, max_bins=64), features).collect()
+    assert {r.depth for r in nodes} == {0, 1, 2, 3}
+    for r in nodes:
+        if not r.is_leaf:
+            assert r.thr in edges[r.f]
