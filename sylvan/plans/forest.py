@@ -21,6 +21,7 @@ from sylvan.functions.hashing import uniform
 from sylvan.operators import binning
 from sylvan.operators import features as feat
 from sylvan.operators import forest as fo
+from sylvan.operators import gaps
 from sylvan.operators import growth
 from sylvan.operators import metrics as me
 from sylvan.operators import sampling as sa
@@ -50,6 +51,8 @@ class ForestConfig:
     max_bins: int | None = None
     # Exact histograms of a feature with more distinct values than this are refused: set max_bins.
     max_values: int = 100_000
+    # How trees draw rows: "test" asks every row for every tree, "gaps" jumps to the drawn rows (for small shares).
+    draws: str = "test"
     # How keys are compared (METRICS); None: the task's first, AUC or squared error.
     metric: str | None = None
     # Number of classes of task "multi"; labels are their numbers, from 0.
@@ -144,6 +147,9 @@ def sample_for_trees(train: DataFrame, cfg: ForestConfig, n_features: int = N_FE
     return sa.tree_sample(train, grid_with_masks(train.sparkSession, cfg, n_features), p, cfg.seed)
 
 
+DRAWS = {"test": sa.drawn_trees, "gaps": gaps.gap_drawn_trees}
+
+
 def check_values(train: DataFrame, cfg: ForestConfig, n_features: int) -> None:
     """Exact histograms are for features of few values: refuse one above ``max_values`` distinct ones."""
     values = [F.approx_count_distinct(F.element_at("x", f + 1)).alias(f"f{f}") for f in range(n_features)]
@@ -163,7 +169,8 @@ def fit_forest(train: DataFrame, cfg: ForestConfig, n_features: int = N_FEATURES
         check_values(train, cfg, n_features)
     trees = grid_trees(cfg, n_features)
     # Each row once, with the trees that draw it; every level scans these rows.
-    rows = materialize(sa.drawn_trees(train, trees, p, cfg.seed).select("x", "y", "drawn"), "forest-rows")
+    drawn = DRAWS[cfg.draws](train, trees, p, cfg.seed)
+    rows = materialize(drawn.select("x", "y", "drawn"), "forest-rows")
     return growth.grow(rows, trees, n_features, cfg.task, cfg.n_classes, edges)
 
 

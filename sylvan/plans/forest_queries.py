@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sylvan.functions import params as P
 from sylvan.operators import features as feat
 from sylvan.operators import forest as fo
+from sylvan.operators import gaps
 from sylvan.operators import metrics as me
 from sylvan.operators import mllib_forest
 from sylvan.plans import forest as pf
@@ -18,6 +19,7 @@ from sylvan.sources import read_table
 
 CLF = pf.ForestConfig()
 REG = pf.ForestConfig(task="reg", max_rows=None)
+FEW = pf.ForestConfig(max_p=0.1, max_rows=2_000, draws="gaps")
 MULTI = pf.ForestConfig(task="multi", n_classes=3)
 # The grid of the workload: 4 points x 100 trees, depth 5 and 10, up to 500,000 rows a tree.
 DEEP = pf.ForestConfig(grid={"min_samples_leaf": [20, 200], "max_depth": [5, 10]}, n_trees=100, max_rows=500_000, max_bins=64)
@@ -59,6 +61,13 @@ def tree_sample(spark, sf_dir):
     return _sampled(spark, sf_dir).select("k", "tree", "rid")
 
 
+def tree_sample_gaps(spark, sf_dir):
+    """The rows that each tree draws when it jumps from drawn row to drawn row; shares are small for a large table."""
+    train = pf.usable(pf.feature_rows(spark, sf_dir, FEW)[0]).select("rid")
+    p = P.sampling_rate(train.count(), FEW.max_p, FEW.max_rows)
+    return gaps.gap_sample(train, pf.grid_trees(FEW), p, FEW.seed).select("k", "tree", "rid")
+
+
 def param_key_parse(spark, sf_dir):
     s = _sampled(spark, sf_dir)
     full = F.concat(F.col("k"), F.lit(f",{P.TREE_PARAM}="), F.col("tree").cast("string"))
@@ -192,6 +201,7 @@ def forest_queries() -> dict:
         "feature_pipeline": feature_pipeline,
         "sampling_rate": sampling_rate,
         "tree_sample": tree_sample,
+        "tree_sample_gaps": tree_sample_gaps,
         "param_key_parse": param_key_parse,
         "split_histogram": split_histogram,
         "best_split": best_split,
@@ -225,6 +235,8 @@ def forest_oracles() -> dict:
                                        scoring=False),
         "sampling_rate": forest_sql(CLF, "SELECT n_train, p FROM prate", scoring=False),
         "tree_sample": forest_sql(CLF, "SELECT k, tree, rid FROM sampled", scoring=False),
+        "tree_sample_gaps": forest_sql(FEW, "SELECT k, tree, rid FROM gap_sampled", scoring=False, growth=False,
+                                       more=gaps.gap_sql("train", "gt", "(SELECT p FROM prate)", FEW.seed)),
         "param_key_parse": forest_sql(
             CLF, "SELECT k, min_leaf AS min_samples_leaf, max_depth, tree, count(*) AS n_rows "
                  "FROM sampled GROUP BY k, min_leaf, max_depth, tree", scoring=False),

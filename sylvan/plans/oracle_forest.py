@@ -220,8 +220,8 @@ def metric_ctes(cfg: ForestConfig) -> list[str]:
     ]
 
 
-def forest_sql(cfg: ForestConfig, final: str, scoring: bool = True) -> str:
-    ctes = base_ctes(cfg) + level_ctes(cfg)
+def forest_sql(cfg: ForestConfig, final: str, scoring: bool = True, growth: bool = True, more: list[str] = ()) -> str:
+    ctes = base_ctes(cfg) + (level_ctes(cfg) if growth else []) + list(more)
     if scoring:
         ctes += scoring_ctes(cfg) + metric_ctes(cfg)
     return "WITH " + ",\n".join(ctes) + "\n" + final
