@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sylvan.operators import aggregate as ag
 from sylvan.operators import text as tops
-from sylvan.plans import basic, wordcount
+from sylvan.plans import basic, gazetteer, wordcount
 from sylvan.plans.forest_queries import forest_oracles, forest_queries
 from sylvan.plans.oracle_text import text_oracles
 from sylvan.sources import scan_lines
@@ -56,6 +56,7 @@ def basic_queries() -> dict[str, Query]:
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(text_queries())
+    out.update(gazetteer.QUERIES)
     out.update(basic_queries())
     out.update(forest_queries())
     return out
@@ -64,6 +65,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(text_oracles())
+    out.update(gazetteer.ORACLES)
     out.update(basic.basic_oracles())
     out.update(forest_oracles())
     return out
