@@ -99,7 +99,7 @@ SELECT DISTINCT label, entity FROM (
 
 
 def text_oracles() -> dict[str, str]:
-    return {
+    out = {
         "scan_lines": f"WITH {LINES} SELECT doc_id, lang, line_no, line FROM lines",
         "split_words": f"WITH {LINES} " + exploded("string_split(line, ' ')", "pos", "w"),
         "lower_text": f"WITH {LINES} SELECT doc_id, line_no, lower(line) AS line FROM lines",
@@ -128,3 +128,5 @@ WHERE NOT EXISTS (SELECT 1 FROM stop WHERE stop.lang = toks.lang AND stop.w = to
             f"{ties_select()}"
         ),
     }
+    out["topk_words_pruned"], out["clean_topk_pruned"] = out["topk_words_ties"], out["clean_topk"]
+    return out

@@ -34,6 +34,8 @@ def text_queries() -> dict[str, Query]:
         "word_count": wordcount.plain_word_counts,
         "topk_values": lambda spark, sf_dir: ag.topk_values(wordcount.plain_word_counts(spark, sf_dir)),
         "topk_words_ties": wordcount.plain_topk,
+        "topk_words_pruned": wordcount.pruned_topk,
+        "clean_topk_pruned": wordcount.pruned_clean_topk,
         "threshold_filter": basic.threshold_filter,
         "clean_topk": wordcount.clean_topk,
     }
