@@ -22,9 +22,11 @@ def quantile_edges(rows: DataFrame, n_features: int, max_bins: int, x: str = "x"
     if max_bins < 2:
         raise ValueError("max_bins must be at least 2")
     qs = [i / max_bins for i in range(1, max_bins)]
-    aggs = [F.percentile_approx(F.element_at(x, f + 1), qs, accuracy).alias(f"e{f}") for f in range(n_features)]
-    row = rows.agg(*aggs).first()
-    return [sorted(set(row[f"e{f}"] or [])) for f in range(n_features)]
+    # A row per feature: one sketch each, however many features there are.
+    values = rows.select(F.posexplode(x).alias("f", "v"))
+    found = values.groupBy("f").agg(F.percentile_approx("v", qs, accuracy).alias("edges")).collect()
+    edges = {r["f"]: sorted(set(r["edges"] or [])) for r in found}
+    return [edges.get(f, []) for f in range(n_features)]
 
 
 def bin_index(x: Column, edges: list[float]) -> Column:

@@ -150,12 +150,12 @@ def sample_for_trees(train: DataFrame, cfg: ForestConfig, n_features: int = N_FE
 DRAWS = {"test": sa.drawn_trees, "gaps": gaps.gap_drawn_trees}
 
 
-def check_values(train: DataFrame, cfg: ForestConfig, n_features: int) -> None:
+def check_values(train: DataFrame, cfg: ForestConfig) -> None:
     """Exact histograms are for features of few values: refuse one above ``max_values`` distinct ones."""
-    values = [F.approx_count_distinct(F.element_at("x", f + 1)).alias(f"f{f}") for f in range(n_features)]
-    for name, n in train.agg(*values).first().asDict().items():
-        if n and n > cfg.max_values:
-            raise ValueError(f"feature {name[1:]} has about {n} distinct values: set max_bins")
+    values = train.select(F.posexplode("x").alias("f", "v"))
+    found = values.groupBy("f").agg(F.approx_count_distinct("v").alias("n")).filter(F.col("n") > cfg.max_values)
+    for f, n in found.orderBy("f").limit(1).collect():
+        raise ValueError(f"feature {f} has about {n} distinct values: set max_bins")
 
 
 def fit_forest(train: DataFrame, cfg: ForestConfig, n_features: int = N_FEATURES) -> DataFrame:
@@ -166,7 +166,7 @@ def fit_forest(train: DataFrame, cfg: ForestConfig, n_features: int = N_FEATURES
     if cfg.max_bins:
         edges = binning.quantile_edges(train, n_features, cfg.max_bins)
     else:
-        check_values(train, cfg, n_features)
+        check_values(train, cfg)
     trees = grid_trees(cfg, n_features)
     # Each row once, with the trees that draw it; every level scans these rows.
     drawn = DRAWS[cfg.draws](train, trees, p, cfg.seed)

@@ -185,7 +185,7 @@ def test_many_real_valued_features_are_binned_and_refused_unbinned(spark):
     from sylvan.plans import forest as pf
 
     features = 500
-    rows = spark.range(600).select(
+    rows = spark.range(300).select(
         F.col("id").cast("string").alias("rid"), (F.rand(1) < 0.5).cast("long").alias("y"),
         F.transform(F.sequence(F.lit(1), F.lit(features)), lambda i: F.sin(F.col("id") * i + 0.25)).alias("x")).checkpoint()
     cfg = pf.ForestConfig(grid={"max_depth": [3], "min_samples_leaf": [5]}, n_trees=2, max_rows=None, max_values=100)
