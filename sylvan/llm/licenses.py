@@ -1,20 +1,24 @@
 """License scans with a positional rare-token index (native DataFrame operations only).
 
 Every template is a run of licence words with a label; its mandatory key phrase
-is a run of words inside it.  The index keeps, for each template, the word of
-its key phrase with the highest inverse document frequency over all documents,
-and that word's place.  A file is reduced to its licence words with their
-places.  Each place of an indexed word gives the place where the template would
-start; the template's other postings are looked up at their places relative to
-it, the key phrase is verified word by word, and the match scores by the share
-of inverse document frequency that lies where the template has it.
-
-The licence words of a file are an array in its row, so hits are intersected
+is a run of words inside it.  A file is reduced to its licence words with their
+places.  The index has a posting (word, place, template) for the word of each
+key phrase with the highest inverse document frequency over all documents: a
+file that holds the phrase holds that word, and none of the phrase is rarer in
+it.  One pass over a file's licence words finds the indexed ones; the postings
+of each give the places where templates would start, the key phrase is verified
+word by word, and the template's other postings are looked up at their places
+relative to it.  A match scores by the share of inverse document frequency that
+lies where the template has it.
+
+The licence words of a file are an array in its row, so postings are intersected
 inside the row: nothing is shuffled by word or template, however frequent.
-Consecutive words of a text that are all licence words are consecutive in that
-array, so each check looks at a fixed neighbourhood.  Only document
-frequencies, one number for each licence word, go to the driver; their number
-is the size of the vocabulary, which the template parameter fixes.
+Places in that array rise by at least one, so the words of a template that
+starts at a given place lie in a slice of the template's length around the key
+phrase: the work is linear in a file's licence words, however often it repeats
+a notice.  Only document frequencies, one number for each licence word, go to
+the driver; their number is the size of the vocabulary, which the template
+parameter fixes.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import ascii_lower, materialize, table
+from sylvan.llm.common import LOWER, UPPER, ascii_lower, materialize, table
 
 # Fixed values of the query: the word rule, and the base phrases with their labels.
 LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -60,44 +64,60 @@ TEMPLATES = [
 
 #: A verified template counts as found from this share of its weight on.
 MIN_SCORE = 0.5
+#: Decimal places of a score.
+SCORE_DIGITS = 6
 
 
 def file_words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(LICENSE_WORD), F.lit(0))
 
 
-def _places(hits: Column, words: list[str], anchor: int) -> Column:
-    """Starts of all places where ``words`` stand consecutively, found from the places of word ``anchor``."""
-    def whole(i: Column) -> Column:
-        first = i - anchor
-        ok = (first >= 0) & (first + len(words) <= F.size(hits))
-        same = [(F.get(hits, first + j)["w"] == w) & (F.get(hits, first + j)["p"] == F.get(hits, first)["p"] + j)
-                for j, w in enumerate(words)]
-        for s in same:
-            ok = ok & s
-        return F.coalesce(ok, F.lit(False))
+def _strings(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
 
-    at = F.transform(hits, lambda h, i: F.when(h["w"] == words[anchor], i))
-    found = F.filter(at, lambda i: i.isNotNull())
-    return F.transform(F.filter(found, whole), lambda i: F.get(hits, i - anchor)["p"])
 
+def _index(entries: list[tuple[list[str], list[str]]], idf: dict[str, float]) -> Column:
+    """The postings, as an array: indexed word ``w``, its place ``at`` in the key phrase, and the template it belongs to."""
+    out = []
+    for t, (notice, key) in enumerate(entries):
+        at = max(range(len(key)), key=lambda j: (idf[key[j]], -j))
+        shift = next(j for j in range(len(notice)) if notice[j: j + len(key)] == key)
+        total = sum(idf[w] for w in notice)
+        out.append(F.struct(
+            F.lit(key[at]).alias("w"), F.lit(at).alias("at"), F.lit(t).alias("t"), F.lit(shift).alias("shift"), _strings(key).alias("key"),
+            _strings(notice).alias("notice"), F.array(*[F.lit(idf[w] / total) for w in notice]).alias("share")))
+    return F.array(*out)
 
-def _moved(places: Column, by: int) -> Column:
-    return F.transform(places, lambda p: p - by)
 
+def _stands(hits: Column, first: Column, key: Column) -> Column:
+    """Whether the words of ``key`` stand consecutively from hit ``first`` on (no hit before the first or after the last is read)."""
+    place = F.get(hits, first)["p"]
+    same = F.forall(F.sequence(F.lit(0), F.size(key) - 1), lambda j: F.coalesce(
+        (F.get(hits, first + j)["w"] == F.get(key, j)) & (F.get(hits, first + j)["p"] == place + j), F.lit(False)))
+    return (first >= 0) & same
 
-def _best_score(hits: Column, starts: Column, words: list[str], idf: dict[str, float]) -> Column:
-    """Highest share of the notice's weight found at its relative places, over all starts (0 without any)."""
-    total = sum(idf[w] for w in words)
 
-    def score(start: Column) -> Column:
-        near = F.filter(hits, lambda h: (h["p"] >= start) & (h["p"] < start + len(words)))
-        weight = F.lit(0.0)
-        for j, w in enumerate(words):
-            weight = weight + F.when(F.array_contains(near, F.struct((start + j).alias("p"), F.lit(w).alias("w"))), idf[w]).otherwise(0.0)
-        return weight / total
+def _share(hits: Column, found: Column) -> Column:
+    """Share of a notice's weight at its relative places, around a verified key phrase at hit ``found.first``."""
+    start = F.get(hits, found["first"])["p"] - found["e"]["shift"]
+    around = F.sequence(F.lit(0), F.size(found["e"]["notice"]) - 1)
 
-    return F.coalesce(F.array_max(F.transform(starts, score)), F.lit(0.0))
+    def add(total: Column, k: Column) -> Column:
+        hit = F.get(hits, found["first"] - found["e"]["shift"] + k)
+        there = F.get(found["e"]["notice"], hit["p"] - start) == hit["w"]
+        return total + F.when(there, F.get(found["e"]["share"], hit["p"] - start)).otherwise(0.0)
+
+    return F.aggregate(around, F.lit(0.0), add)
+
+
+def _matches(hits: Column, index: Column, words: list[str]) -> Column:
+    """``(t, place, score)`` of every place where a template's key phrase stands."""
+    rare = F.filter(F.transform(hits, lambda h, i: F.when(h["w"].isin(words), F.struct(i.alias("i"), h["w"].alias("w")))), lambda r: r.isNotNull())
+    meets = F.flatten(F.transform(rare, lambda r: F.transform(
+        F.filter(index, lambda e: e["w"] == r["w"]), lambda e: F.struct(e.alias("e"), (r["i"] - e["at"]).alias("first")))))
+    verified = F.filter(meets, lambda m: _stands(hits, m["first"], m["e"]["key"]))
+    return F.transform(verified, lambda m: F.struct(
+        m["e"]["t"].alias("t"), F.get(hits, m["first"])["p"].cast("long").alias("place"), F.round(_share(hits, m), SCORE_DIGITS).alias("score")))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=None, base=None,
@@ -109,14 +129,16 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``base_labels`` and ``labels`` are distinct, sorted and comma-joined (empty
     without any); ``labels`` has the base ones and the verified templates with
     at least ``min_score``.  ``score`` is 1 for a base phrase, since it is there
-    word by word, else the best share of weight of a verified template, else 0.  Null texts are
+    word by word, else the best share of weight of a verified template with at
+    least ``min_score``, else 0; shares have six digits.  Null texts are
     empty; empty files have no words and labels; ids may be null or repeated;
     an empty table gives no rows.  Other columns of ``docs`` are not read.
     """
     templates = TEMPLATES if templates is None else templates
     base = BASE_PHRASES if base is None else base
-    vocabulary = sorted({w for _, notice, phrase in templates for w in f"{notice} {phrase}".split()}
-                        | {w for phrase, _ in base for w in phrase.split()})
+    labels = [label for _, label in base] + [label for label, _, _ in templates]
+    entries = [(phrase.split(), phrase.split()) for phrase, _ in base] + [(notice.split(), phrase.split()) for _, notice, phrase in templates]
+    vocabulary = sorted({w for notice, key in entries for w in notice + key})
 
     words = docs.select(F.col(id_col), file_words(F.col(text_col)).alias("words"))
     hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(vocabulary), F.struct(i.alias("p"), w.alias("w")))),
@@ -130,42 +152,65 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n = files.count()
     idf = {w: math.log((n + 1) / (df.get(w, 0) + 0.5)) + 1e-6 for w in vocabulary}
 
-    def rarest(run: list[str]) -> int:
-        return max(range(len(run)), key=lambda j: (idf[run[j]], -j))
-
-    column = F.col("hits")
-    base_starts = [_places(column, phrase.split(), rarest(phrase.split())) for phrase, _ in base]
-    found = files.withColumns({f"_base{i}": s for i, s in enumerate(base_starts)})
-    starts, scores = {}, {}
-    for i, (_, notice, phrase) in enumerate(templates):
-        run = phrase.split()
-        starts[f"_key{i}"] = _places(column, run, rarest(run))
-    found = found.withColumns(starts)
-    for i, (_, notice, phrase) in enumerate(templates):
-        run, key = notice.split(), phrase.split()
-        shift = next(j for j in range(len(run)) if run[j: j + len(key)] == key)
-        at = _moved(F.col(f"_key{i}"), shift)
-        scores[f"_score{i}"] = F.when(F.size(f"_key{i}") == 0, F.lit(0.0)).otherwise(_best_score(column, at, run, idf))
-    found = found.withColumns(scores)
-
-    places = F.concat(*[F.col(f"_base{i}") for i in range(len(base))])
-    base_labels = [F.when(F.size(f"_base{i}") > 0, F.lit(label)) for i, (_, label) in enumerate(base)]
-    own = [F.when(F.col(f"_score{i}") >= min_score, F.lit(label)) for i, (label, _, _) in enumerate(templates)]
-
-    def joined(labels: list[Column]) -> Column:
-        return F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))), ",")
-
-    score = F.greatest(*[F.when(F.col(f"_score{i}") >= min_score, F.col(f"_score{i}")).otherwise(0.0) for i in range(len(templates))])
+    rare = sorted({max(key, key=lambda w: idf[w]) for _, key in entries})
+    found = files.select(id_col, "n_words", _matches(F.col("hits"), _index(entries, idf), rare).alias("found"))
+    in_base = F.filter("found", lambda m: m["t"] < len(base))
+    good = F.filter("found", lambda m: (m["t"] >= len(base)) & (m["score"] >= min_score))
+    found = found.select(id_col, "n_words", F.transform(in_base, lambda m: m["place"]).alias("places"),
+                         F.transform(in_base, lambda m: m["t"]).alias("base"), F.transform(good, lambda m: m["t"]).alias("own"),
+                         F.array_max(F.transform(good, lambda m: m["score"])).alias("best"))
+
+    def joined(which: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(F.array_distinct(which), lambda t: F.get(_strings(labels), t)))), ",")
+
     return found.select(
-        id_col, "n_words", F.size(places).cast("long").alias("n_base"),
-        F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
-        joined(base_labels).alias("base_labels"), joined(base_labels + own).alias("labels"),
-        F.when(F.size(places) > 0, F.lit(1.0)).otherwise(F.least(score, F.lit(1.0))).alias("score"))
+        id_col, "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").alias("first_word"), F.array_max("places").alias("last_word"),
+        joined(F.col("base")).alias("base_labels"), joined(F.concat("base", "own")).alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(F.col("best"), F.lit(0.0))).alias("score"))
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def _oracle() -> str:
+    """The same result from the words of each text: places of key phrases, then the notice's words at their places."""
+    rows = [(f"'{label}'", phrase, phrase, "true") for phrase, label in BASE_PHRASES]
+    rows += [(f"'{label}'", notice, phrase, "false") for label, notice, phrase in TEMPLATES]
+    values = ", ".join(f"({t}, {label}, split('{notice}', ' '), split('{key}', ' '), {base})" for t, (label, notice, key, base) in enumerate(rows))
+    return rf"""
+WITH templates(t, label, notice, key, base) AS (VALUES {values}),
+slots AS (SELECT t, unnest(notice) AS w, generate_subscripts(notice, 1) - 1 AS j FROM templates),
+shifts AS (SELECT *, (SELECT min(j) FROM range(len(notice)) r(j) WHERE notice[j + 1: j + len(key)] = key) AS shift FROM templates),
+files AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_extract_all(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{LICENSE_WORD}'), lambda w: w <> '') AS ws FROM documents
+), hits AS (
+  SELECT * FROM (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM files) WHERE w IN (SELECT w FROM slots)
+), idf AS (
+  SELECT v.w, ln((SELECT count(*) + 1 FROM files) / (count(DISTINCT r) + 0.5)) + 1e-6 AS idf
+  FROM (SELECT DISTINCT w FROM slots) v LEFT JOIN hits USING (w) GROUP BY v.w
+), totals AS (SELECT t, sum(idf) AS total FROM slots JOIN idf USING (w) GROUP BY t
+), places AS (
+  SELECT h.r, h.p, s.* FROM hits h JOIN shifts s ON s.key[1] = h.w JOIN files f ON f.r = h.r WHERE f.ws[h.p + 1: h.p + len(s.key)] = s.key
+), scored AS (
+  SELECT x.r, x.t, x.label, x.base, x.p, round(sum(idf / total), {SCORE_DIGITS}) AS score
+  FROM places x JOIN slots s ON s.t = x.t JOIN hits h ON h.r = x.r AND h.p = x.p - x.shift + s.j AND h.w = s.w
+  JOIN idf i ON i.w = s.w JOIN totals y ON y.t = x.t GROUP BY ALL
+), judged AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(p) FILTER (base) AS first_word, max(p) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base OR score >= {MIN_SCORE}) AS labels,
+    max(score) FILTER (NOT base AND score >= {MIN_SCORE}) AS best
+  FROM scored GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+FROM files LEFT JOIN judged USING (r)
+"""
+
+
 QUERIES = {"op7_licenses": op7_licenses}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op7_licenses": _oracle()}

@@ -26,7 +26,7 @@ def texts_of(spark):
     return {r["doc_id"]: r["text"] for r in documents(spark).collect()}
 
 
-@pytest.mark.parametrize("module", [mixing, ngramjoin, urlfilter])
+@pytest.mark.parametrize("module", [licenses, mixing, ngramjoin, urlfilter])
 def test_oracle_sql(spark, module):
     for name, query in module.QUERIES.items():
         assert compare(spark, name, query, module.ORACLES[name], SMALL)["status"] == "match"
