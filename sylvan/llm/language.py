@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import bounded_batches, by_value, materialize, table
+from sylvan.llm.memory import give_back, released
 from sylvan.llm.urlfilter import url_host
 from sylvan.llm.words import LOWER, SEGMENT, text_bytes
 
@@ -92,7 +93,7 @@ def fit_models(docs: DataFrame, text_col: str, declared_col: str, id_col: str, l
         yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(gram.astype(np.int32)), pa.array(seen[lang, gram])], ["lang", "gram", "n"])
 
     counts = np.zeros((1 << GRAM_BITS, len(languages)))
-    counted = rows.select("lang", "text").mapInArrow(count, "lang int, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.select("lang", "text").mapInArrow(released(count), "lang int, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     for lang, gram, n in counted.collect():  # at most languages x 2^GRAM_BITS numbers
         counts[gram, lang] = n
     counts += 0.05
@@ -111,6 +112,7 @@ def text_evidence(text: Column, tables: np.ndarray) -> Column:
         letter = np.zeros(256, dtype=np.int64)
         letter[97:123] = letter[65:91] = letter[128:] = 1
         letters = np.array([int(letter[raw[a:b]].sum()) for a, b in zip(bounds[:-1], bounds[1:])], dtype=np.int64)
+        give_back()
         return pa.StructArray.from_arrays([pa.array(list(sums), pa.list_(pa.float64())), pa.array(letters)], ["ll", "letters"])
 
     return evidence(text)

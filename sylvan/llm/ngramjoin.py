@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from sylvan.llm.common import bounded_batches, by_value, materialize, table, word_count
 from sylvan.llm.components import connected_components
+from sylvan.llm.memory import released, released_group
 from sylvan.llm.words import mix, shingle_set, text_bytes, word_hashes
 
 by_value(__name__)
@@ -80,7 +81,7 @@ def shingle_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(sig, pa.binary())], ["id", "k1", "k2", "n", "sig"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "k1", "k2", "text").mapInArrow(rows, f"id {kind}, k1 long, k2 long, n long, sig binary")
+    return docs.select("id", "k1", "k2", "text").mapInArrow(released(rows), f"id {kind}, k1 long, k2 long, n long, sig binary")
 
 
 _PACKED = "bucket int, direct boolean, h binary, d binary, marked binary, sig binary, n binary"
@@ -166,7 +167,7 @@ def _postings(docs: DataFrame, text_col: str, ranges: int, width: int) -> DataFr
         if held:
             yield flush()
 
-    return docs.select(text_col).mapInArrow(rows, _PACKED)
+    return docs.select(text_col).mapInArrow(released(rows), _PACKED)
 
 
 def _unpack(group: pa.Table, k: int, marks=np.uint32):
@@ -208,8 +209,10 @@ def _shared(postings: DataFrame, ranges: int) -> DataFrame:
         if hs:
             h, d, mark = np.concatenate(hs), np.concatenate(ds), np.concatenate(marks)
             sig, n = np.concatenate(sigs), np.concatenate(ns)
+            del hs, ds, marks, sigs, ns
             order = np.argsort(h)
             h, d, mark = h[order], d[order], mark[order]
+            del order
             first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
             runs = np.diff(np.append(first, len(h)))
             frequent = np.logical_or.reduceat(mark, first)
@@ -232,7 +235,7 @@ def _shared(postings: DataFrame, ranges: int) -> DataFrame:
             return pa.Table.from_batches([_packed_batch([(0, True, b"", b"", b"", b"", b"")])]).slice(0, 0)
         return pa.Table.from_batches([_packed_batch(out)])
 
-    return postings.groupBy("bucket").applyInArrow(reduce, _PACKED)
+    return postings.groupBy("bucket").applyInArrow(released_group(reduce), _PACKED)
 
 
 def _candidates(shared: DataFrame, percent: int) -> DataFrame:
@@ -255,6 +258,7 @@ def _candidates(shared: DataFrame, percent: int) -> DataFrame:
             ws.append(w)
             ds.append(number[d])
         h, w, d = np.concatenate(hs), np.concatenate(ws), np.concatenate(ds)
+        del hs, ws, ds
         n = np.array(sizes, dtype=np.int64)
         # Postings of a class that cannot have enough shared hashes, even with repeats, go before the sort.
         enough = 100 * np.bincount(d, minlength=len(n)) >= percent * n
@@ -280,7 +284,7 @@ def _candidates(shared: DataFrame, percent: int) -> DataFrame:
         return pa.Table.from_arrays([pa.array(first + np.arange(len(kept))), pa.array([keys[k] for k in kept], pa.binary()),
                                      pa.array(n[kept]), lists, pa.array(list(sketch), pa.list_(pa.int64()))], names=names)
 
-    return shared.groupBy("bucket").applyInArrow(gather, "cid long, sig binary, n long, hs array<long>, sketch array<long>")
+    return shared.groupBy("bucket").applyInArrow(released_group(gather), "cid long, sig binary, n long, hs array<long>, sketch array<long>")
 
 
 def _long_enough(a: Column, b: Column, percent: int) -> Column:

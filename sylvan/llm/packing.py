@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import bounded_batches, by_value, table
+from sylvan.llm.memory import released
 
 by_value(__name__)
 
@@ -197,7 +198,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         if data:
             yield flush()
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(rows, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(released(rows), schema)
 
 
 def tokenizer_file() -> str:

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import bounded_batches, by_value, materialize, table
+from sylvan.llm.memory import give_back, released
 
 by_value(__name__)
 
@@ -99,7 +100,7 @@ CLOSERS = {o: re.compile(f"[{c}\n]") for o, c in CLOSING.items()}
 class Automaton:
     """Lexicon trie times Levenshtein automaton of at most one edit, made deterministic as words need it."""
 
-    def __init__(self, terms, stems, min_fuzzy: int = MIN_FUZZY, keep: int = 50_000):
+    def __init__(self, terms, stems, min_fuzzy: int = MIN_FUZZY, keep: int = 20_000):
         self.children: list[dict[str, int]] = [{}]
         self.term = [0]
         self.stem = [0]
@@ -174,7 +175,7 @@ class Model:
 class Scorer:
     """Scores texts with a model; keeps the kind of each word it has seen."""
 
-    def __init__(self, model: Model, keep: int = 200_000):
+    def __init__(self, model: Model, keep: int = 50_000):
         self.automaton = Automaton(model.terms, model.stems)
         self.kinds: dict[str, str] = {}
         self.keep = keep
@@ -251,7 +252,7 @@ def _counted(rows: DataFrame, only: frozenset | None = None) -> DataFrame:
                 seen.update(found if only is None else [e for e in found if e in only])
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["entry", "n"])
 
-    return rows.select("text").mapInArrow(count, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(released(count), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
 
 
 def _word_sequence() -> Column:
@@ -311,7 +312,7 @@ def _fitted(model: Model, rows: DataFrame) -> Model:
             found = [scorer.features(t)[0] for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1).cast(pa.float64())], ["x", "label"])
 
-    given = rows.select("text", "toxic").mapInArrow(features, "x array<double>, label double")
+    given = rows.select("text", "toxic").mapInArrow(released(features), "x array<double>, label double")
     given = materialize(given, "toxic-features").withColumn("features", array_to_vector("x"))
     fit = LogisticRegression(regParam=1e-3, maxIter=50, standardization=True).fit(given)
     return Model(model.terms, model.stems, tuple(float(w) for w in fit.coefficients), float(fit.intercept))
@@ -330,6 +331,7 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
     def scored(texts: pa.Array) -> pa.Array:
         scorer = scored.__dict__.get("scorer")
         if scorer is None:
+            give_back()  # what earlier tasks of this worker left
             scorer = scored.__dict__["scorer"] = Scorer(model)
         out = [scorer.score(t) for t in texts.fill_null("").to_pylist()]
         return pa.StructArray.from_arrays([pa.array([s for s, _ in out], pa.float64()), pa.array([h for _, h in out], pa.int64())], ["score", "hits"])
