@@ -129,6 +129,13 @@ def test_neighbours(spark):
     assert nndescent.nearest(vectors.filter("vec_id = 0"), F.col("id") % 50 == 0).count() == 0
 
 
+def test_neighbours_of_each_vector_length(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0]), (50, [1.0, 0.0, 0.0]), (51, [1.0, 1.0, 0.0]), (100, [3.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r)[:3] for r in nndescent.nearest(vectors, F.col("id") % 50 == 0, 3).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 1), (0, 2, 2), (50, 1, 51)]
+
+
 @pytest.mark.parametrize("which", ["full", "empty"])
 def test_pipeline_stages(spark, folder, which):
     sf_dir = f"{folder}/{which}"
