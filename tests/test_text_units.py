@@ -147,3 +147,52 @@ def test_text_file_source_counts_equal_table_counts(spark):
     want = {(r["w"], r["n"]) for r in plain_word_counts(spark, SF_SMALL).collect()}
     assert got == want
     assert tops.clean_tokens(lines).count() > 0
+
+
+def _random_lines(spark, pieces, n=4000):
+    import random
+
+    rnd = random.Random(11)
+    return spark.createDataFrame([("".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 30))),) for _ in range(n)], "line string")
+
+
+def test_fast_patterns_find_what_the_plain_ones_find(spark):
+    """Runs of letters, signs between Z and a, digits, other scripts and characters of two code units."""
+    lines = _random_lines(spark, list("aAz Z[`^_&'é1ß 漢.\\😀𝒳٣-"))
+    tokens = [F.regexp_extract_all("line", F.lit(p), 0) for p in (tx.TOKEN_PATTERN, tx.FAST_TOKEN_PATTERN)]
+    assert lines.filter(tokens[0] != tokens[1]).count() == 0 and lines.filter(F.size(tokens[0]) > 2).count() > 1000
+    names = [p for p, _ in tx.GAZETTEER]
+    lines = _random_lines(spark, [*names, *[p[:4] for p in names], *[p[1:] for p in names], " ", "x"])
+    found = [F.regexp_extract_all("line", F.lit(p), 1) for p in (tx.gazetteer_pattern(), tx.fast_gazetteer_pattern())]
+    assert lines.filter(found[0] != found[1]).count() == 0 and lines.filter(F.size(found[0]) > 2).count() > 1000
+
+
+def test_a_line_without_a_word_is_read_in_linear_time(spark):
+    import time
+
+    lines = spark.range(2).select(F.repeat(F.lit("漢1"), 200_000).alias("line"))
+    begun = time.time()
+    assert lines.select(F.sum(F.size(tx.tokens(F.col("line"))))).first()[0] == 0
+    assert time.time() - begun < 20
+
+
+def test_lines_without_digits_keep_every_rule_out(spark):
+    """The gate of the rules is exact: each rule needs what the gate looks for."""
+    import re
+
+    lines = _random_lines(spark, list("$€£%.,: -stndrhkgm٣"))
+    for _, pattern in tx.ENTITY_RULES:
+        assert re.search(pattern, "2020-01-02 3 kg 15% $4 10:30 2nd") and lines.filter(F.rlike("line", F.lit(pattern))).count() == 0
+
+
+def test_entity_set_is_every_lines_matches_in_a_plan_that_works_each_rule_out_once(spark):
+    from sylvan.operators import text as tops
+
+    lines = _random_lines(spark, ["Paris", "12", "3 kg", "15%", "$40", " ", "10:30", "2020-01-02", "2nd", "x", "é", ","]).unionByName(
+        spark.createDataFrame([(None,), ("",)], "line string")).withColumns({"doc_id": F.lit(1), "line_no": F.lit(1)})
+    got = tops.entity_set(lines)
+    long_lines = lines.filter(F.length("line") > tx.ENTITY_MIN_LINE_LENGTH)
+    want = long_lines.select(F.inline(tx.entity_matches(F.col("line")))).distinct()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 50
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 2 * len(tx.ENTITY_RULES)  # both branches of the union
