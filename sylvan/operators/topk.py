@@ -17,11 +17,12 @@ The tail, nearly all rows of a word count, stays in the written tables.
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,30 +34,49 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 #: Different words of one table; a task with more of them writes several tables.
 TABLE_WORDS = 500_000
+#: Words that a task counts at once.
+CHUNK_WORDS = 1_000_000
 #: Candidates of the last round up to which they are sent to all tasks; more are joined by a shuffle.
 BROADCAST_WORDS = 100_000
 
 
-def local_counts(words: DataFrame, k: int, word_col: str, table_words: int) -> DataFrame:
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    """``(w, n)``: the counts of several tables, added up."""
+    together = pa.concat_tables(tables).combine_chunks()
+    return together.group_by("w", use_threads=False).aggregate([("n", "sum")]).rename_columns(["w", "n"])
+
+
+def _counted(words: list[pa.Array]) -> pa.Table:
+    counts = pa.chunked_array(words, pa.string()).combine_chunks().drop_null().value_counts()
+    return pa.table({"w": counts.field("values"), "n": counts.field("counts")})
+
+
+def local_counts(words: DataFrame, k: int, word_col: str, table_words: int, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """``(part, w, n, top)``: words of every task's tables, and whether a word reaches its table's k-th count."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, counts = TaskContext.get().partitionId() << 20, Counter()
+        part = TaskContext.get().partitionId() << 20
+        held, size, counts = [], 0, _counted([])
 
         def table() -> pa.RecordBatch:
-            n = pa.array(counts.values(), pa.int64())
-            least = min([c for _, c in counts.most_common(k)], default=0)
-            top = pa.array([c >= least for c in counts.values()], pa.bool_())
-            return pa.RecordBatch.from_arrays([pa.array([part] * len(counts), pa.int64()), pa.array(counts.keys(), pa.string()), n, top],
-                                              ["part", "w", "n", "top"])
+            n = counts["n"].combine_chunks()
+            least = np.partition(n.to_numpy(), -k)[-k] if len(n) > k else 0
+            columns = [pa.array(np.full(len(n), part)), counts["w"].combine_chunks(), n, pc.greater_equal(n, int(least))]
+            return pa.RecordBatch.from_arrays(columns, ["part", "w", "n", "top"])
 
         for batch in batches:
-            for pair in batch.column(0).drop_null().value_counts().to_pylist():
-                counts[pair["values"]] += pair["counts"]
-            if len(counts) >= table_words:
-                yield table()
-                part, counts = part + 1, Counter()
-        if counts:
+            held.append(batch.column(0).cast(pa.string()))
+            size += batch.num_rows
+            # Words are counted a chunk at a time, so that frequent ones meet before they are added to the table.
+            if size >= min(chunk_words, table_words):
+                counts = _summed([counts, _counted(held)])
+                held, size = [], 0
+                if counts.num_rows >= table_words:
+                    yield table()
+                    part, counts = part + 1, _counted([])
+        if held:
+            counts = _summed([counts, _counted(held)])
+        if counts.num_rows:
             yield table()
 
     return words.select(F.col(word_col)).mapInArrow(count, "part long, w string, n long, top boolean")

@@ -46,3 +46,16 @@ def test_the_tail_of_the_documents_is_not_shuffled(spark):
     rounds = topk.pruned_rounds(words, 10)
     assert rounds.shuffled * 10 <= rounds.rows and rounds.candidates * 10 <= rounds.rows
     assert rounds.result.count() >= 10
+
+
+def test_words_are_counted_in_chunks(spark):
+    """A task adds up its chunks, and its tables hold each word once."""
+    rows = [(w,) for i in range(3000) for w in (f"w{i % 7}", f"x{i % 900}", None)]
+    df = spark.createDataFrame(rows, "w string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        tables = topk.local_counts(df, 7, "w", 100_000, chunk_words=1000).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r.w: r.n for r in tables} == Counter(w for w, in rows if w) and len(tables) == 907
+    assert sorted(r.w for r in tables if r.top) == [f"w{i}" for i in range(7)]
