@@ -34,7 +34,8 @@ def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def phrase_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every phrase of every line: its place there and its label."""
     found = ga.matched(scan_lines(spark, sf_dir), phrases(spark, sf_dir))
-    return found.select("doc_id", "line_no", F.inline("matches"))
+    # Outer, since else the optimizer filters by the size of the matches, and so works them out twice.
+    return found.select("doc_id", "line_no", F.inline_outer("matches")).filter("start is not null")
 
 
 def phrase_removal(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,3 +66,29 @@ def test_a_million_phrases(spark):
 def test_no_python_in_the_plan(spark):
     plan = pg.phrase_removal(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_phrases_that_share_their_first_words_are_not_met_at_each_other(spark):
+    """Every line holds the head of every phrase: a place is one that fits, not lines times phrases."""
+    n = 20_000
+    table = spark.range(n).select(F.concat(F.lit("The w"), "id").alias("phrase"), F.lit("L").alias("label")).unionByName(
+        spark.range(n).select(F.concat(F.lit("Of the big k"), "id", F.lit(" z")).alias("phrase"), F.lit("M").alias("label")))
+    lines = spark.range(n).select(F.concat(F.lit("The w"), "id", F.lit(" Of the big k"), "id", F.lit(" zoo The Of the ")).alias("line"))
+    assert ga.places(lines, ga.phrase_index(table)).count() < 12 * n
+    got = ga.matched(lines, table)
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.regexp_extract("line", "^The w[0-9]+", 0).alias("phrase"), F.lit("L").alias("label")),
+                    F.struct((F.instr("line", "Of") - 1).alias("start"), F.regexp_extract("line", "Of the big k[0-9]+ z", 0).alias("phrase"), F.lit("M").alias("label")))
+    assert got.filter(F.col("matches") == whole).count() == n
+
+
+def test_lookups_too_large_to_send_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ga, "BROADCAST_ROWS", 0)
+    phrases = [("New York", "A"), ("New York City", "B"), ("ork", "E"), ("é b", "F"), ("a  b", "G")]
+    lines = ["in New York City Hall", "aNew Yorker", "né bé New ork", "a  b  a b", None, "", "New York"]
+    assert found(spark, lines, phrases) == [
+        [(3, "New York City", "B")], [(1, "New York", "A")], [(1, "é b", "F"), (10, "ork", "E")], [(0, "a  b", "G")], [], [], [(0, "New York", "A")]]
+
+
+def test_matches_are_worked_out_once(spark):
+    plan = pg.phrase_matches(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
