@@ -198,3 +198,25 @@ def test_many_real_valued_features_are_binned_and_refused_unbinned(spark):
     for r in nodes:
         if not r.is_leaf:
             assert r.thr in edges[r.f]
+
+
+def test_rows_are_hashed_once_for_their_draws(spark):
+    """The filter of undrawn rows stays above the drawing, so that each hash stands once in the plan; null ids are drawn too."""
+    trees = [growth.Tree(k, t, 1, 1, (0,)) for k in ("a", "b") for t in range(1, 7)]
+    rows = spark.createDataFrame([(str(i),) for i in range(300)] + [(None,)], "rid string")
+    drawn = sa.drawn_trees(rows, trees, 0.1, "7")
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 4
+    assert {tuple(r.drawn) for r in sa.drawn_trees(rows, trees, 1.0, "7").collect()} == {tuple(range(12))}
+    got = drawn.collect()
+    assert 0 < len(got) < 301 and all(r.drawn == sorted(r.drawn) and r.drawn for r in got)
+
+
+def test_labels_are_summed_exactly_with_partial_masks():
+    trees = [growth.Tree("a", 1, 1, 2, (0, 1)), growth.Tree("a", 2, 1, 2, (1,))]
+    x, y = np.array([[0.0, 1.0], [1.0, 1.0], [1.0, 0.0]]), np.array([-5, 2 ** 45 + 1, 3], dtype=np.int64)
+    row, tree = np.array([0, 0, 1, 2, 2]), np.array([0, 1, 1, 0, 1])
+    cells = growth.count_cells(x, y, row, tree, growth.Splits(trees, 2), 0)
+    assert sorted(map(tuple, zip(*[c.tolist() for c in cells]))) == [
+        (0, 1, 0, 0.0, 1, -5), (0, 1, 0, 1.0, 1, 3), (0, 1, 1, 0.0, 1, 3), (0, 1, 1, 1.0, 1, -5),
+        (1, 1, 1, 0.0, 1, 3), (1, 1, 1, 1.0, 2, 2 ** 45 - 4)]

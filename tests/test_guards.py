@@ -45,3 +45,12 @@ def test_spread_is_off_unless_asked_for(spark):
         assert spread(one, keys=["id"]).rdd.getNumPartitions() == 3
     finally:
         spark.conf.unset(MIN_PARTITIONS)
+
+
+def test_a_scan_of_few_splits_is_dealt_out_over_the_cores(spark):
+    from sylvan.sources.tables import spread_over_cores
+
+    cores = spark.sparkContext.defaultParallelism
+    one, many = spark.range(10).coalesce(1), spark.range(0, 100, 1, cores + 1)
+    assert spread_over_cores(one, keys=["id"]).rdd.getNumPartitions() == cores and spread_over_cores(many) is many
+    assert sorted(r.id for r in spread_over_cores(one).collect()) == list(range(10))
