@@ -31,6 +31,8 @@ def fit_and_predict(train: DataFrame, test: DataFrame, cfg) -> DataFrame:
     train = materialize(train.select("x", "y"), "mllib-rows")
     p = P.sampling_rate(train.count(), cfg.max_p, cfg.max_rows)
     tr = train.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"))
+    # The test rows too: every key's predictions read them, and they are few of the rows that they are picked from.
+    test = materialize(test.select("rid", "x"), "mllib-test")
     te = test.select("rid", array_to_vector("x").alias("features"))
     outs = []
     for key, params in P.grid_points(cfg.grid):

@@ -66,3 +66,9 @@ def test_mllib_forest_scores_like_the_histogram_forest(spark, cfg, query, metric
     else:
         other = {r["k"]: r["mse"] for r in joined.groupBy("k").agg(F.avg((F.col("prediction") / 100 - F.col("y") / 100) ** 2).alias("mse")).collect()}
         assert all(0.7 < own[k] / other[k] < 1.4 for k in own)
+
+
+def test_mllib_predictions_read_the_written_test_rows(spark):
+    """Every key's predictions read the few test rows, not the whole table that they are picked from."""
+    out = fq.forest_fit_reg(spark, SF_SMALL)
+    assert out.inputFiles() and all("/mllib-test-" in f for f in out.inputFiles())
